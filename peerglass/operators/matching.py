@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,52 +46,62 @@ def keyword_industry_codes(keywords: DataFrame, industries: DataFrame, *, target
     return asked.join(keyword_codes, keyword).select(target, code).distinct()
 
 
-def code_pairs(targets: DataFrame, held: DataFrame, target_code: str, company_code: str,
+def code_pairs(targets: DataFrame, held: DataFrame, code: str, company_code: str, parent_retry: bool = False,
                min_partial: int = V.MIN_PARTIAL_CODE) -> DataFrame:
     """Distinct (target code, company code) pairs that match.
 
     A target code matches an equal code, and from three letters on any code
     that contains it.  Every company code lists its substrings of that length
-    and itself, so the match is a hash join on equality.
+    and itself, so the match is a hash join on equality.  With ``parent_retry``
+    a longer code is looked up without its last letter as well, and those hits
+    count where the code itself has none.
     """
-    asked = targets.select(strip(target_code).alias(target_code)).filter(F.col(target_code) != "").distinct()
+    own = strip(code)
+    asked = targets.select(own.alias(code)).filter(F.col(code) != "").distinct()
+    parent = F.when(F.length(code) > min_partial, F.expr(f"left(`{code}`, length(`{code}`) - 1)"))
+    tries = F.array_compact(F.array(F.col(code), parent)) if parent_retry else F.array(F.col(code))
+    probes = asked.select(code, F.posexplode(tries).alias("_try", "_key"))
     codes = held.select(strip(company_code).alias(company_code)).filter(F.col(company_code) != "").distinct()
     keys = F.array_distinct(
         F.array_append(substrings(F.col(company_code), min_partial, F.length(company_code)), F.col(company_code))
     )
-    return codes.select(company_code, F.explode(keys).alias(target_code)).join(asked, target_code)
+    hits = codes.select(company_code, F.explode(keys).alias("_key")).join(probes, "_key")
+    if not parent_retry:
+        return hits.select(code, company_code)
+    first = hits.groupBy(code).agg(F.min("_try").alias("_try"))
+    return hits.join(first, [code, "_try"]).select(code, company_code)
 
 
-def companies_by_code(targets: DataFrame, companies: DataFrame, *, target: str = "t", code: str = "code",
-                      company: str = "name", company_code: str = "company_code",
+def companies_by_code(targets: DataFrame, companies: DataFrame, *, target: str | Sequence[str] = "t",
+                      code: str = "code", company: str = "name", company_code: str = "company_code",
                       parent_retry: bool = False) -> DataFrame:
     """Distinct companies per target whose code matches one of the target's codes.
 
     With ``parent_retry`` a code longer than three letters that matches nothing
     is tried again without its last letter.
     """
-    pairs = code_pairs(targets, companies, code, company_code)
-    if parent_retry:
-        missed = (
-            targets.select(strip(code).alias(code)).filter(F.length(code) > V.MIN_PARTIAL_CODE).distinct()
-            .join(pairs, code, "left_anti")
-            .withColumn("_parent", F.expr(f"substring(`{code}`, 1, length(`{code}`) - 1)"))
-        )
-        retried = code_pairs(missed.select("_parent"), companies, "_parent", company_code)
-        pairs = pairs.unionByName(missed.join(retried, "_parent").select(company_code, code))
-    matched = targets.select(target, strip(code).alias(code)).distinct().join(pairs, code)
-    wanted = matched.select(target, company_code).distinct()
+    by = [target] if isinstance(target, str) else list(target)
+    pairs = code_pairs(targets, companies, code, company_code, parent_retry)
+    matched = targets.select(*by, strip(code).alias(code)).join(pairs, code)
+    wanted = matched.select(*by, company_code).distinct()
     listed = companies.select(strip(company_code).alias(company_code), strip(company).alias(company))
-    return wanted.join(listed, company_code).select(target, company).distinct()
+    return wanted.join(listed, company_code).select(*by, company).distinct()
+
+
+def expand_pool(pool: DataFrame, expanded: DataFrame, *, target: str = "t", company: str = "name",
+                small: int = V.SMALL_POOL) -> DataFrame:
+    """Distinct pools; those of at most ``small`` companies get the wider match as well."""
+    own = pool.select(target, company).distinct().withColumn("_wide", F.lit(False))
+    wider = expanded.select(target, company).distinct().withColumn("_wide", F.lit(True))
+    return widen_small(own.unionByName(wider), "_wide", target=target, company=company, small=small)
 
 
-def expand_pool(pool: DataFrame, expanded: DataFrame, targets: DataFrame, *, target: str = "t",
-                company: str = "name", small: int = V.SMALL_POOL) -> DataFrame:
-    """Pools of at most ``small`` companies get the wider match as well."""
-    large = pool.distinct().groupBy(target).count().filter(F.col("count") > small).select(target)
-    few = targets.select(target).distinct().join(large, target, "left_anti")
-    wider = expanded.select(target, company).join(few, target, "left_semi")
-    return pool.select(target, company).unionByName(wider).distinct()
+def widen_small(tagged: DataFrame, wide: str, *, target: str = "t", company: str = "name",
+                small: int = V.SMALL_POOL) -> DataFrame:
+    """Pool from distinct rows of both matches, ``wide`` telling the wider ones."""
+    sizes = tagged.groupBy(target).agg(F.count_if(~F.col(wide)).alias("_own"))
+    kept = tagged.join(sizes, target).filter(~F.col(wide) | (F.col("_own") <= small))
+    return kept.select(target, company).distinct()
 
 
 def restrict_to(rows: DataFrame, names: DataFrame, keys: list[str]) -> DataFrame:

@@ -13,13 +13,16 @@ ORACLES: dict[str, str] = {}
 
 
 class Tables:
-    """Given tables of one folder, read on first use: ``tables.orders``."""
+    """Given tables of one folder, opened once on first use: ``tables.orders``."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Opening a table reads a footer; later uses find it as an attribute.
+        table = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        setattr(self, name, table)
+        return table
 
 
 def query(name: str, sql: str | None = None):

@@ -138,8 +138,7 @@ def expand_pool(t):
     rows = t.lineitem.filter("l_quantity >= 46").select("l_suppkey", "l_partkey", "l_returnflag").distinct()
     named = rows.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_suppkey").alias("t"), F.col("p_name").alias("name"), "l_returnflag")
-    targets = t.supplier.select(F.col("s_suppkey").alias("t"))
-    return M.expand_pool(named.filter("l_returnflag = 'R'").select("t", "name"), named.select("t", "name"), targets)
+    return M.expand_pool(named.filter("l_returnflag = 'R'").select("t", "name"), named.select("t", "name"))
 
 
 # --- stage 2 ------------------------------------------------------------------
@@ -292,14 +291,14 @@ def reason_counts(t):
 
 def _pool(t):
     """Stage 1: companies by code; small pools get those of the region's code as well."""
-    companies = vw.listed(t).select(F.col("company_id").alias("name"), "company_code")
-    companies = companies.withColumn("name", F.col("name").cast("string"))
-    codes = vw.target_codes(t)
-    wider = t.nation.select(F.col("n_nationkey").alias("t"),
-                            F.concat(F.lit("Brand#"), (F.col("n_regionkey") + 1).cast("string")).alias("code"))
-    pool = M.companies_by_code(codes, companies, parent_retry=True)
-    expanded = M.companies_by_code(wider, companies, parent_retry=True)
-    return M.expand_pool(pool, expanded, codes).select("t", F.col("name").cast("bigint").alias("company_id"))
+    companies = vw.listed(t).select("company_id", "company_code")
+    own, wide = F.col("n_nationkey"), F.col("n_regionkey")
+    tries = F.array(*[F.struct(F.lit(w).alias("wide"), F.concat(F.lit("Brand#"), (n + 1).cast("string")).alias("code"))
+                      for w, n in ((False, own), (True, wide))])
+    codes = t.nation.select(own.alias("t"), F.explode(tries).alias("c")).select("t", "c.*")
+    matched = M.companies_by_code(codes, companies, target=["t", "wide"], company="company_id", parent_retry=True)
+    pool = M.widen_small(matched, "wide", company="company_id")
+    return pool.select("t", F.col("company_id").cast("bigint").alias("company_id"))
 
 
 def _funnel(t):
@@ -309,7 +308,7 @@ def _funnel(t):
 
 FUNNEL_SQL = f"""{vw.LISTED_SQL}, {vw.INCOME_SQL}, {vw.METRICS_SQL}, tg AS (
   SELECT n_nationkey AS t, 'Brand#' || (n_nationkey + 1) AS code, 'Brand#' || (n_regionkey + 1) AS wide FROM nation),
-p1 AS (SELECT t, company_id FROM tg JOIN listed ON contains(company_code, code)), p2 AS (
+p1 AS (SELECT t, company_id FROM tg JOIN listed ON contains(company_code, tg.code)), p2 AS (
   SELECT t, company_id FROM p1 UNION
   SELECT t, company_id FROM tg JOIN listed ON contains(company_code, wide)
   WHERE t NOT IN (SELECT t FROM p1 GROUP BY 1 HAVING count(*) > 10)), f1 AS (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
@@ -33,17 +35,18 @@ def build_session(app: str = "peerglass", master: str | None = None, **conf: str
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint a frame that several later steps read.
+    """Write a frame that several later steps read, and read it back.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``.  Where
-    none is named the frame is returned as it is: later steps then recompute
-    it, which is slower but still right.
+    The table goes to the shared folder the cluster names in
+    ``spark.checkpoint.dir``, so a lost executor costs no recomputation.  A
+    written table runs the plan once; an eager checkpoint runs it twice.
+    Where no folder is named the frame is returned as it is: later steps then
+    recompute it, which is slower but just as right.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         return df
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    path = f"{folder.rstrip('/')}/peerglass-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
