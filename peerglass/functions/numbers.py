@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
-from peerglass.functions.text import as_col, first_token_value, strip
+from peerglass.functions.text import as_col, first_token_value, let, strip
 
 EXACT = "decimal(38,10)"
 
@@ -92,37 +92,52 @@ def format_statement(value: Column | str) -> Column:
     return F.when(keep, s).otherwise(shown)
 
 
+def _trim_zeros(value: Column) -> Column:
+    return F.regexp_replace(value.cast("decimal(30,10)").cast("string"), r"\.?0+$", "")
+
+
+def _exponent_text(value: Column) -> Column:
+    power = F.floor(F.log10(F.abs(value)))
+    mantissa = _trim_zeros(F.rint(value / F.pow(F.lit(10.0), power.cast("double")) * 1e5) / 1e5)
+    return F.concat(mantissa, F.lit("e+"), F.lpad(power.cast("string"), 2, "0"))
+
+
 def general_text(value: Column) -> Column:
     """Six significant digits, no trailing zeros; an exponent from a million up."""
-    size = F.abs(value)
-    places = F.lit(5) - F.floor(F.log10(size))
-    step = F.pow(F.lit(10.0), places.cast("double"))
-    rounded = F.rint(value * step) / step
 
-    def trim_zeros(c: Column) -> Column:
-        return F.regexp_replace(c.cast("decimal(30,10)").cast("string"), r"\.?0+$", "")
+    def rounded(v: Column) -> Column:
+        step = F.pow(F.lit(10.0), F.lit(5.0) - F.floor(F.log10(F.abs(v))))
+        return F.when(v == 0, F.lit(0.0)).otherwise(F.rint(v * step) / step)
 
-    power = F.floor(F.log10(F.abs(rounded)))
-    mantissa = trim_zeros(F.rint(rounded / F.pow(F.lit(10.0), power.cast("double")) * 1e5) / 1e5)
-    exponent = F.concat(mantissa, F.lit("e+"), F.lpad(power.cast("string"), 2, "0"))
-    return F.when(value == 0, F.lit("0")).when(F.abs(rounded) < 1e6, trim_zeros(rounded)).otherwise(exponent)
+    def shown(v: Column) -> Column:
+        return (
+            F.when(v == 0, F.lit("0")).when(F.abs(v) < 1e6, _trim_zeros(v)).when(v.isNotNull(), _exponent_text(v))
+        )
+
+    return let(let(value, rounded), shown)
 
 
 def amount_range(value: Column | str) -> Column:
     """Funding amount text as struct<amount, label> in 억; ranges give their mean."""
-    c = F.coalesce(as_col(value), F.lit(""))
-    numbers = F.transform(
-        F.regexp_extract_all(c, F.lit(r"(\d+\.?\d*)"), F.lit(1)),
-        lambda x: x.cast("double") * first_token_value(c, V.AMOUNT_MULTIPLIERS, 1.0),
-    )
-    low, high = F.try_element_at(numbers, F.lit(1)), F.try_element_at(numbers, F.lit(2))
-    amount = F.coalesce((low + high) / 2.0, low, F.lit(V.UNKNOWN_AMOUNT))
-    label = F.coalesce(
-        F.concat(general_text(low), F.lit("~"), general_text(high), F.lit("억")),
-        F.concat(general_text(low), F.lit("억")),
-        F.lit(V.UNKNOWN_AMOUNT_TEXT),
+    text = F.coalesce(as_col(value), F.lit(""))
+    found = F.regexp_extract_all(text, F.lit(r"(\d+\.?\d*)"), F.lit(1))
+    ends = F.struct(
+        F.try_element_at(found, F.lit(1)).cast("double").alias("low"),
+        F.try_element_at(found, F.lit(2)).cast("double").alias("high"),
+        first_token_value(text, V.AMOUNT_MULTIPLIERS, 1.0).alias("scale"),
     )
-    return F.struct(amount.alias("amount"), label.alias("label"))
+
+    def read(e: Column) -> Column:
+        low, high = e["low"] * e["scale"], e["high"] * e["scale"]
+        amount = F.coalesce((low + high) / 2.0, low, F.lit(V.UNKNOWN_AMOUNT))
+        label = F.coalesce(
+            F.concat(general_text(low), F.lit("~"), general_text(high), F.lit("억")),
+            F.concat(general_text(low), F.lit("억")),
+            F.lit(V.UNKNOWN_AMOUNT_TEXT),
+        )
+        return F.struct(amount.alias("amount"), label.alias("label"))
+
+    return let(ends, read)
 
 
 def unit_token(value: Column | str) -> Column:

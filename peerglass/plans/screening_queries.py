@@ -41,10 +41,10 @@ def industry_vocab(t):
 
 
 @query("keyword_industry", """
-WITH kw AS (SELECT DISTINCT p_size AS t, split_part(p_name, ' ', 2) AS keyword FROM part WHERE p_type = 'PROMO')
+WITH kw AS (SELECT DISTINCT p_size AS t, split_part(p_name, ' ', 2) AS keyword FROM part)
 SELECT DISTINCT kw.t, p.p_brand AS code FROM kw JOIN part p ON contains(p.p_name, kw.keyword)""")
 def keyword_industry(t):
-    keywords = t.part.filter("p_type = 'PROMO'").select(
+    keywords = t.part.select(
         F.col("p_size").alias("t"), F.split_part("p_name", F.lit(" "), F.lit(2)).alias("keyword")
     )
     return M.keyword_industry_codes(keywords, _industries(t))
