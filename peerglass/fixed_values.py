@@ -131,10 +131,10 @@ FAIL_OFFICIAL = "공식/준공식 근거 부재"
 WARN_ONE_EVIDENCE = "근거 1개로 제한됨"
 
 # ---- Fixed values: text patterns -----------------------------------------
-KEY_PUNCTUATION = r"""[,，·ㆍ;:(){}\[\]<>"'“”‘’]"""
+KEY_PUNCTUATION = """,，·ㆍ;:(){}[]<>"'“”‘’"""
 KEY_REPLACEMENT = ("차체나", "차체및")
 COMPANY_MARKS = ["주식회사", "(주)", "㈜"]
-NAME_KEY_KEEP = r"[^0-9a-z가-힣.\-:/]"
+NAME_KEY_LETTERS = r"0-9a-z가-힣.\-:/"
 FILENAME_DATE = r"(20[1-3]\d)[-._]?([0-1]\d)"
 NUMBERED_STEP = r"(원|배|주)([1-5]\.)"
 MARKET_CAP_TEXT = r"(?:(\d+(?:,\d+)*)조)?(?:(\d+(?:,\d+)*))?$"

@@ -31,8 +31,7 @@ def text_key(value: Column | str) -> Column:
     """Matching key of an industry name: no punctuation, no white space; null gives ''."""
     c = F.coalesce(as_col(value), F.lit(""))
     c = F.replace(c, F.lit(V.KEY_REPLACEMENT[0]), F.lit(V.KEY_REPLACEMENT[1]))
-    c = F.regexp_replace(c, V.KEY_PUNCTUATION, "")
-    return F.regexp_replace(c, rf"{SPACE}+", "")
+    return F.regexp_replace(F.translate(c, V.KEY_PUNCTUATION, ""), rf"{SPACE}+", "")
 
 
 def name_key(value: Column | str) -> Column:
@@ -40,7 +39,7 @@ def name_key(value: Column | str) -> Column:
     c = F.lower(F.coalesce(as_col(value), F.lit("")))
     for mark in V.COMPANY_MARKS:
         c = F.replace(c, F.lit(mark), F.lit(""))
-    return F.regexp_replace(c, V.NAME_KEY_KEEP, "")
+    return F.regexp_replace(c, rf"[^{V.NAME_KEY_LETTERS}]+", "")
 
 
 def name_clean(value: Column | str) -> Column:
@@ -106,11 +105,15 @@ def flag_keywords(value: Column | str, terms: Sequence[str] = tuple(V.WARNING_TE
 
 def first_token_value(value: Column, table, default) -> Column:
     """Value of the first table row one of whose tokens the text contains."""
-    chain = None
-    for tokens, result in table:
-        cond = contains_any(value, [tokens] if isinstance(tokens, str) else tokens)
-        chain = F.when(cond, F.lit(result)) if chain is None else chain.when(cond, F.lit(result))
-    return chain.otherwise(F.lit(default))
+
+    def pick(text: Column) -> Column:
+        chain = None
+        for tokens, result in table:
+            cond = contains_any(text, [tokens] if isinstance(tokens, str) else tokens)
+            chain = F.when(cond, F.lit(result)) if chain is None else chain.when(cond, F.lit(result))
+        return chain.otherwise(F.lit(default))
+
+    return let(value, pick)
 
 
 def first_present(*values: Column | str, marks: Sequence[str] = tuple(V.PAGE_NA_MARKS)) -> Column:

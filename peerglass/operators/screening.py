@@ -58,17 +58,18 @@ def income_verdict(companies: DataFrame, cells: DataFrame, *, company: str = "co
         company, F.col(row_no).alias("_row"), F.col(col_no).alias("_col"), F.col(value).alias("_raw"),
         period_rank.alias("_p"), account_rank.alias("_a"),
     )
+    in_period, in_account = F.col("_p").isNotNull(), F.col("_a").isNotNull()
+    # The first income cell by period, then account, is the wanted one unless
+    # the chosen period or account has no such cell: one aggregate finds all.
     chosen = marked.groupBy(company).agg(
-        F.min(F.when(F.col("_p").isNotNull(), F.struct("_p", "_col")))["_col"].alias("_col"),
-        F.min(F.when(F.col("_a").isNotNull(), F.struct("_a", "_row")))["_row"].alias("_row"),
+        F.min(F.when(in_period, F.struct("_p", "_col")))["_col"].alias("_col"),
+        F.min(F.when(in_account, F.struct("_a", "_row")))["_row"].alias("_row"),
+        F.min(F.when(in_period & in_account, F.struct("_p", "_col", "_a", "_row", "_raw"))).alias("_cell"),
         F.lit(True).alias("_has_table"),
     )
-    income_cells = marked.filter(F.col("_p").isNotNull() & F.col("_a").isNotNull()).select(
-        company, "_row", "_col", "_raw"
-    )
-    found = chosen.join(income_cells, [company, "_row", "_col"], "left")
-    judged = companies.join(found, company, "left")
-    income = sentinel_number("_raw")
+    judged = companies.join(chosen, company, "left")
+    at_cell = (F.col("_cell._col") == F.col("_col")) & (F.col("_cell._row") == F.col("_row"))
+    income = sentinel_number(F.when(at_cell, F.col("_cell._raw")))
     complete = F.col("_col").isNotNull() & F.col("_row").isNotNull()
     reason = (
         F.when(F.col("_has_table").isNull(), F.lit("재무 테이블 없음"))
@@ -85,22 +86,21 @@ def income_verdict(companies: DataFrame, cells: DataFrame, *, company: str = "co
     )
 
 
-def mark_december_firsts(rows: DataFrame, *, target: str = "t", month: str = "month", code: str = "code",
+def mark_december_firsts(rows: DataFrame, settles: str, *, target: str = "t", code: str = "code",
                          row_no: str = "row_no") -> DataFrame:
     """``dec_passed``: settles in December and is the first of its code in the target.
 
     Repeated codes are found by an aggregate; the rows themselves only meet the
     short list of repeats.
     """
-    marked = rows.withColumn("_dec", december(month, code)).withColumn(code, pad_code(strip(code)))
     repeats = (
-        marked.filter("_dec").groupBy(target, code)
+        rows.filter(settles).groupBy(target, code)
         .agg(F.min(row_no).alias("_first"), F.count(F.lit(1)).alias("_n"))
         .filter("_n > 1").drop("_n")
     )
     first = F.col("_first").isNull() | (F.col(row_no) == F.col("_first"))
-    return marked.join(repeats, [target, code], "left").withColumn("dec_passed", F.col("_dec") & first).drop(
-        "_dec", "_first"
+    return rows.join(repeats, [target, code], "left").withColumn("dec_passed", F.col(settles) & first).drop(
+        settles, "_first"
     )
 
 
@@ -108,8 +108,8 @@ def stage2_financial(pool: DataFrame, listed: DataFrame, cells: DataFrame, *, ta
                      company: str = "company_id", income_period: str = V.INCOME_PERIOD) -> DataFrame:
     """Pool rows with ``dec_passed`` and ``profit_passed``."""
     verdicts = income_verdict(listed, cells, company=company, income_period=income_period)
-    joined = pool.join(verdicts, company, "left")
-    marked = mark_december_firsts(joined, target=target)
+    joined = pool.join(verdicts, company, "left").withColumn("_settles", december("month", "code"))
+    marked = mark_december_firsts(joined.withColumn("code", pad_code(strip("code"))), "_settles", target=target)
     return marked.withColumn(
         "profit_passed", F.col("dec_passed") & F.coalesce("profit_passed", F.lit(False))
     )
@@ -282,32 +282,38 @@ def outlier_note(rows: DataFrame, *, target: str = "t") -> DataFrame:
 
 # --- the funnel -------------------------------------------------------------
 
-def peer_funnel(pool: DataFrame, listed: DataFrame, cells: DataFrame, target_vectors: DataFrame,
-                vectors: DataFrame, metrics: DataFrame, *, target: str = "t", company: str = "company_id",
+def peer_funnel(pool: DataFrame, companies: DataFrame, cells: DataFrame, target_vectors: DataFrame,
+                vectors: DataFrame, *, target: str = "t", company: str = "company_id",
                 vector: str = "embedding", threshold: float = V.SIMILARITY_THRESHOLD,
                 income_period: str = V.INCOME_PERIOD) -> DataFrame:
     """Every pool company with the stage it reaches, why it leaves, and its final place.
 
-    The candidate facts are joined on the company key alone, so the pool is
-    shuffled once for all of them; similarity is computed for survivors only.
+    ``companies`` holds code, month, row_no and the listing metrics.  All facts
+    are joined on the company key, so the pool is shuffled once for them;
+    similarity is computed for survivors only.  The facts are then written
+    once, and the later stages read the few columns they need from there.
     """
     held = with_unit_length(vectors.select(company, F.col(vector).alias("_cv")), "_cv", "_cn")
     wanted = with_unit_length(target_vectors.select(target, F.col(vector).alias("_tv")), "_tv", "_tn")
-    verdicts = income_verdict(listed, cells, company=company, income_period=income_period)
-    facts = pool.join(verdicts, company, "left").join(held, company, "left").join(metrics, company, "left")
-    marked = mark_december_firsts(facts.join(wanted, target, "left"), target=target).withColumn(
-        "profit_passed", F.col("dec_passed") & F.coalesce("profit_passed", F.lit(False))
-    )
+    verdicts = income_verdict(companies, cells, company=company, income_period=income_period)
+    facts = pool.join(verdicts, company, "left").join(held, company, "left").join(wanted, target, "left")
+    settles = december("month", "code")
+    candidate = settles & F.coalesce("profit_passed", F.lit(False))
     score, similar, why = score_columns(*(F.col(c) for c in ("_tv", "_tn", "_cv", "_cn")), threshold)
-    survives = F.col("profit_passed")
-    scored = marked.select(
-        target, company, *METRIC_COLUMNS, "dec_passed", "profit_passed", "income_reason",
-        F.when(survives, score).alias("score"),
-        (survives & similar).alias("similar"),
-        F.when(survives, why).alias("similarity_reason"),
+    scored = cut_lineage(facts.select(
+        target, company, pad_code(strip("code")).alias("code"), "row_no", *METRIC_COLUMNS, "income_reason",
+        settles.alias("_settles"), F.coalesce("profit_passed", F.lit(False)).alias("_profit"),
+        F.when(candidate, F.struct(score, similar, why)).alias("_s"),
+    ))
+    marked = mark_december_firsts(scored, "_settles", target=target)
+    survives = F.col("dec_passed") & F.col("_profit")
+    staged = marked.select(
+        target, company, *METRIC_COLUMNS, "dec_passed", survives.alias("profit_passed"), "income_reason",
+        F.when(survives, F.col("_s.score")).alias("score"),
+        F.coalesce(survives & F.col("_s.similar"), F.lit(False)).alias("similar"),
+        F.col("_s.similarity_reason").alias("similarity_reason"),
     )
-    scored = cut_lineage(scored)
-    judged = stage4_requirements(scored, target=target, eligible=F.col("similar"))
+    judged = stage4_requirements(staged, target=target, eligible=F.col("similar"))
     stage = (
         F.when(F.col("passed"), 4).when(F.col("similar"), 3).when(F.col("profit_passed"), 2).otherwise(1)
     )

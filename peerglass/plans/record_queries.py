@@ -213,7 +213,7 @@ items AS (SELECT page_id, i, {sql_strip_tags('n')} AS n, {sql_strip_tags('v')} A
 SELECT page_id, coalesce(string_agg(n || ' (' || v || '%)', ', ' ORDER BY i) FILTER (WHERE n <> '' AND v <> ''), '') AS products
 FROM pages LEFT JOIN items USING (page_id) GROUP BY 1""")
 def page_elements(t):
-    return t.pages.select("page_id", docs.product_list("html", LINK).alias("products"))
+    return t.spread("pages").select("page_id", docs.product_list("html", LINK).alias("products"))
 
 
 @query("main_text", f"""
@@ -223,7 +223,7 @@ texts AS (SELECT page_id, i, {sql_strip_tags('b')} AS x FROM blocks),
 best AS (SELECT page_id, x, row_number() OVER (PARTITION BY page_id ORDER BY length(x) DESC, i) AS place FROM texts WHERE length(x) >= 200)
 SELECT page_id, coalesce(left(x, 700), '') AS main_text FROM pages LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (page_id)""")
 def main_text(t):
-    return t.pages.select("page_id", docs.main_text("html").alias("main_text"))
+    return t.spread("pages").select("page_id", docs.main_text("html").alias("main_text"))
 
 
 # --- evidence -------------------------------------------------------------------

@@ -302,8 +302,9 @@ def _pool(t):
 
 
 def _funnel(t):
-    return S.peer_funnel(_pool(t), vw.listed(t), vw.cells(t), vw.target_vectors(t), vw.vectors(t), vw.metrics(t),
-                         threshold=vw.VECTOR_THRESHOLD, income_period=vw.INCOME_PERIOD)
+    master = vw.companies(t).drop("t", "name", "company_code")
+    return S.peer_funnel(_pool(t), master, vw.cells(t), vw.target_vectors(t), vw.vectors(t), threshold=vw.VECTOR_THRESHOLD,
+                         income_period=vw.INCOME_PERIOD)
 
 
 FUNNEL_SQL = f"""{vw.LISTED_SQL}, {vw.INCOME_SQL}, {vw.METRICS_SQL}, tg AS (

@@ -48,7 +48,7 @@ SELECT doc_id, md5(k) AS key_hash, length(k) AS key_chars FROM (
     '[,，·ㆍ;:(){{}}\\[\\]<>"''“”‘’]', '', 'g'), '{SQL_SPACE}+', '', 'g') AS k FROM documents)""")
 def text_key(t):
     key = X.text_key("text")
-    return t.documents.select("doc_id", digest(key).alias("key_hash"), F.length(key).cast("bigint").alias("key_chars"))
+    return t.spread("documents").select("doc_id", digest(key).alias("key_hash"), F.length(key).cast("bigint").alias("key_chars"))
 
 
 @query("name_key", """
@@ -70,7 +70,7 @@ def name_clean(t):
 SELECT doc_id, md5({sql_clean('text')}) AS text_hash, length({sql_clean('text')}) AS n_clean FROM documents""")
 def clean_text(t):
     clean = X.clean_text("text")
-    return t.documents.select("doc_id", digest(clean).alias("text_hash"),
+    return t.spread("documents").select("doc_id", digest(clean).alias("text_hash"),
                               F.length(clean).cast("bigint").alias("n_clean"))
 
 
@@ -82,7 +82,7 @@ FROM documents""")
 def clean_cells(t):
     header = F.array(F.when(F.col("lang") != "fr", F.col("lang")),
                      F.when(F.col("source") == "src1", F.lit(" \n")).otherwise(F.col("source")))
-    return t.documents.select("doc_id", digest(X.clean_cell("text")).alias("cell_hash"),
+    return t.spread("documents").select("doc_id", digest(X.clean_cell("text")).alias("cell_hash"),
                               F.array_join(X.clean_header(header), "|").alias("header"))
 
 
@@ -114,7 +114,7 @@ SELECT doc_id, regexp_matches(text, 'license|password|example\\.com|copyright|th
   SELECT doc_id, regexp_replace(text, '\\s+', ' ', 'g') AS text FROM documents)""")
 def flag_keywords(t):
     terms = ["license", "password", "example.com", "copyright", "therisk"]
-    return t.documents.select("doc_id", X.flag_keywords("text", terms).alias("flagged"))
+    return t.spread("documents").select("doc_id", X.flag_keywords("text", terms).alias("flagged"))
 
 
 @query("first_present", f"""
@@ -122,7 +122,7 @@ SELECT page_id, coalesce(nullif(h, ''), nullif(x, '')) AS title FROM (
   SELECT page_id, {sql_strip_tags("regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1)")} AS h,
          {sql_strip_tags("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)")} AS x FROM pages)""")
 def first_present(t):
-    return t.pages.select("page_id", docs.page_title("html").alias("title"))
+    return t.spread("pages").select("page_id", docs.page_title("html").alias("title"))
 
 
 @query("entity_from_name", """
@@ -191,7 +191,7 @@ def pad_code(t):
 SELECT doc_id, TRY_CAST(nullif(regexp_extract(replace(text, ',', ''), '([-+]?\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS number
 FROM documents""")
 def first_number(t):
-    return t.documents.select("doc_id", N.first_number("text").alias("number"))
+    return t.spread("documents").select("doc_id", N.first_number("text").alias("number"))
 
 
 @query("market_cap_eok", """

@@ -18,37 +18,35 @@ INCOME_PERIOD = "2000.12"
 VECTOR_THRESHOLD = 0.05
 
 
-def listed(t: Tables) -> DataFrame:
-    months = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max(F.month("o_orderdate")).alias("m"))
-    return t.customer.join(months, "c_custkey", "left").select(
-        F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"),
-        F.abs(F.col("c_acctbal").cast("bigint")).cast("string").alias("code"),
-        F.concat(F.col("m").cast("string"), F.lit("월")).alias("month"),
-        F.concat(F.lit("Brand#"), (F.col("c_nationkey") + 1).cast("string")).alias("company_code"),
-        F.col("c_custkey").alias("row_no"),
-    )
-
-
-def metrics(t: Tables) -> DataFrame:
+def companies(t: Tables) -> DataFrame:
+    """Listed companies with code, settlement month, class code and metrics."""
     price = F.col("o_totalprice")
     facts = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.max(F.month("o_orderdate")).alias("m"),
         # Whole cents, so that the mean does not depend on the order of the sum.
         (F.floor(F.sum(F.round(price * 100).cast("bigint")) * 10 / F.count(price)) / 1e7).alias("per"),
         F.round(F.max(price) / F.avg(price), 6).alias("pbr"),
         F.round(F.stddev_samp(price) / 1e4, 6).alias("ev_ebitda"),
     )
     return t.customer.join(facts, "c_custkey", "left").select(
-        F.col("c_custkey").alias("company_id"),
+        F.col("c_custkey").alias("company_id"), F.col("c_name").alias("name"),
+        F.abs(F.col("c_acctbal").cast("bigint")).cast("string").alias("code"),
+        F.concat(F.col("m").cast("string"), F.lit("월")).alias("month"),
+        F.concat(F.lit("Brand#"), (F.col("c_nationkey") + 1).cast("string")).alias("company_code"),
+        F.col("c_custkey").alias("row_no"), F.col("c_nationkey").alias("t"),
         (F.col("c_acctbal") < -800).alias("is_warning"),
         F.round(F.abs("c_acctbal") / 5, 2).alias("market_cap"),
         "per", "pbr", "ev_ebitda",
     )
 
 
+def listed(t: Tables) -> DataFrame:
+    return companies(t).select("company_id", "name", "code", "month", "company_code", "row_no")
+
+
 def company_metrics(t: Tables) -> DataFrame:
     """Metrics with the target each company is screened for."""
-    of = t.customer.select(F.col("c_custkey").alias("company_id"), F.col("c_nationkey").alias("t"))
-    return metrics(t).join(of, "company_id")
+    return companies(t).select("company_id", "t", "is_warning", "market_cap", "per", "pbr", "ev_ebitda")
 
 
 def cells(t: Tables) -> DataFrame:
@@ -147,7 +145,7 @@ def evidence(t: Tables) -> DataFrame:
         .when(F.col("lang") == "de", F.lit("홈페이지")).otherwise(F.lit("기타"))
     )
     urls = t.pages.select(F.col("page_id").alias("doc_id"), "url")
-    return t.documents.join(urls, "doc_id", "left").select(
+    return t.spread("documents").join(urls, "doc_id", "left").select(
         F.regexp_extract("source", r"(\d+)", 1).cast("bigint").alias("t"),
         (F.length("source") * 10 + F.ascii("lang") % 5).cast("bigint").alias("claim_no"),
         "doc_id", kind.alias("source_type"), F.col("source").alias("source_name"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,13 +41,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     The table goes to the shared folder the cluster names in
     ``spark.checkpoint.dir``, so a lost executor costs no recomputation.  A
     written table runs the plan once; an eager checkpoint runs it twice.
-    Where no folder is named the frame is returned as it is: later steps then
-    recompute it, which is slower but just as right.
+    Where no folder is named, a local session uses a temporary one; on a
+    cluster the frame is returned as it is and later steps recompute it.
     """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df
+        if not spark.sparkContext.master.startswith("local"):
+            return df
+        folder = tempfile.mkdtemp(prefix="peerglass-")
     path = f"{folder.rstrip('/')}/peerglass-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
