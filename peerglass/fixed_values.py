@@ -134,7 +134,9 @@ WARN_ONE_EVIDENCE = "근거 1개로 제한됨"
 KEY_PUNCTUATION = """,，·ㆍ;:(){}[]<>"'“”‘’"""
 KEY_REPLACEMENT = ("차체나", "차체및")
 COMPANY_MARKS = ["주식회사", "(주)", "㈜"]
-NAME_KEY_LETTERS = r"0-9a-z가-힣.\-:/"
+# All but 0-9 a-z 가-힣 . - : /  (as ranges between the kept letters, which the
+# regex engine scans far faster than the negated class).
+NAME_KEY_DROP = r"[\x00-,;-`{-\x{ABFF}\x{D7A4}-\x{10FFFF}]+"
 FILENAME_DATE = r"(20[1-3]\d)[-._]?([0-1]\d)"
 NUMBERED_STEP = r"(원|배|주)([1-5]\.)"
 MARKET_CAP_TEXT = r"(?:(\d+(?:,\d+)*)조)?(?:(\d+(?:,\d+)*))?$"

@@ -39,7 +39,7 @@ def name_key(value: Column | str) -> Column:
     c = F.lower(F.coalesce(as_col(value), F.lit("")))
     for mark in V.COMPANY_MARKS:
         c = F.replace(c, F.lit(mark), F.lit(""))
-    return F.regexp_replace(c, rf"[^{V.NAME_KEY_LETTERS}]+", "")
+    return F.regexp_replace(c, V.NAME_KEY_DROP, "")
 
 
 def name_clean(value: Column | str) -> Column:
@@ -86,7 +86,7 @@ def bracket_title(value: Column | str) -> Column:
 
 
 def digits_only(value: Column | str) -> Column:
-    return F.regexp_replace(F.coalesce(as_col(value), F.lit("")), "[^0-9]", "")
+    return F.regexp_replace(F.coalesce(as_col(value), F.lit("")), "[^0-9]+", "")
 
 
 def contains_any(value: Column | str, terms: Sequence[str]) -> Column:

@@ -9,29 +9,29 @@ from peerglass import fixed_values as V
 from peerglass.functions.text import digits_only, name_key, strip
 
 
-def match_score(blob: Column, name: Column | str, domain: Column | str, registration: Column | str) -> Column:
-    """Points for name, domain and registration number found in an evidence text."""
-    text = name_key(blob)
-
-    def found(needle: Column, hay: Column, points: int) -> Column:
-        return F.when((needle != "") & F.contains(hay, needle), points).otherwise(0)
-
-    return (
-        found(name_key(name), text, V.NAME_POINTS)
-        + found(name_key(domain), text, V.DOMAIN_POINTS)
-        + found(digits_only(registration), digits_only(text), V.REGISTRATION_POINTS)
-    )
-
-
 def evidence_match_score(evidence: DataFrame, signatures: DataFrame, *, target: str = "t") -> DataFrame:
-    """``match_score`` of every evidence row against the signature of its company.
+    """Points for name, domain and registration number found in each evidence text.
 
     Evidence: target, snippet, source_name, url.  Signatures: target,
-    company_name, company_domain, biz_reg_no.
+    company_name, company_domain, biz_reg_no.  Keys of both sides are made
+    once, in steps of their own, before they are looked for in each other.
     """
     blob = F.concat_ws(" ", *[F.coalesce(c, F.lit("")) for c in ("snippet", "source_name", "url")])
-    joined = evidence.join(signatures, target, "left")
-    return joined.withColumn("match_score", match_score(blob, "company_name", "company_domain", "biz_reg_no"))
+    texts = evidence.withColumn("_text", name_key(blob)).withColumn("_digits", digits_only("_text"))
+    needles = signatures.select(
+        target, name_key("company_name").alias("_name"), name_key("company_domain").alias("_domain"),
+        digits_only("biz_reg_no").alias("_number"),
+    )
+
+    def found(needle: str, text: str, points: int) -> Column:
+        hit = (F.col(needle) != "") & F.contains(F.col(text), F.col(needle))
+        return F.when(hit, points).otherwise(0)
+
+    score = (
+        found("_name", "_text", V.NAME_POINTS) + found("_domain", "_text", V.DOMAIN_POINTS)
+        + found("_number", "_digits", V.REGISTRATION_POINTS)
+    )
+    return texts.join(needles, target, "left").select(*evidence.columns, score.alias("match_score"))
 
 
 def claim_strength(scored: DataFrame, *, target: str = "t", claim: str = "claim_no") -> DataFrame:

@@ -70,19 +70,23 @@ def funding_timeline(rounds: DataFrame, *, target: str = "t", date: str = "date"
     Sorted by year, then by the usual order of rounds, then as given.  Places
     are found in buckets of (year, round, ``span`` entries).
     """
-    shown = repaired_date(date, label)
-    year = F.coalesce(F.regexp_extract(shown, r"\d{4}", 0).try_cast("int"), F.lit(V.LAST_YEAR))
     money = amount_range(amount)
     raw_label = strip(F.coalesce(F.col(label), F.lit("")))
     no_label = (raw_label == "") | F.lower(raw_label).isin(*V.ROUND_NA_MARKS)
-    shown_label = F.when(no_label, F.lit("N/A")).otherwise(raw_label)
-    keyed = rounds.select(
-        target, seq, shown.alias("date"), shown_label.alias("round"),
-        F.when(year == V.LAST_YEAR, shown_label).otherwise(year.cast("string")).alias("axis_label"),
-        money["amount"].alias("amount"), money["label"].alias("amount_label"),
-        round_class(shown_label).alias("round_class"),
-        year.alias("sort_year"), round_rank(label).alias("sort_round"),
+    # In steps, so that no text is read twice.
+    read = rounds.select(
+        target, seq, repaired_date(date, label).alias("date"), money.alias("_money"),
+        F.when(no_label, F.lit("N/A")).otherwise(raw_label).alias("round"), round_rank(label).alias("sort_round"),
         F.floor(F.col(seq) / span).alias("_chunk"),
+    ).withColumn(
+        "sort_year", F.coalesce(F.regexp_extract("date", r"\d{4}", 0).try_cast("int"), F.lit(V.LAST_YEAR))
+    )
+    keyed = read.select(
+        target, seq, "date", "round",
+        F.when(F.col("sort_year") == V.LAST_YEAR, F.col("round")).otherwise(F.col("sort_year").cast("string")).alias(
+            "axis_label"),
+        F.col("_money.amount").alias("amount"), F.col("_money.label").alias("amount_label"),
+        round_class("round").alias("round_class"), "sort_year", "sort_round", "_chunk",
     )
     placed = rank_in_buckets(keyed, [target], ["sort_year", "sort_round", "_chunk"], [seq], "x")
     return placed.drop("_chunk")

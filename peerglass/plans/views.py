@@ -167,7 +167,7 @@ def json_sections(t: Tables) -> DataFrame:
         unit, F.lit('"Investment_Highlights": ['), items, F.lit("]"),
         F.when(k == 50, F.lit("")).otherwise(F.lit("}")),
     )
-    return t.events.select("event_id", body.alias("section"))
+    return t.spread("events").select("event_id", body.alias("section"))
 
 
 def funding_rounds(t: Tables) -> DataFrame:
@@ -190,7 +190,7 @@ def funding_rounds(t: Tables) -> DataFrame:
         .when(k < 60, F.concat(F.lit("$"), whole, F.lit("M"))).when(k < 80, F.concat(whole, F.lit("백만원")))
         .otherwise(F.concat(whole, F.lit("조")))
     )
-    return t.events.select(
+    return t.spread("events").select(
         F.col("user_id").alias("t"), F.col("event_id").alias("seq"), date.alias("date"), label.alias("round"),
         amount.alias("amount"),
     )
