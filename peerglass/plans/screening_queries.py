@@ -411,8 +411,8 @@ def _approx_sql(c: str) -> str:
 
 
 @query("scenario_valuation", f"""WITH {SCENARIO_SQL}
-SELECT t, scenario_no, scenario, ratio, round(avg_per, 6) AS avg_per, discount, shares, pv, round(ev, 2) AS ev,
-       round(price, 2) AS price, final_price, 'IR 추정치 ' || CAST(trunc(ratio * 100) AS BIGINT) || '% 달성' AS ratio_text,
+SELECT t, scenario_no, scenario, ratio, round(avg_per, 6) AS avg_per, discount, shares, pv, round(ev, 4) AS ev,
+       round(price, 4) AS price, final_price, 'IR 추정치 ' || CAST(trunc(ratio * 100) AS BIGINT) || '% 달성' AS ratio_text,
        format('{{:,}}', pv) || '원' || chr(10) || {_approx_sql('CAST(pv AS DOUBLE)')} AS pv_text,
        format('{{:,.0f}}', ev) || '원' || chr(10) || {_approx_sql('ev')} AS ev_text,
        CASE WHEN can THEN coalesce(format('{{:,.0f}}', price) || '원', '-') END AS price_text,
@@ -427,7 +427,7 @@ FROM v""")
 def scenario_valuation(t):
     multiples = val.peer_multiple(_final_peers(t).select("t", "per", "passed"))
     rows = val.scenario_valuation(vw.valuation_inputs(t), multiples)
-    return rows.withColumns({c: F.round(c, p) for c, p in (("avg_per", 6), ("ev", 2), ("price", 2))})
+    return rows.withColumns({c: F.round(c, p) for c, p in (("avg_per", 6), ("ev", 4), ("price", 4))})
 
 
 @query("statement_ratios", """

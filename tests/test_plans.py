@@ -53,6 +53,6 @@ def test_big_sides_do_not_broadcast_without_a_size(spark):
 def test_cut_lineage_gives_the_same_rows(spark):
     df = spark.range(10).selectExpr("id", "array(id) as a", "cast(null as string) as s")
     cut = cut_lineage(df)
-    assert [(f.name, f.dataType) for f in cut.schema] == [(f.name, f.dataType) for f in df.schema]
+    assert cut.dtypes == df.dtypes
     assert sorted(cut.collect(), key=str) == sorted(df.collect(), key=str)
     assert "Range" not in cut._jdf.queryExecution().executedPlan().toString()
