@@ -91,17 +91,22 @@ def companies_by_code(targets: DataFrame, companies: DataFrame, *, target: str |
 def expand_pool(pool: DataFrame, expanded: DataFrame, *, target: str = "t", company: str = "name",
                 small: int = V.SMALL_POOL) -> DataFrame:
     """Distinct pools; those of at most ``small`` companies get the wider match as well."""
-    own = pool.select(target, company).distinct().withColumn("_wide", F.lit(False))
-    wider = expanded.select(target, company).distinct().withColumn("_wide", F.lit(True))
+    own = pool.select(target, company).withColumn("_wide", F.lit(False))
+    wider = expanded.select(target, company).withColumn("_wide", F.lit(True))
     return widen_small(own.unionByName(wider), "_wide", target=target, company=company, small=small)
 
 
 def widen_small(tagged: DataFrame, wide: str, *, target: str = "t", company: str = "name",
                 small: int = V.SMALL_POOL) -> DataFrame:
-    """Pool from distinct rows of both matches, ``wide`` telling the wider ones."""
-    sizes = tagged.groupBy(target).agg(F.count_if(~F.col(wide)).alias("_own"))
-    kept = tagged.join(sizes, target).filter(~F.col(wide) | (F.col("_own") <= small))
-    return kept.select(target, company).distinct()
+    """Pool from the rows of both matches, ``wide`` telling the wider ones.
+
+    One aggregate makes the rows distinct and remembers which are the pool's
+    own; pool sizes are then one row per target.
+    """
+    rows = tagged.groupBy(target, company).agg(F.bool_or(~F.col(wide)).alias("_own"))
+    sizes = rows.groupBy(target).agg(F.count_if("_own").alias("_n"))
+    kept = rows.join(sizes, target).filter(F.col("_own") | (F.col("_n") <= small))
+    return kept.select(target, company)
 
 
 def restrict_to(rows: DataFrame, names: DataFrame, keys: list[str]) -> DataFrame:

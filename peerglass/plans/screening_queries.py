@@ -11,6 +11,7 @@ from peerglass.operators import similarity as sim
 from peerglass.operators import valuation as val
 from peerglass.plans import views as vw
 from peerglass.plans.registry import query
+from peerglass.session import cut_lineage
 
 
 def _industries(t):
@@ -134,11 +135,12 @@ small AS (SELECT s_suppkey AS t FROM supplier WHERE s_suppkey NOT IN
            (SELECT t FROM base GROUP BY 1 HAVING count(*) > 10))
 SELECT t, name FROM base UNION SELECT t, name FROM wide WHERE t IN (SELECT t FROM small)""")
 def expand_pool(t):
-    parts = t.part.select("p_partkey", "p_name")
-    rows = t.lineitem.filter("l_quantity >= 46").select("l_suppkey", "l_partkey", "l_returnflag").distinct()
-    named = rows.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_suppkey").alias("t"), F.col("p_name").alias("name"), "l_returnflag")
-    return M.expand_pool(named.filter("l_returnflag = 'R'").select("t", "name"), named.select("t", "name"))
+    # Both matches come from one scan: each pair carries whether it is wider.
+    wide = F.col("l_returnflag") != "R"
+    rows = t.lineitem.filter("l_quantity >= 46").select("l_suppkey", "l_partkey", wide.alias("wide")).distinct()
+    named = rows.join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    tagged = named.select(F.col("l_suppkey").alias("t"), F.col("p_name").alias("name"), "wide")
+    return M.widen_small(tagged, "wide")
 
 
 # --- stage 2 ------------------------------------------------------------------
@@ -237,6 +239,11 @@ def attach_default(t):
 
 # --- stage 4 ------------------------------------------------------------------
 
+def _metrics(t):
+    """Metrics written once: the requirement stage reads them three times."""
+    return cut_lineage(vw.company_metrics(t))
+
+
 @query("general_requirements", f"""WITH {vw.METRICS_SQL}
 SELECT t, company_id, r = '' AS passed, CASE WHEN r = '' THEN 'OK' ELSE r END AS reason
 FROM (SELECT *, {vw.reasons_sql(True)} AS r FROM metrics)""")
@@ -254,14 +261,14 @@ def screen_fallback(t):
 @query("trim_extremes", f"""WITH {vw.METRICS_SQL}, {vw.stage4_sql('metrics')}
 SELECT t, company_id, passed, is_outlier, reason FROM s4 WHERE NOT relaxed""")
 def trim_extremes(t):
-    return S.trim_extremes(S.general_requirements(vw.company_metrics(t))).select(
+    return S.trim_extremes(S.general_requirements(_metrics(t))).select(
         "t", "company_id", "passed", "is_outlier", "reason")
 
 
 @query("stage4_requirements", f"""WITH {vw.METRICS_SQL}, {vw.stage4_sql('metrics')}
 SELECT t, company_id, relaxed, passed, is_outlier, reason, per, pbr, market_cap, ev_ebitda FROM s4""")
 def stage4_requirements(t):
-    return S.stage4_requirements(vw.company_metrics(t)).select(
+    return S.stage4_requirements(_metrics(t)).select(
         "t", "company_id", "relaxed", "passed", "is_outlier", "reason", "per", "pbr", "market_cap", "ev_ebitda")
 
 
@@ -271,7 +278,7 @@ def stage4_requirements(t):
 SELECT t, count(*) AS n, string_agg(no || ':' || company_id || ':' || passed || ':' || reason, '|' ORDER BY no) AS details
 FROM r WHERE no <= 30 GROUP BY 1""")
 def peer_details(t):
-    details = S.peer_details(S.stage4_requirements(vw.company_metrics(t)))
+    details = S.peer_details(S.stage4_requirements(_metrics(t)))
     line = F.transform("requirements", lambda r: F.concat_ws(
         ":", r["no"].cast("string"), r["company"].cast("string"), r["passed"].cast("string"), r["reason"]))
     return details.select("t", F.size("requirements").cast("bigint").alias("n"),
@@ -284,7 +291,7 @@ SELECT t, count(*) FILTER (WHERE is_outlier) AS n_outliers,
             WHEN count(*) FILTER (WHERE is_outlier) < 3 THEN 'per only' ELSE 'full trim' END AS note
 FROM s4 GROUP BY 1""")
 def reason_counts(t):
-    return S.outlier_note(S.stage4_requirements(vw.company_metrics(t)))
+    return S.outlier_note(S.stage4_requirements(_metrics(t)))
 
 
 # --- the funnel ---------------------------------------------------------------
@@ -354,7 +361,7 @@ def funnel_counts(t):
 
 def _final_peers(t):
     """Final peers by the requirement stage alone, best multiples first."""
-    judged = S.stage4_requirements(vw.company_metrics(t)).withColumn("score", F.col("pbr"))
+    judged = S.stage4_requirements(_metrics(t)).withColumn("score", F.col("pbr"))
     return S.cap_peers(judged)
 
 
