@@ -72,20 +72,25 @@ def code_pairs(targets: DataFrame, held: DataFrame, code: str, company_code: str
     return hits.join(first, [code, "_try"]).select(code, company_code)
 
 
-def companies_by_code(targets: DataFrame, companies: DataFrame, *, target: str | Sequence[str] = "t",
-                      code: str = "code", company: str = "name", company_code: str = "company_code",
-                      parent_retry: bool = False) -> DataFrame:
+def companies_by_code(targets: DataFrame, companies: DataFrame, *, company: str = "name", **options) -> DataFrame:
     """Distinct companies per target whose code matches one of the target's codes.
 
     With ``parent_retry`` a code longer than three letters that matches nothing
     is tried again without its last letter.
     """
+    return match_companies(targets, companies, company=company, **options).distinct()
+
+
+def match_companies(targets: DataFrame, companies: DataFrame, *, target: str | Sequence[str] = "t",
+                    code: str = "code", company: str = "name", company_code: str = "company_code",
+                    parent_retry: bool = False) -> DataFrame:
+    """``companies_by_code`` with a row for every company row, for callers that aggregate anyway."""
     by = [target] if isinstance(target, str) else list(target)
     pairs = code_pairs(targets, companies, code, company_code, parent_retry)
     matched = targets.select(*by, strip(code).alias(code)).join(pairs, code)
     wanted = matched.select(*by, company_code).distinct()
     listed = companies.select(strip(company_code).alias(company_code), strip(company).alias(company))
-    return wanted.join(listed, company_code).select(*by, company).distinct()
+    return wanted.join(listed, company_code).select(*by, company)
 
 
 def expand_pool(pool: DataFrame, expanded: DataFrame, *, target: str = "t", company: str = "name",
@@ -131,19 +136,17 @@ def lookup_code(names: DataFrame, companies: DataFrame, *, name: str = "name", c
     no match keep a null code.
     """
     asked = names.select(strip(name).alias(name)).distinct()
-    held = companies.select(F.col(company), F.col(code), F.col(row_no))
-    exact = first_per_key(
-        asked.join(held, asked[name] == held[company]).select(name, code, row_no), [name], [row_no]
-    )
-    misses = asked.join(exact, name, "left_anti").withColumn("_low", F.lower(name))
-    folded = held.withColumn("_text", F.lower(company))
+    held = companies.select(F.col(company).alias(name), code, row_no)
+    firsts = first_per_key(held, [name], [row_no]).select(name, F.col(code).alias("_exact"), F.lit(True).alias("_hit"))
+    exact = asked.join(firsts, name, "left")
+    misses = exact.filter(F.col("_hit").isNull()).select(name, F.lower(name).alias("_low"))
+    folded = held.select(F.lower(name).alias("_text"), code, row_no)
     pairs = contains_pairs(misses, folded, "_low", "_text")
-    # One row per lower-cased company text: the first in file order decides.
-    firsts = first_per_key(folded.select("_text", code, row_no), ["_text"], [row_no])
-    partial = first_per_key(
-        misses.join(pairs, "_low").join(firsts, "_text").select(name, code, row_no), [name], [row_no]
-    )
-    found = exact.withColumn("match", F.lit("exact")).unionByName(partial.withColumn("match", F.lit("contains")))
-    return asked.join(found, name, "left").select(
-        name, pad_code(strip(code)).alias(code), F.coalesce("match", F.lit("none")).alias("match")
+    # One row per lower-cased company text, and of those the first in file order.
+    texts = first_per_key(folded, ["_text"], [row_no])
+    best = first_per_key(pairs.join(texts, "_text").select("_low", code, row_no), ["_low"], [row_no])
+    partial = misses.join(best, "_low").select(name, F.col(code).alias("_partial"), F.lit(True).alias("_part"))
+    match = F.when(F.col("_hit"), F.lit("exact")).when(F.col("_part"), F.lit("contains")).otherwise(F.lit("none"))
+    return exact.join(partial, name, "left").select(
+        name, pad_code(strip(F.coalesce("_exact", "_partial"))).alias(code), match.alias("match")
     )

@@ -19,11 +19,11 @@ from peerglass.plans.text_queries import AMOUNT_SQL, sql_strip_tags
 def _industry_rows(t):
     """Code list of every supplier: letter rows open a section, number rows follow."""
     lines = t.lineitem.groupBy("l_suppkey", "l_orderkey", "l_linenumber").agg(
-        F.max("l_quantity").alias("q"), F.min("l_returnflag").alias("flag"), F.min("l_partkey").alias("part"))
+        F.max("l_quantity").alias("q"), F.min(F.ascii("l_returnflag")).alias("flag"), F.min("l_partkey").alias("part"))
     letter = F.col("q") >= 40
     return lines.select(
         F.col("l_suppkey").alias("file"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_no"),
-        F.when(letter, F.lower("flag")).otherwise(F.concat(F.lit(" "), F.col("part").cast("string"))).alias("raw_code"),
+        F.when(letter, F.lower(F.char("flag"))).otherwise(F.concat(F.lit(" "), F.col("part").cast("string"))).alias("raw_code"),
         F.concat(F.lit("Part, ("), F.col("part").cast("string"), F.lit(")")).alias("industry_name"),
     )
 

@@ -303,7 +303,7 @@ def _pool(t):
     tries = F.array(*[F.struct(F.lit(w).alias("wide"), F.concat(F.lit("Brand#"), (n + 1).cast("string")).alias("code"))
                       for w, n in ((False, own), (True, wide))])
     codes = t.nation.select(own.alias("t"), F.explode(tries).alias("c")).select("t", "c.*")
-    matched = M.companies_by_code(codes, companies, target=["t", "wide"], company="company_id", parent_retry=True)
+    matched = M.match_companies(codes, companies, target=["t", "wide"], company="company_id", parent_retry=True)
     pool = M.widen_small(matched, "wide", company="company_id")
     return pool.select("t", F.col("company_id").cast("bigint").alias("company_id"))
 

@@ -31,9 +31,10 @@ def write_documents(df: DataFrame, path: str, name: str = "company") -> None:
 def read_documents(spark: SparkSession, path: str, glob: str, suffix: str) -> DataFrame:
     """(name, text) of the JSON files a pattern finds; the name is the file name without its suffix."""
     files = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
-    stem = F.replace(F.col("_metadata.file_name"), F.lit(suffix), F.lit(""))
-    return files.select(F.expr("url_decode(replace(_metadata.file_name, '+', '%2B'))").alias("file"),
-                        stem.alias("name"), F.col("value").alias("text"))
+    # The file name is given in URL form, where only a plus stands for itself.
+    file = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    return files.select(file.alias("file"), F.replace(file, F.lit(suffix), F.lit("")).alias("name"),
+                        F.col("value").alias("text"))
 
 
 def valid_documents(df: DataFrame, text: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     """(path, length, modified) of every file below a folder; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     base = root.rstrip("/") + "/"
-    relative = F.regexp_replace(F.expr("url_decode(replace(path, '+', '%2B'))"), rf"^.*?{_quote(base)}", "")
+    relative = F.regexp_replace("path", rf"^.*?{_quote(base)}", "")
     return files.select(relative.alias("path"), "length", F.col("modificationTime").alias("modified"))
 
 

@@ -42,13 +42,13 @@ def test_cp949_round_trip(spark, tmp_path):
 
 def test_documents_round_trip_and_error_filter(spark, tmp_path):
     good, bad = {"a": 1, "한": None}, {"error": 500}
-    (tmp_path / "Acme_final.json").write_text(json.dumps(good, ensure_ascii=False, indent=1))
+    (tmp_path / "가나 1+1 5%20_final.json").write_text(json.dumps(good, ensure_ascii=False, indent=1))
     (tmp_path / "Beta_final.json").write_text(json.dumps(bad))
     (tmp_path / "other.json").write_text("{}")
     read = src.read_documents(spark, str(tmp_path), "*_final.json", "_final.json")
-    assert sorted(r.name for r in read.collect()) == ["Acme", "Beta"]
+    assert sorted(r.name for r in read.collect()) == ["Beta", "가나 1+1 5%20"]
     valid = src.valid_documents(read).collect()
-    assert [r.name for r in valid] == ["Acme"] and json.loads(valid[0].text) == good
+    assert [r.name for r in valid] == ["가나 1+1 5%20"] and json.loads(valid[0].text) == good
 
 
 def test_one_document_per_company(spark, tmp_path):
@@ -60,10 +60,10 @@ def test_one_document_per_company(spark, tmp_path):
 
 def test_list_files_and_inventory(spark, tmp_path):
     (tmp_path / "가나").mkdir()
-    (tmp_path / "가나" / "IR 자료.pdf").write_bytes(b"123")
+    (tmp_path / "가나" / "IR 자료+5%20.pdf").write_bytes(b"123")
     (tmp_path / "Beta IR 2024.pdf").write_bytes(b"1")
     listing = list_files(spark, str(tmp_path))
-    assert {(r.path, r.length) for r in listing.collect()} == {("가나/IR 자료.pdf", 3), ("Beta IR 2024.pdf", 1)}
+    assert {(r.path, r.length) for r in listing.collect()} == {("가나/IR 자료+5%20.pdf", 3), ("Beta IR 2024.pdf", 1)}
     assert {r.company for r in docs.file_inventory(listing).collect()} == {"가나", "Beta"}
 
 
