@@ -7,7 +7,7 @@ of a fixed size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +36,33 @@ def top_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
+def split_hot_keys(rows: DataFrame, sizes: DataFrame, key: str, size: str, *, hot: int = 64,
+                   splits: int = 64) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Prepare a join of rows with tables of one row per key, hot keys split.
+
+    The ``hot`` largest keys spread their rows over ``splits`` salts; any other
+    key holds less than one part in ``hot`` of all rows.  Returns the rows with
+    a ``_salt`` column and a function that gives a one-row-per-key table the
+    same salts; both are then joined on (key, _salt).  Joining on the key alone
+    would leave a hot key in one task: AQE does not split a join whose other
+    side is an aggregate on the same key.  The broadcast list has at most
+    ``hot`` rows.
+    """
+    largest = sizes.select(key, size).orderBy(F.desc(size), key).limit(hot).select(key, F.lit(True).alias("_hot"))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.join(F.broadcast(largest), key, "left")
+
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(splits)).cast("int")).otherwise(0)
+    salted = marked(rows).withColumn("_salt", salt).drop("_hot")
+
+    def expand(facts: DataFrame) -> DataFrame:
+        salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
+        return marked(facts).withColumn("_salt", F.explode(salts)).drop("_hot")
+
+    return salted, expand
+
+
 def rank_in_buckets(df: DataFrame, keys: Sequence[str], buckets: Sequence[str], order: Sequence[str],
                     out: str, start: int = 0) -> DataFrame:
     """Place of every row within its key, found bucket by bucket.

@@ -7,7 +7,7 @@ target, so a target with a third of all candidates is not one task's work.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import fixed, pad_code, plain_number, sentinel_number
 from peerglass.functions.text import as_col, strip
-from peerglass.operators.distributed import top_k_per_key
+from peerglass.operators.distributed import split_hot_keys, top_k_per_key
 from peerglass.operators.similarity import score_columns, with_unit_length
 from peerglass.session import cut_lineage
 
@@ -154,17 +154,16 @@ def _value(metric: str) -> Column:
 
 
 def _group_facts(passed: Column, metrics: Sequence[str]) -> list[Column]:
-    facts = [F.count_if(passed).alias("n_passed")]
+    facts = [F.count(F.lit(1)).alias("n_rows"), F.count_if(passed).alias("n_passed")]
     for m in metrics:
         kept = F.when(passed, _value(m))
         facts += [F.max(kept).alias(f"max_{m}"), F.min(kept).alias(f"min_{m}"), F.count(kept).alias(f"n_{m}")]
     return facts
 
 
-def _trim(rows: DataFrame, facts: DataFrame, target: str, metrics: Sequence[str], min_group: int,
-          min_left: int) -> DataFrame:
-    """Mark outliers among passed rows, given the facts of their target."""
-    at = rows.join(facts, target, "left")
+def _trim(at: DataFrame, expand: Callable[[DataFrame], DataFrame], columns: Sequence[str], target: str,
+          metrics: Sequence[str], min_group: int, min_left: int) -> DataFrame:
+    """Mark outliers among passed rows, the facts of their target at hand."""
     grouped = F.col("passed") & (F.col("n_passed") >= min_group)
     enough = {m: F.col(f"n_{m}") >= V.TRIM_MIN_VALUES for m in metrics}
     at_max = {m: grouped & enough[m] & (_value(m) == F.col(f"max_{m}")) for m in metrics}
@@ -185,11 +184,11 @@ def _trim(rows: DataFrame, facts: DataFrame, target: str, metrics: Sequence[str]
     left_per = F.col("n_passed") - F.col("_n_per") >= min_left
     note = F.when(left_full, F.col("_full")).when(left_per, F.col("_per"))
     return (
-        noted.join(drops, target, "left")
+        noted.join(expand(drops), [target, "_salt"], "left")
         .withColumn("is_outlier", F.col("passed") & note.isNotNull())
         .withColumn("reason", F.when(F.col("is_outlier"), note).otherwise(F.col("reason")))
         .withColumn("passed", F.col("passed") & ~F.col("is_outlier"))
-        .select(*rows.columns, "is_outlier")
+        .select(*columns, "is_outlier")
     )
 
 
@@ -201,7 +200,9 @@ def trim_extremes(rows: DataFrame, *, target: str = "t", metrics: Sequence[str]
     left only the PER extremes go, and where that is still too few nobody does.
     """
     facts = rows.groupBy(target).agg(*_group_facts(F.col("passed"), metrics))
-    return _trim(rows, facts, target, metrics, min_group, min_left)
+    salted, expand = split_hot_keys(rows, facts, target, "n_rows")
+    at = salted.join(expand(facts), [target, "_salt"], "left")
+    return _trim(at, expand, rows.columns, target, metrics, min_group, min_left)
 
 
 def screen_with_fallback(rows: DataFrame, *, target: str = "t") -> DataFrame:
@@ -210,8 +211,11 @@ def screen_with_fallback(rows: DataFrame, *, target: str = "t") -> DataFrame:
     Adds ``passed``, ``reason`` and ``relaxed``.
     """
     both = _with_both_verdicts(rows)
-    chosen = both.groupBy(target).agg((F.count_if(F.size("_strict") == 0) == 0).alias("relaxed"))
-    return _choose(both.join(chosen, target, "left"), rows.columns, [])
+    chosen = both.groupBy(target).agg(
+        F.count(F.lit(1)).alias("n_rows"), (F.count_if(F.size("_strict") == 0) == 0).alias("relaxed")
+    )
+    salted, expand = split_hot_keys(both, chosen, target, "n_rows")
+    return _choose(salted.join(expand(chosen), [target, "_salt"], "left"), rows.columns, [])
 
 
 def _with_both_verdicts(rows: DataFrame, eligible: Column | None = None) -> DataFrame:
@@ -249,8 +253,11 @@ def stage4_requirements(rows: DataFrame, *, target: str = "t", eligible: Column
     facts = sides.select(
         target, relaxed.alias("relaxed"), F.when(relaxed, F.col("loose")).otherwise(F.col("strict")).alias("_facts")
     ).select(target, "relaxed", "_facts.*")
-    chosen = _choose(both.join(facts.select(target, "relaxed"), target, "left"), rows.columns, [])
-    return _trim(chosen, facts.drop("relaxed"), target, metrics, V.TRIM_MIN_GROUP, V.TRIM_MIN_LEFT)
+    salted, expand = split_hot_keys(both, facts, target, "n_rows")
+    at = salted.join(expand(facts), [target, "_salt"], "left")
+    chosen = _choose(at, rows.columns, ["_salt", *[c for c in facts.columns if c not in (target, "relaxed")]])
+    kept = [*rows.columns, "relaxed", "passed", "reason"]
+    return _trim(chosen, expand, kept, target, metrics, V.TRIM_MIN_GROUP, V.TRIM_MIN_LEFT)
 
 
 def cap_peers(rows: DataFrame, k: int = V.PEER_CAP, *, target: str = "t", company: str = "company_id") -> DataFrame:
