@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import pad_code
 from peerglass.functions.text import strip
-from peerglass.operators.distributed import contains_pairs, first_per_key, substrings
+from peerglass.operators.distributed import contains_pairs, first_per_key, split_hot_keys, substrings
 
 
 def industry_codes_long(rows: DataFrame, name: str, code: str) -> DataFrame:
@@ -109,8 +109,9 @@ def widen_small(tagged: DataFrame, wide: str, *, target: str = "t", company: str
     own; pool sizes are then one row per target.
     """
     rows = tagged.groupBy(target, company).agg(F.bool_or(~F.col(wide)).alias("_own"))
-    sizes = rows.groupBy(target).agg(F.count_if("_own").alias("_n"))
-    kept = rows.join(sizes, target).filter(F.col("_own") | (F.col("_n") <= small))
+    sizes = rows.groupBy(target).agg(F.count_if("_own").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+    salted, expand = split_hot_keys(rows, sizes, target, "_rows")
+    kept = salted.join(expand(sizes), [target, "_salt"]).filter(F.col("_own") | (F.col("_n") <= small))
     return kept.select(target, company)
 
 

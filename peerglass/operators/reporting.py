@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import amount_range, grouped, round_class, round_rank, to_double, unit_token
 from peerglass.functions.text import as_col, strip
-from peerglass.operators.distributed import rank_in_buckets, top_k_per_key
+from peerglass.operators.distributed import rank_in_buckets, split_hot_keys, top_k_per_key
 
 
 def infer_unit(values: DataFrame, group: str, value: str, row_no: str, fallback: str = V.DEFAULT_UNIT) -> DataFrame:
@@ -26,8 +26,10 @@ def infer_unit(values: DataFrame, group: str, value: str, row_no: str, fallback:
 
 def nonzero_series(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Rows of the series whose values do not sum to zero."""
-    alive = rows.groupBy(key).agg(F.sum(value).alias("_sum")).filter(F.col("_sum") != 0).select(key)
-    return rows.join(alive, key, "left_semi")
+    sums = rows.groupBy(key).agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
+    salted, expand = split_hot_keys(rows, sums, key, "_rows")
+    alive = expand(sums).filter(F.col("_sum") != 0).select(key, "_salt")
+    return salted.join(alive, [key, "_salt"], "left_semi").select(*rows.columns)
 
 
 def clean_series(pairs: Column | str) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
-    # A hot key makes one oversized shuffle partition; AQE splits it.
+    # Splits oversized partitions of plain joins; joins with an aggregate on the
+    # same key are split by operators.distributed.split_hot_keys instead.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -39,12 +39,13 @@ def test_filters_and_columns_reach_the_scan(spark):
     assert re.search(r"ReadSchema: struct<o_custkey:bigint,o_orderstatus:string,o_totalprice:double>", text)
 
 
-def test_big_sides_do_not_broadcast_without_a_size(spark):
-    """With unknown sizes (threshold off) every join still has a shuffle plan."""
+def test_only_bounded_lists_are_broadcast(spark):
+    """With size-based broadcasts off, what is left are the top-64 lists of hot keys."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(spark, "stage4_requirements")
-        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+        assert "SortMergeJoin" in text
+        assert re.findall(r"limit=(\d+)", text).count("64") == len(re.findall(r"BroadcastExchange", text)) > 0
         assert QUERIES["peer_funnel"](spark, FOLDER).count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
