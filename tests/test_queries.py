@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, differences
+from peerglass.plans import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,3 +29,8 @@ def test_entry_gives_the_flagship(spark):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_lists_all_queries():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
