@@ -244,12 +244,16 @@ def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "te
         .withColumnRenamed("cls", "_want")
     texts = rows.join(one, F.col("_id").eqNullSafe(F.col("_pick"))).select("_want", "_text")
     sets = with_sets(texts, ["_want"], "_text", full=True).where("cls = _want").drop("_want")
-    sets = scratch.cut(sets.groupBy("cls").agg(F.first("grams").alias("grams")))
+    sets = scratch.cut(sets)  # an id that repeats may give a set twice; that changes no link
 
-    members = members.join(wanted, "cls", "left_semi")
+    members = scratch.cut(members.join(wanted, "cls", "left_semi"), "members")
     groups = links = None
     for first, past in ((0, 1), (1, 5), (0, ORDERS)):
-        found = scratch.cut(_round(members, groups, sets, share, first, past))
+        # what is settled now stays so
+        unsettled = scratch.cut(_unsettled(members, groups), "members")
+        members = unsettled.drop("grp")
+        part = unsettled.where((F.col("tree") >= first) & (F.col("tree") < past))
+        found = scratch.cut(_round(part, sets, share, opening=groups is None))
         links = found if links is None else links.union(found)
         groups = connected(links, scratch, f"groups-{past}")
 
@@ -261,24 +265,23 @@ def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "te
         F.col("_id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_id").alias("component_id"))
 
 
-def _round(members: DataFrame, groups: DataFrame | None, sets: DataFrame, share: float, first: int, past: int) -> DataFrame:
-    """Links between different groups inside the branches of some trees."""
+def _unsettled(members: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Members with their groups, of branches with more than one group; sets that link meet in AGREE of these at least."""
     if groups is None:
         members = members.withColumn("grp", F.col("cls"))
     else:
         members = members.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
+    mixed = members.groupBy("tree", "root").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
+    members = members.join(mixed.select("tree", "root"), ["tree", "root"])
+    met = members.groupBy("cls").agg(F.count("*").alias("trees")).where(F.col("trees") >= AGREE)
+    return members.join(met.select("cls"), "cls", "left_semi")
 
-    def unsettled(rows: DataFrame) -> DataFrame:
-        """Branches with sets of more than one group."""
-        return rows.groupBy("tree", "root").agg(F.count("*").alias("total"), F.min("grp").alias("main"), F.max("grp").alias("other")) \
-            .where("main <> other").drop("other")
-
-    # Two sets that link meet in AGREE unsettled branches at least.
-    met = members.join(unsettled(members), ["tree", "root"]).groupBy("cls").agg(F.count("*").alias("trees")) \
-        .where(F.col("trees") >= AGREE).select("cls")
-    members = members.join(met, "cls", "left_semi").where((F.col("tree") >= first) & (F.col("tree") < past))
-    branches = unsettled(members).withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
-    if groups is not None:
+
+def _round(members: DataFrame, sets: DataFrame, share: float, opening: bool) -> DataFrame:
+    """Links between different groups inside the branches."""
+    branches = members.groupBy("tree", "root").agg(F.count("*").alias("total"), F.min("grp").alias("main"), F.max("grp").alias("high")) \
+        .where("main <> high").drop("high").withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
+    if not opening:
         # the group with most sets stays in blocks, all others visit every block
         sizes = members.join(branches.where("blocks > 1").select("tree", "root"), ["tree", "root"]) \
             .groupBy("tree", "root", "grp").agg(F.count("*").alias("many"))
@@ -287,7 +290,7 @@ def _round(members: DataFrame, groups: DataFrame | None, sets: DataFrame, share:
     placed = members.join(branches, ["tree", "root"])
     own = F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")).cast("int")
     # at first some sets are shared by all blocks
-    visits = F.col("grp") != F.col("main") if groups is not None else F.pmod(F.xxhash64("cls"), F.col("total")) < SHARED
+    visits = F.pmod(F.xxhash64("cls"), F.col("total")) < SHARED if opening else F.col("grp") != F.col("main")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     placed = placed.select("cls", "tree", "root", "grp", F.explode(F.when(visits, every).otherwise(F.array(own))).alias("block"))
     keys = ["tree", "root", "block"]
