@@ -11,8 +11,9 @@ Inside a branch, a tree is walked once for all sets together: the overlaps with
 everything below, and a set leaves a subtree as soon as what remains of either cannot reach the threshold.  Sets that
 are linked already are not compared again, so a branch of near copies costs about as much as one walk of one of them.
 
-Spark deals branches out; sets are shipped only for branches with sets of different groups.  Branches beyond
-``BLOCK`` sets are dealt out in blocks: first all blocks share some sets, later the sets outside the branch's
+Spark deals the work out.  Sets that hang together by branches are a family; one of at most ``BLOCK`` sets is one tree, and each set is
+shipped once.  The branches of larger families are walked one by one, those with sets of different groups only; branches
+beyond ``BLOCK`` sets are dealt out in blocks: first all blocks share some sets, later the sets outside the branch's
 largest group visit every block.  Groups are connected components, found by joins on (class, class) rows.
 
 Defined cases: texts without words or null have an empty set and no link; with fewer than five words all words are the one
@@ -248,15 +249,28 @@ def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "te
 
     members = scratch.cut(members.join(wanted, "cls", "left_semi"), "members")
     groups = links = None
-    for first, past in ((0, 1), (1, 5), (0, ORDERS)):
+    # Families first: whatever hangs together by branches and is small is joined at once.  What is larger is loosened by some trees,
+    # then by families again, then by all trees.
+    for step, trees in enumerate((None, (0, 1), (1, 5), None, (0, ORDERS))):
         # what is settled now stays so
-        unsettled = scratch.cut(_unsettled(members, groups), "members")
-        members = unsettled.drop("grp")
-        part = unsettled.where((F.col("tree") >= first) & (F.col("tree") < past))
-        found = scratch.cut(_round(part, sets, share, opening=groups is None))
+        members = scratch.cut(_unsettled(members, groups), "members")
+        if members.isEmpty():
+            break
+        if trees is None:
+            families = scratch.cut(_families(members, scratch), "families")
+            placed = members.select("cls", "grp").distinct().join(families.where("many <= " + str(BLOCK)), "cls") \
+                .select("cls", "grp", F.lit(0).alias("tree"), F.col("family").alias("root"), F.lit(0).alias("block"))
+            members = members.join(families.where("many > " + str(BLOCK)).select("cls"), "cls", "left_semi")
+        else:
+            part = members.where((F.col("tree") >= trees[0]) & (F.col("tree") < trees[1]))
+            placed = _placed(part, opening=step == 1)
+        found = scratch.cut(_linked(placed, sets, share))
         links = found if links is None else links.union(found)
-        groups = connected(links, scratch, f"groups-{past}")
+        groups = connected(links, scratch, f"groups-{step}")
+        members = members.drop("grp")
 
+    if groups is None:
+        groups = wanted.select("cls", F.col("cls").alias("grp"))
     ids = marked.join(groups.withColumnRenamed("cls", "g_cls"), (F.col("cls") == F.col("g_cls")) & (F.col("n") > 0), "left") \
         .select("_id", "n", F.when(F.col("n") > 0, F.coalesce("grp", "cls")).alias("grp"))
     ids = scratch.cut(ids)
@@ -277,8 +291,16 @@ def _unsettled(members: DataFrame, groups: DataFrame | None) -> DataFrame:
     return members.join(met.select("cls"), "cls", "left_semi")
 
 
-def _round(members: DataFrame, sets: DataFrame, share: float, opening: bool) -> DataFrame:
-    """Links between different groups inside the branches."""
+def _families(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(cls, family, many): what hangs together by sharing branches, each set once, with the family's size."""
+    first = members.groupBy("tree", "root").agg(F.min("cls").alias("b"))
+    families = connected(members.join(first, ["tree", "root"]).select(F.col("cls").alias("a"), "b"), scratch, "family") \
+        .withColumnRenamed("grp", "family")
+    return families.join(families.groupBy("family").agg(F.count("*").alias("many")), "family").select("cls", "family", "many")
+
+
+def _placed(members: DataFrame, opening: bool) -> DataFrame:
+    """Members with the blocks of their branches that they visit."""
     branches = members.groupBy("tree", "root").agg(F.count("*").alias("total"), F.min("grp").alias("main"), F.max("grp").alias("high")) \
         .where("main <> high").drop("high").withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
     if not opening:
@@ -292,7 +314,11 @@ def _round(members: DataFrame, sets: DataFrame, share: float, opening: bool) ->
     # at first some sets are shared by all blocks
     visits = F.pmod(F.xxhash64("cls"), F.col("total")) < SHARED if opening else F.col("grp") != F.col("main")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    placed = placed.select("cls", "tree", "root", "grp", F.explode(F.when(visits, every).otherwise(F.array(own))).alias("block"))
+    return placed.select("cls", "tree", "root", "grp", F.explode(F.when(visits, every).otherwise(F.array(own))).alias("block"))
+
+
+def _linked(placed: DataFrame, sets: DataFrame, share: float) -> DataFrame:
+    """Links (a, b) between different groups, found by one walk for each branch and block."""
     keys = ["tree", "root", "block"]
     return placed.join(sets, "cls").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_branch_links(share), "a bigint, b bigint")
 
