@@ -214,10 +214,10 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
     before, turn = mark(edges), 0
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{key}-low")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = scratch.cut(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(),
                             f"{key}-large")
-        least = scratch.cut(large.groupBy("a").agg(F.min("b").alias("m")), f"{key}-least")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .union(least.select("a", "m")).distinct()
         edges = scratch.cut(small, f"{key}-{turn % 2}")
@@ -225,7 +225,7 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
         if after == before:
             break
         before = after
-    scratch.drop(f"{key}-first", f"{key}-low", f"{key}-large", f"{key}-least")
+    scratch.drop(f"{key}-first", f"{key}-large")
     return edges.toDF("cls", "grp").union(edges.select("b", "b").distinct())
 
 
@@ -249,14 +249,15 @@ def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "te
 
     members = scratch.cut(members.join(wanted, "cls", "left_semi"), "members")
     groups = links = None
-    # Families first: whatever hangs together by branches and is small is joined at once.  What is larger is loosened by some trees,
-    # then by families again, then by all trees.
-    for step, trees in enumerate((None, (0, 1), (1, 5), None, (0, ORDERS))):
+    # Families first: whatever hangs together by branches and is small is joined at once.  What is larger is joined by some trees,
+    # and what they leave by all trees.
+    for step, trees in enumerate((None, (0, 3), (0, ORDERS))):
         # what is settled now stays so
         members = scratch.cut(_unsettled(members, groups), "members")
         if members.isEmpty():
             break
         if trees is None:
+            # one walk for each family
             families = scratch.cut(_families(members, scratch), "families")
             placed = members.select("cls", "grp").distinct().join(families.where("many <= " + str(BLOCK)), "cls") \
                 .select("cls", "grp", F.lit(0).alias("tree"), F.col("family").alias("root"), F.lit(0).alias("block"))
