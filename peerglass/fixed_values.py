@@ -140,3 +140,6 @@ NAME_KEY_DROP = r"[\x00-,;-`{-\x{ABFF}\x{D7A4}-\x{10FFFF}]+"
 FILENAME_DATE = r"(20[1-3]\d)[-._]?([0-1]\d)"
 NUMBERED_STEP = r"(원|배|주)([1-5]\.)"
 MARKET_CAP_TEXT = r"(?:(\d+(?:,\d+)*)조)?(?:(\d+(?:,\d+)*))?$"
+
+# A decimal number, sign and exponent allowed, with white space around it.
+DECIMAL_TEXT = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"

@@ -18,7 +18,9 @@ def pad_code(value: Column | str, width: int = V.STOCK_CODE_DIGITS) -> Column:
 
 
 def to_double(value: Column | str) -> Column:
-    return as_col(value).try_cast("double")
+    """Number of a plain decimal text; null for anything else, such as NaN, 12d or 0x1p3."""
+    c = as_col(value)
+    return F.when(c.cast("string").rlike(V.DECIMAL_TEXT), c.try_cast("double"))
 
 
 def plain_number(value: Column | str) -> Column:

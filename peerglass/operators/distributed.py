@@ -36,29 +36,29 @@ def top_k_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= k)
 
 
-def split_hot_keys(rows: DataFrame, sizes: DataFrame, key: str, size: str, *, hot: int = 64,
-                   splits: int = 64) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+def split_hot_keys(rows: DataFrame, sizes: DataFrame, key: str, size: str, *,
+                   rows_per_task: int = 1_000_000) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
     """Prepare a join of rows with tables of one row per key, hot keys split.
 
-    The ``hot`` largest keys spread their rows over ``splits`` salts; any other
-    key holds less than one part in ``hot`` of all rows.  Returns the rows with
-    a ``_salt`` column and a function that gives a one-row-per-key table the
-    same salts; both are then joined on (key, _salt).  Joining on the key alone
-    would leave a hot key in one task: AQE does not split a join whose other
-    side is an aggregate on the same key.  The broadcast list has at most
-    ``hot`` rows.
+    A key with more than ``rows_per_task`` rows spreads them over as many salts
+    as it holds such portions, however many keys do.  Returns the rows with a
+    ``_salt`` column and a function that gives a one-row-per-key table the same
+    salts; both are then joined on (key, _salt).  Joining on the key alone would
+    leave a hot key in one task: AQE does not split a join whose other side is
+    an aggregate on the same key.  The broadcast list holds at most one key for
+    every ``rows_per_task`` rows of the input: a million for a million million.
     """
-    largest = sizes.select(key, size).orderBy(F.desc(size), key).limit(hot).select(key, F.lit(True).alias("_hot"))
+    hot = sizes.filter(F.col(size) > rows_per_task).select(
+        key, F.ceil(F.col(size) / rows_per_task).cast("int").alias("_salts"))
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(largest), key, "left")
+        return df.join(F.broadcast(hot), key, "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
 
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*rows.columns), F.lit(splits)).cast("int")).otherwise(0)
-    salted = marked(rows).withColumn("_salt", salt).drop("_hot")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int")
+    salted = marked(rows).withColumn("_salt", salt).drop("_salts")
 
     def expand(facts: DataFrame) -> DataFrame:
-        salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(F.array(F.lit(0)))
-        return marked(facts).withColumn("_salt", F.explode(salts)).drop("_hot")
+        return marked(facts).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
 
     return salted, expand
 

@@ -46,7 +46,8 @@ def clean_series(pairs: Column | str) -> Column:
 
     def number(row: Column) -> Column:
         c = strip(F.translate(text(row, 2), ",억원", ""))
-        return F.when(c.isin(*V.SERIES_NA_MARKS), F.lit(0.0)).otherwise(to_double(c))
+        given = F.try_element_at(row, F.lit(2)).isNotNull()  # a missing value drops the row, a mark for none is 0
+        return F.when(given, F.when(c.isin(*V.SERIES_NA_MARKS), F.lit(0.0)).otherwise(to_double(c)))
 
     body = F.filter(rows, lambda row, i: (i > 0) | year(row).rlike("^[0-9]"))
     read = F.transform(body, lambda row: F.struct(year(row).alias("year"), number(row).alias("value"),

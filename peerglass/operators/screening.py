@@ -16,7 +16,7 @@ from peerglass import fixed_values as V
 from peerglass.functions.numbers import fixed, pad_code, plain_number, sentinel_number
 from peerglass.functions.text import as_col, strip
 from peerglass.operators.distributed import split_hot_keys, top_k_per_key
-from peerglass.operators.similarity import score_columns, with_unit_length
+from peerglass.operators.similarity import similarity_scores
 from peerglass.session import cut_lineage
 
 METRIC_COLUMNS = ("is_warning", "market_cap", "per", "pbr", "ev_ebitda")
@@ -295,23 +295,22 @@ def peer_funnel(pool: DataFrame, companies: DataFrame, cells: DataFrame, target_
                 income_period: str = V.INCOME_PERIOD) -> DataFrame:
     """Every pool company with the stage it reaches, why it leaves, and its final place.
 
-    ``companies`` holds code, month, row_no and the listing metrics.  All facts
-    are joined on the company key, so the pool is shuffled once for them;
-    similarity is computed for survivors only.  The facts are then written
+    ``companies`` holds code, month, row_no and the listing metrics.  The cheap
+    filters come first: vectors are joined to those only that pass them, and
+    the scores are put back by (target, company).  These facts are written
     once, and the later stages read the few columns they need from there.
     """
-    held = with_unit_length(vectors.select(company, F.col(vector).alias("_cv")), "_cv", "_cn")
-    wanted = with_unit_length(target_vectors.select(target, F.col(vector).alias("_tv")), "_tv", "_tn")
     verdicts = income_verdict(companies, cells, company=company, income_period=income_period)
-    facts = pool.join(verdicts, company, "left").join(held, company, "left").join(wanted, target, "left")
     settles = december("month", "code")
-    candidate = settles & F.coalesce("profit_passed", F.lit(False))
-    score, similar, why = score_columns(*(F.col(c) for c in ("_tv", "_tn", "_cv", "_cn")), threshold)
-    scored = cut_lineage(facts.select(
+    facts = pool.join(verdicts, company, "left").select(
         target, company, pad_code(strip("code")).alias("code"), "row_no", *METRIC_COLUMNS, "income_reason",
         settles.alias("_settles"), F.coalesce("profit_passed", F.lit(False)).alias("_profit"),
-        F.when(candidate, F.struct(score, similar, why)).alias("_s"),
-    ))
+    )
+    candidates = facts.filter(F.col("_settles") & F.col("_profit")).select(target, company).distinct()
+    scores = similarity_scores(candidates, target_vectors, vectors, target=target, company=company, vector=vector,
+                               threshold=threshold)
+    scored = cut_lineage(facts.join(
+        scores.select(target, company, F.struct("score", "similar", "similarity_reason").alias("_s")), [target, company], "left"))
     marked = mark_december_firsts(scored, "_settles", target=target)
     survives = F.col("dec_passed") & F.col("_profit")
     staged = marked.select(

@@ -42,9 +42,9 @@ def similarity_scores(pairs: DataFrame, targets: DataFrame, candidates: DataFram
 
 def score_columns(tv: Column, tn: Column, cv: Column, cn: Column, threshold: float) -> list[Column]:
     cosine = F.coalesce(F.try_divide(dot(tv, cv), tn * cn), F.lit(0.0))
-    clipped = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)), 6)
-    score = F.when(tv.isNotNull(), F.when(cv.isNull(), F.lit(0.0)).otherwise(clipped))
-    passed = tv.isNull() | (F.coalesce(score, F.lit(0.0)) >= threshold)
+    exact = F.when(cv.isNull(), F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cosine)))
+    score = F.when(tv.isNotNull(), F.round(exact, 6))  # rounded for output, after the comparison
+    passed = tv.isNull() | (exact >= threshold)
     reason = F.when(tv.isNull(), F.lit("skipped")).when(cv.isNull(), F.lit(V.NO_BUSINESS_INFO)).otherwise(
         F.lit("scored")
     )

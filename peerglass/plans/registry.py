@@ -24,16 +24,6 @@ class Tables:
         setattr(self, name, table)
         return table
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for heavy per-row text work, over all cores even where it is one small file.
-
-        Tables with at least as many scan splits as cores are left alone, so
-        large ones are never shuffled for this.
-        """
-        table = getattr(self, name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables)`` as a query, with the SQL that must match it."""

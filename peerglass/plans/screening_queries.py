@@ -11,7 +11,6 @@ from peerglass.operators import similarity as sim
 from peerglass.operators import valuation as val
 from peerglass.plans import views as vw
 from peerglass.plans.registry import query
-from peerglass.session import cut_lineage
 
 
 def _industries(t):
@@ -241,7 +240,7 @@ def attach_default(t):
 
 def _metrics(t):
     """Metrics written once: the requirement stage reads them three times."""
-    return cut_lineage(vw.company_metrics(t))
+    return vw.company_metrics(t)
 
 
 @query("general_requirements", f"""WITH {vw.METRICS_SQL}

@@ -1,4 +1,4 @@
-"""Session set-up and lineage cutting."""
+"""Session set-up."""
 
 from __future__ import annotations
 
@@ -39,17 +39,15 @@ def build_session(app: str = "peerglass", master: str | None = None, **conf: str
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a frame that several later steps read, and read it back.
 
-    The table goes to the shared folder the cluster names in
-    ``spark.checkpoint.dir``, so a lost executor costs no recomputation.  A
-    written table runs the plan once; an eager checkpoint runs it twice.
-    Where no folder is named, a local session uses a temporary one; on a
-    cluster the frame is returned as it is and later steps recompute it.
+    The table goes to the shared folder named by ``spark.checkpoint.dir``, so a
+    lost executor costs no recomputation, and the plan runs once.  A local
+    session without that setting gets a folder of its own; a cluster must name one.
     """
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            return df
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="peerglass-")
     path = f"{folder.rstrip('/')}/peerglass-{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -154,3 +154,13 @@ def test_number_texts_are_total(spark, numbers):
 def test_general_text_has_six_digits(spark, numbers):
     got = values(spark, lambda c: N.general_text(F.col(c)), numbers, "double")
     assert all(math.isclose(float(g), float(f"{n:g}"), rel_tol=2e-5) for g, n in zip(got, numbers))
+
+
+def test_only_decimal_texts_are_numbers(spark):
+    from peerglass.functions.numbers import sentinel_number, to_double
+
+    texts = ["12", "-1.5", ".5", "1e3", "NaN", "12d", "1,200f", "0x1p3", "Infinity", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    assert [r[0] for r in rows.select(to_double("t")).collect()] == [12.0, -1.5, 0.5, 1000.0, *[None] * 7]
+    missing = rows.select(sentinel_number("t")).collect()
+    assert len({r[0] for r in missing[4:]}) == 1

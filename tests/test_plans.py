@@ -5,7 +5,6 @@ import re
 import pytest
 
 from peerglass.plans import QUERIES
-from peerglass.session import cut_lineage
 
 FOLDER = "/root/testdata/sf0.001"
 # Reports whose one row or one ordered list is the result itself.
@@ -40,20 +39,14 @@ def test_filters_and_columns_reach_the_scan(spark):
 
 
 def test_only_bounded_lists_are_broadcast(spark):
-    """With size-based broadcasts off, what is left are the top-64 lists of hot keys."""
+    """With size-based broadcasts off, what is left are the lists of keys beyond the rows of a task."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(spark, "stage4_requirements")
         assert "SortMergeJoin" in text
-        assert re.findall(r"limit=(\d+)", text).count("64") == len(re.findall(r"BroadcastExchange", text)) > 0
+        assert "BroadcastExchange" in text
+        assert len(re.findall("> 1000000", text)) >= 1
         assert QUERIES["peer_funnel"](spark, FOLDER).count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
-
-def test_cut_lineage_gives_the_same_rows(spark):
-    df = spark.range(10).selectExpr("id", "array(id) as a", "cast(null as string) as s")
-    cut = cut_lineage(df)
-    assert cut.dtypes == df.dtypes
-    assert sorted(cut.collect(), key=str) == sorted(df.collect(), key=str)
-    assert "Range" not in cut._jdf.queryExecution().executedPlan().toString()

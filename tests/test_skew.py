@@ -43,15 +43,23 @@ def test_hot_target_is_split(small_partitions):
     """Rows of the hot target spread evenly over the salts its facts are given."""
     rows = hot_pool(small_partitions)
     sizes = rows.groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-    salted, expand = split_hot_keys(rows, sizes, "t", "n", hot=4, splits=32)
+    salted, expand = split_hot_keys(rows, sizes, "t", "n", rows_per_task=2500)
     parts = salted.groupBy("t", "_salt").count().filter("t = 0").toPandas()
-    assert len(parts) == 32 and parts["count"].max() < 2 * parts["count"].mean()
+    assert len(parts) == 27 and parts["count"].max() < 2 * parts["count"].mean()
     facts = expand(sizes).groupBy("t").count().toPandas().set_index("t")["count"]
-    assert facts[0] == 32 and (facts == 32).sum() == 4 and (facts == 1).sum() == len(facts) - 4
+    assert facts[0] == 27 and (facts == 1).sum() == len(facts) - 1
     joined = salted.join(expand(sizes), ["t", "_salt"])
     assert joined.count() == rows.count()
 
 
+def test_every_hot_key_is_split(small_partitions):
+    """A hundred keys beyond a task's rows: all of them spread, by their row counts."""
+    rows = small_partitions.range(100_000).select((F.col("id") % 100).alias("t"), "id")
+    salted, _ = split_hot_keys(rows, rows.groupBy("t").agg(F.count("*").alias("n")), "t", "n", rows_per_task=300)
+    parts = salted.groupBy("t", "_salt").count()
+    assert parts.count() == 400 and parts.agg(F.max("count")).first()[0] < 360
+
+
 def test_requirement_stage_joins_on_the_salt(small_partitions):
     result = S.stage4_requirements(hot_pool(small_partitions))
     text = result._jdf.queryExecution().executedPlan().toString()
