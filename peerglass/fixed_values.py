@@ -130,6 +130,104 @@ FAIL_IDENTITY = "회사 동일성 검증 실패"
 FAIL_OFFICIAL = "공식/준공식 근거 부재"
 WARN_ONE_EVIDENCE = "근거 1개로 제한됨"
 
+# ---- Fixed values: verdict texts ------------------------------------------
+FAIL_NO_TABLE = "재무 테이블 없음"
+FAIL_NO_PERIOD = "기간 컬럼 없음"
+FAIL_NO_INCOME_ROW = "당기순이익 행 없음"
+PROFIT_TEXT = "흑자 ("
+LOSS_TEXT = "적자 ("
+FAIL_SETTLEMENT = "결산월"
+
+# ---- Fixed values: fields of the report sections ---------------------------
+# Path and kind; '[]' marks the items of a list.
+FINANCE_FIELDS = [
+    ("Report_Header.Company_Name", "STRING"),
+    ("Report_Header.CEO_Name", "STRING"),
+    ("Report_Header.Industry_Sector", "STRING"),
+    ("Report_Header.Industry_Classification", "STRING"),
+    ("Report_Header.Investment_Rating", "STRING"),
+    ("Financial_Status.Balance_Sheet.Unit", "STRING"),
+    ("Financial_Status.Balance_Sheet.Columns", "ARRAY"),
+    ("Financial_Status.Balance_Sheet.Rows", "ARRAY"),
+    ("Financial_Status.Income_Statement.Unit", "STRING"),
+    ("Financial_Status.Income_Statement.Columns", "ARRAY"),
+    ("Financial_Status.Income_Statement.Rows", "ARRAY"),
+    ("Financial_Status.Key_Financial_Commentary", "STRING"),
+    ("Financial_Status.Investment_History", "ARRAY"),
+    ("Financial_Status.Investment_History[].Round", "STRING"),
+    ("Financial_Status.Investment_History[].Amount", "STRING"),
+    ("Financial_Status.Investment_History[].Investor", "STRING"),
+    ("Financial_Status.Future_Revenue_Structure.Business_Model", "STRING"),
+    ("Financial_Status.Future_Revenue_Structure.Future_Cash_Cow", "STRING"),
+    ("Investment_Highlights", "ARRAY"),
+    ("Investment_Highlights[].Highlight_Title", "STRING"),
+    ("Investment_Highlights[].Highlight_Logic", "STRING"),
+]
+MARKET_FIELDS = [
+    ("Growth_Potential.Target_Market_Analysis.TAM", "STRING"),
+    ("Growth_Potential.Target_Market_Analysis.SAM", "STRING"),
+    ("Growth_Potential.Target_Market_Analysis.SOM", "STRING"),
+    ("Growth_Potential.Competitors_Comparison", "ARRAY"),
+    ("Growth_Potential.Target_Market_Trends", "ARRAY"),
+    ("Growth_Potential.Competitors_Comparison[].Company", "STRING"),
+    ("Growth_Potential.Competitors_Comparison[].Product", "STRING"),
+    ("Growth_Potential.Competitors_Comparison[].Target_Market", "STRING"),
+    ("Growth_Potential.Competitors_Comparison[].Core_Tech", "STRING"),
+    ("Growth_Potential.Target_Market_Trends[].Type", "STRING"),
+    ("Growth_Potential.Target_Market_Trends[].Source", "STRING"),
+    ("Growth_Potential.Target_Market_Trends[].Content", "STRING"),
+    ("Growth_Potential.LO_Exit_Strategy.Verified_Signals", "ARRAY"),
+    ("Growth_Potential.LO_Exit_Strategy.Expected_LO_Scenarios", "ARRAY"),
+    ("Growth_Potential.LO_Exit_Strategy.Expected_LO_Scenarios[].Category", "STRING"),
+    ("Growth_Potential.LO_Exit_Strategy.Expected_LO_Scenarios[].Probability", "STRING"),
+    ("Growth_Potential.LO_Exit_Strategy.Expected_LO_Scenarios[].Comment", "STRING"),
+    ("Growth_Potential.LO_Exit_Strategy.Valuation_Range", "STRING"),
+    ("Growth_Potential.Export_and_Contract_Stats.Export_Graph_Data", "ARRAY"),
+    ("Growth_Potential.Export_and_Contract_Stats.Contract_Count_Graph_Data", "ARRAY"),
+    ("Growth_Potential.Export_and_Contract_Stats.Sales_Graph_Data", "ARRAY"),
+]
+TECH_FIELDS = [
+    ("Technology_and_Pipeline.Market_Pain_Points", "ARRAY"),
+    ("Technology_and_Pipeline.Solution_and_Core_Tech.Technology_Name", "STRING"),
+    ("Technology_and_Pipeline.Solution_and_Core_Tech.Key_Features", "ARRAY"),
+    ("Technology_and_Pipeline.Pipeline_Development_Status.Core_Platform_Details", "STRING"),
+    ("Technology_and_Pipeline.Pipeline_Development_Status.Technical_Risk_Analysis", "STRING"),
+    ("Technology_and_Pipeline.Pipeline_Development_Status.Technical_Conclusion", "STRING"),
+]
+PERSONNEL_FIELDS = [
+    ("Key_Personnel.CEO_Reference.Name", "STRING"),
+    ("Key_Personnel.CEO_Reference.Background_and_Education", "STRING"),
+    ("Key_Personnel.CEO_Reference.Core_Competency", "STRING"),
+    ("Key_Personnel.CEO_Reference.Management_Philosophy", "STRING"),
+    ("Key_Personnel.CEO_Reference.VC_Perspective_Evaluation", "STRING"),
+    ("Key_Personnel.Team_Capability.Key_Executives", "ARRAY"),
+    ("Key_Personnel.Team_Capability.Organization_Strengths", "STRING"),
+    ("Key_Personnel.Team_Capability.Advisory_Board", "STRING"),
+    ("Key_Personnel.Cap_Table", "ARRAY"),
+    ("Key_Personnel.Cap_Table[].Shareholder", "STRING"),
+    ("Key_Personnel.Cap_Table[].Shares", "STRING"),
+    ("Key_Personnel.Cap_Table[].Ratio", "STRING"),
+]
+VALUATION_FIELDS = [
+    ("Valuation_and_Judgment.Valuation_Table", "ARRAY"),
+    ("Valuation_and_Judgment.Valuation_Table[].Round", "STRING"),
+    ("Valuation_and_Judgment.Valuation_Table[].Pre_Money", "STRING"),
+    ("Valuation_and_Judgment.Valuation_Table[].Post_Money", "STRING"),
+    ("Valuation_and_Judgment.Valuation_Table[].Comment", "STRING"),
+    ("Valuation_and_Judgment.Three_Axis_Assessment.Technology_Rating", "STRING"),
+    ("Valuation_and_Judgment.Three_Axis_Assessment.Growth_Rating", "STRING"),
+    ("Valuation_and_Judgment.Three_Axis_Assessment.Exit_Rating", "STRING"),
+    ("Valuation_and_Judgment.Suitable_Investor_Type", "STRING"),
+    ("Investment_Risks", "ARRAY"),
+    ("Investment_Risks[].Risk_Title", "STRING"),
+    ("Investment_Risks[].Risk_Detail", "STRING"),
+    ("Investment_Risks[].Mitigation_and_Outlook", "STRING"),
+    ("Investment_Rating", "STRING"),
+    ("Final_Conclusion", "STRING"),
+]
+NULLABLE_FIELDS = ["Financial_Status.Balance_Sheet.Unit", "Financial_Status.Income_Statement.Unit"]
+FIELD_LENGTHS = {"Investment_Highlights": 3}
+
 # ---- Fixed values: text patterns -----------------------------------------
 KEY_PUNCTUATION = """,，·ㆍ;:(){}[]<>"'“”‘’"""
 KEY_REPLACEMENT = ("차체나", "차체및")

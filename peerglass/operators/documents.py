@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
 from peerglass.functions.text import (
-    as_col, clean_cell, doc_type, entity_from_filename, file_ext, first_present, strip_tags, tag_text,
+    as_col, clean_cell, clean_header, doc_type, entity_from_filename, file_ext, first_present, strip_tags, tag_text,
 )
 from peerglass.operators.distributed import text_parts, top_k_per_key
 
@@ -99,13 +99,14 @@ def table_text(rows: DataFrame, headers: DataFrame, *, table: Sequence[str] = ("
     """Tables as pipe-separated text in numbered parts.
 
     ``headers`` holds one row per table; header and separator line come with
-    every part, so each part is a readable table.
+    every part, so each part is a readable table.  Blank header cells are named
+    after their position; a table without a header row is given as plain lines.
     """
     lines = rows.select(*table, row_no, table_row_text(cells).alias("_line"))
     parts = text_parts(lines, list(table), row_no, "_line", "_body", per_part, separator="\n")
-    head = headers.select(*table, F.col(cells).alias("_head"))
+    head = headers.select(*table, clean_header(cells).alias("_head"))
     rule = F.array_join(F.transform("_head", lambda _: F.lit("---")), " | ")
-    return parts.join(head, list(table)).select(
+    return parts.join(head, list(table), "left").select(
         *table, "part_no", "n_items",
         F.concat_ws("\n", table_row_text("_head"), rule, F.col("_body")).alias("table_text"),
     )

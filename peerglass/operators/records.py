@@ -56,10 +56,12 @@ def mix_wide(long: DataFrame, keys: Sequence[str], segments: Sequence[str] | Non
     Segment names are found by the pivot unless given; Spark refuses more of
     them than ``spark.sql.pivotMaxValues``.
     """
-    grouped = long.groupBy(*keys).pivot("segment", list(segments) if segments else None)
+    # Names carry a mark while they are columns, so that a segment called 'null' is not the one without a name.
+    marked = long.withColumn("segment", F.concat(F.lit("="), "segment"))
+    grouped = marked.groupBy(*keys).pivot("segment", [f"={s}" for s in segments] if segments else None)
     wide = grouped.agg(F.first("ratio", ignorenulls=True))
     names = sorted(c for c in wide.columns if c not in keys and c != "null")
-    return wide.select(*keys, *[F.col(f"`{n}`") for n in names])
+    return wide.select(*keys, *[F.col("`" + n.replace("`", "``") + "`").alias(n[1:]) for n in names])
 
 
 # --- merge and patch -------------------------------------------------------
@@ -73,13 +75,20 @@ def overlay_maps(base: Column, later: Column) -> Column:
 def merge_sections(sections: Sequence[DataFrame], key: str = "t", record: str = "record") -> DataFrame:
     """One record per company from section maps; later sections win.
 
-    All sections are hashed on the company key, so one shuffle per section
-    serves the whole chain of outer joins.
+    Sections are stacked and meet in one shuffle; a company's list holds one
+    map of each section, so it does not grow with the data.
     """
-    named = [s.select(key, F.col(record).alias(f"_r{i}")) for i, s in enumerate(sections)]
-    joined = reduce(lambda a, b: a.join(b, key, "full_outer"), named)
-    merged = reduce(overlay_maps, [F.col(f"_r{i}") for i in range(len(named))])
-    return joined.select(key, merged.alias(record))
+    stacked = reduce(DataFrame.unionByName, [
+        s.select(key, F.struct(F.lit(i).alias("no"), F.col(record).alias("map")).alias("_part"))
+        for i, s in enumerate(sections)])
+    parts = stacked.groupBy(key).agg(F.collect_list("_part").alias("_parts"))
+    none = F.lit(None).cast(stacked.schema["_part"].dataType["map"].dataType)
+
+    def of(no: int) -> Column:
+        return F.filter("_parts", lambda p: p["no"] == no)
+
+    in_order = F.flatten(F.array(*[of(no) for no in range(len(sections))]))  # maps have no order, so no sort
+    return parts.select(key, F.aggregate(in_order, none, lambda done, p: overlay_maps(done, p["map"])).alias(record))
 
 
 def move_rating(record: Column | str, header: Column | str, name: str = "Investment_Rating") -> Column:
@@ -134,59 +143,15 @@ class Field:
     exact_len: int | None = None
 
 
-def fields(prefix: str, names: str, **options) -> list[Field]:
-    return [Field(f"{prefix}.{n}" if prefix else n, **options) for n in names.split()]
-
-
-# ---- Fixed values: fields of the report sections ---------------------------
-FINANCE_FIELDS = [
-    *fields("Report_Header", "Company_Name CEO_Name Industry_Sector Industry_Classification Investment_Rating"),
-    Field("Financial_Status.Balance_Sheet.Unit", nullable=True),
-    *fields("Financial_Status.Balance_Sheet", "Columns Rows", kind="ARRAY"),
-    Field("Financial_Status.Income_Statement.Unit", nullable=True),
-    *fields("Financial_Status.Income_Statement", "Columns Rows", kind="ARRAY"),
-    Field("Financial_Status.Key_Financial_Commentary"),
-    Field("Financial_Status.Investment_History", kind="ARRAY"),
-    *fields("Financial_Status.Investment_History[]", "Round Amount Investor"),
-    *fields("Financial_Status.Future_Revenue_Structure", "Business_Model Future_Cash_Cow"),
-    Field("Investment_Highlights", kind="ARRAY", exact_len=3),
-    *fields("Investment_Highlights[]", "Highlight_Title Highlight_Logic"),
-]
-MARKET_FIELDS = [
-    *fields("Growth_Potential.Target_Market_Analysis", "TAM SAM SOM"),
-    *fields("Growth_Potential", "Competitors_Comparison Target_Market_Trends", kind="ARRAY"),
-    *fields("Growth_Potential.Competitors_Comparison[]", "Company Product Target_Market Core_Tech"),
-    *fields("Growth_Potential.Target_Market_Trends[]", "Type Source Content"),
-    *fields("Growth_Potential.LO_Exit_Strategy", "Verified_Signals Expected_LO_Scenarios", kind="ARRAY"),
-    *fields("Growth_Potential.LO_Exit_Strategy.Expected_LO_Scenarios[]", "Category Probability Comment"),
-    Field("Growth_Potential.LO_Exit_Strategy.Valuation_Range"),
-    *fields("Growth_Potential.Export_and_Contract_Stats",
-            "Export_Graph_Data Contract_Count_Graph_Data Sales_Graph_Data", kind="ARRAY"),
-]
-TECH_FIELDS = [
-    Field("Technology_and_Pipeline.Market_Pain_Points", kind="ARRAY"),
-    Field("Technology_and_Pipeline.Solution_and_Core_Tech.Technology_Name"),
-    Field("Technology_and_Pipeline.Solution_and_Core_Tech.Key_Features", kind="ARRAY"),
-    *fields("Technology_and_Pipeline.Pipeline_Development_Status",
-            "Core_Platform_Details Technical_Risk_Analysis Technical_Conclusion"),
-]
-PERSONNEL_FIELDS = [
-    *fields("Key_Personnel.CEO_Reference",
-            "Name Background_and_Education Core_Competency Management_Philosophy VC_Perspective_Evaluation"),
-    Field("Key_Personnel.Team_Capability.Key_Executives", kind="ARRAY"),
-    *fields("Key_Personnel.Team_Capability", "Organization_Strengths Advisory_Board"),
-    Field("Key_Personnel.Cap_Table", kind="ARRAY"),
-    *fields("Key_Personnel.Cap_Table[]", "Shareholder Shares Ratio"),
-]
-VALUATION_FIELDS = [
-    Field("Valuation_and_Judgment.Valuation_Table", kind="ARRAY"),
-    *fields("Valuation_and_Judgment.Valuation_Table[]", "Round Pre_Money Post_Money Comment"),
-    *fields("Valuation_and_Judgment.Three_Axis_Assessment", "Technology_Rating Growth_Rating Exit_Rating"),
-    Field("Valuation_and_Judgment.Suitable_Investor_Type"),
-    Field("Investment_Risks", kind="ARRAY"),
-    *fields("Investment_Risks[]", "Risk_Title Risk_Detail Mitigation_and_Outlook"),
-    *fields("", "Investment_Rating Final_Conclusion"),
-]
+def listed_fields(listed: Sequence[tuple[str, str]]) -> list[Field]:
+    return [Field(path, kind, path in V.NULLABLE_FIELDS, V.FIELD_LENGTHS.get(path)) for path, kind in listed]
+
+
+FINANCE_FIELDS = listed_fields(V.FINANCE_FIELDS)
+MARKET_FIELDS = listed_fields(V.MARKET_FIELDS)
+TECH_FIELDS = listed_fields(V.TECH_FIELDS)
+PERSONNEL_FIELDS = listed_fields(V.PERSONNEL_FIELDS)
+VALUATION_FIELDS = listed_fields(V.VALUATION_FIELDS)
 
 
 def _fault(value: Column, field: Field) -> Column:

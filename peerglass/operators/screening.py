@@ -72,11 +72,11 @@ def income_verdict(companies: DataFrame, cells: DataFrame, *, company: str = "co
     income = sentinel_number(F.when(at_cell, F.col("_cell._raw")))
     complete = F.col("_col").isNotNull() & F.col("_row").isNotNull()
     reason = (
-        F.when(F.col("_has_table").isNull(), F.lit("재무 테이블 없음"))
-        .when(F.col("_col").isNull(), F.lit("기간 컬럼 없음"))
-        .when(F.col("_row").isNull(), F.lit("당기순이익 행 없음"))
-        .when(income > 0, F.concat(F.lit("흑자 ("), plain_number(income), F.lit(")")))
-        .otherwise(F.concat(F.lit("적자 ("), plain_number(income), F.lit(")")))
+        F.when(F.col("_has_table").isNull(), F.lit(V.FAIL_NO_TABLE))
+        .when(F.col("_col").isNull(), F.lit(V.FAIL_NO_PERIOD))
+        .when(F.col("_row").isNull(), F.lit(V.FAIL_NO_INCOME_ROW))
+        .when(income > 0, F.concat(F.lit(V.PROFIT_TEXT), plain_number(income), F.lit(")")))
+        .otherwise(F.concat(F.lit(V.LOSS_TEXT), plain_number(income), F.lit(")")))
     )
     return judged.select(
         *companies.columns,
@@ -183,12 +183,14 @@ def _trim(at: DataFrame, expand: Callable[[DataFrame], DataFrame], columns: Sequ
     left_full = F.col("n_passed") - F.col("_n_full") >= min_left
     left_per = F.col("n_passed") - F.col("_n_per") >= min_left
     note = F.when(left_full, F.col("_full")).when(left_per, F.col("_per"))
+    kind = F.when(left_full, F.lit("full")).otherwise(F.lit("per"))
     return (
         noted.join(expand(drops), [target, "_salt"], "left")
         .withColumn("is_outlier", F.col("passed") & note.isNotNull())
+        .withColumn("trim_kind", F.when(F.col("is_outlier"), kind))
         .withColumn("reason", F.when(F.col("is_outlier"), note).otherwise(F.col("reason")))
         .withColumn("passed", F.col("passed") & ~F.col("is_outlier"))
-        .select(*columns, "is_outlier")
+        .select(*columns, "is_outlier", "trim_kind")
     )
 
 
@@ -280,11 +282,9 @@ def peer_details(rows: DataFrame, k: int = V.REQUIREMENT_ROWS, *, target: str =
 
 def outlier_note(rows: DataFrame, *, target: str = "t") -> DataFrame:
     """Trimmed rows per target and what the report says about them."""
-    counted = rows.groupBy(target).agg(F.count_if("is_outlier").alias("n_outliers"))
-    note = F.when(F.col("n_outliers") == 0, F.lit("no trim")).when(F.col("n_outliers") < 3, F.lit("per only")).otherwise(
-        F.lit("full trim")
-    )
-    return counted.withColumn("note", note)
+    counted = rows.groupBy(target).agg(F.count_if("is_outlier").alias("n_outliers"), F.max("trim_kind").alias("_kind"))
+    note = F.when(F.col("_kind") == "full", F.lit("full trim")).when(F.col("_kind") == "per", F.lit("per only"))
+    return counted.select(target, "n_outliers", note.otherwise(F.lit("no trim")).alias("note"))
 
 
 # --- the funnel -------------------------------------------------------------
@@ -327,7 +327,7 @@ def peer_funnel(pool: DataFrame, companies: DataFrame, cells: DataFrame, target_
         F.when(F.col("similar"), F.col("reason"))
         .when(F.col("profit_passed"), F.col("similarity_reason"))
         .when(F.col("dec_passed"), F.col("income_reason"))
-        .otherwise(F.lit("결산월"))
+        .otherwise(F.lit(V.FAIL_SETTLEMENT))
     )
     result = judged.select(
         target, company, stage.alias("stage_reached"), "dec_passed", "passed", why_not.alias("reason"),

@@ -9,8 +9,10 @@ from peerglass.operators import evidence as ev
 from peerglass.operators import records as R
 from peerglass.operators import refdata as ref
 from peerglass.operators import reporting as rep
+from peerglass.operators import similarity as sim
 from peerglass.plans import views as vw
 from peerglass.plans.registry import query
+from peerglass.plans.screening_queries import PAIRS_SQL, label_pairs
 from peerglass.plans.text_queries import AMOUNT_SQL, sql_strip_tags
 
 # --- reference data -------------------------------------------------------------
@@ -188,7 +190,7 @@ def document_bundle(t):
 
 @query("table_text", """
 SELECT c_nationkey AS page_no, c_custkey // 512 AS part_no, count(*) AS n_items,
-       md5('NATION_' || c_nationkey || ' | segment | ' || chr(10) || '--- | --- | ---' || chr(10) ||
+       md5('NATION_' || c_nationkey || ' | segment | Column_2' || chr(10) || '--- | --- | ---' || chr(10) ||
          string_agg(c_name || ' | ' || c_mktsegment || ' | ' || coalesce(CASE WHEN c_acctbal > 0 THEN trunc(c_acctbal)::BIGINT::VARCHAR END, ''),
                     chr(10) ORDER BY c_custkey)) AS table_hash
 FROM customer GROUP BY 1, 2""")
@@ -306,14 +308,14 @@ def split_categories(t):
     return R.split_categories(t.documents.select("doc_id", cat.alias("category")))
 
 
-@query("detail_structs", """
-WITH r AS (SELECT label AS t, vec_id, round(embedding[1]::DOUBLE, 6) AS score,
-                  row_number() OVER (PARTITION BY label ORDER BY round(embedding[1]::DOUBLE, 6) DESC, vec_id) AS no FROM embeddings)
-SELECT t, string_agg(no || ':' || vec_id, ',' ORDER BY no) AS details FROM r WHERE no <= 5 GROUP BY 1""")
+@query("detail_structs", f"""
+WITH {PAIRS_SQL}, r AS (
+  SELECT t, company_id, row_number() OVER (PARTITION BY t ORDER BY score DESC, company_id) AS no FROM scored)
+SELECT t, string_agg(no || ':' || company_id, ',' ORDER BY no) AS details FROM r WHERE no <= 5 GROUP BY 1""")
 def detail_structs(t):
-    scores = t.embeddings.select(
-        F.col("label").alias("t"), F.col("vec_id").alias("company"), F.round(F.element_at("embedding", 1).cast(
-            "double"), 6).alias("score"), F.lit("scored").alias("reason"), F.lit("-").alias("main_products"))
+    scores = sim.similarity_scores(*label_pairs(t)).select(
+        "t", F.col("company_id").alias("company"), "score", F.col("similarity_reason").alias("reason"),
+        F.lit("-").alias("main_products"))
     line = F.transform("similarity", lambda r: F.concat_ws(":", r["no"].cast("string"), r["company"].cast("string")))
     return R.similarity_details(scores).select("t", F.array_join(line, ",").alias("details"))
 
@@ -399,7 +401,8 @@ SELECT event_id, CASE WHEN k = 50 THEN 'unreadable' ELSE array_to_string(list_fi
 FROM k""")
 def schema_violations(t):
     spec = [R.Field("Title"), R.Field("Unit", nullable=True), R.Field("Investment_Highlights", "ARRAY", exact_len=3),
-            *R.fields("Investment_Highlights[]", "Highlight_Title Highlight_Logic Source")]
+            R.Field("Investment_Highlights[].Highlight_Title"), R.Field("Investment_Highlights[].Highlight_Logic"),
+            R.Field("Investment_Highlights[].Source")]
     checked = R.schema_violations(vw.json_sections(t), "section", spec)
     return checked.select("event_id", F.array_join("violations", ",").alias("violations"))
 

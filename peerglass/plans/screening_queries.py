@@ -71,12 +71,11 @@ def parent_code_retry(t):
 
 
 @query("semi_members", """
-WITH peers AS (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000)
+WITH peers AS (SELECT o_custkey FROM orders)
 SELECT c_nationkey AS t, c_custkey AS company_id, c_name AS name FROM customer
 WHERE c_custkey IN (SELECT o_custkey FROM peers)""")
 def semi_members(t):
-    peers = t.orders.filter("o_orderstatus = 'F' AND o_totalprice > 400000").select(
-        F.col("o_custkey").alias("company_id"))
+    peers = t.orders.select(F.col("o_custkey").alias("company_id"))
     rows = t.customer.select(F.col("c_nationkey").alias("t"), F.col("c_custkey").alias("company_id"),
                              F.col("c_name").alias("name"))
     return M.restrict_to(rows, peers, ["company_id"]).select("t", "company_id", "name")
@@ -126,19 +125,18 @@ def dedupe_first(t):
 
 
 @query("expand_pool", """
-WITH base AS (SELECT DISTINCT l_suppkey AS t, p_name AS name FROM lineitem JOIN part ON p_partkey = l_partkey
-              WHERE l_returnflag = 'R' AND l_quantity >= 46),
-wide AS (SELECT DISTINCT l_suppkey AS t, p_name AS name FROM lineitem JOIN part ON p_partkey = l_partkey
-         WHERE l_quantity >= 46),
-small AS (SELECT s_suppkey AS t FROM supplier WHERE s_suppkey NOT IN
-           (SELECT t FROM base GROUP BY 1 HAVING count(*) > 10))
+WITH wide AS (SELECT DISTINCT l_suppkey * 100 + l_quantity::BIGINT AS t, p_name AS name, l_returnflag AS flag
+              FROM lineitem JOIN part ON p_partkey = l_partkey),
+base AS (SELECT DISTINCT t, name FROM wide WHERE flag = 'R'),
+small AS (SELECT t FROM wide WHERE t NOT IN (SELECT t FROM base GROUP BY 1 HAVING count(*) > 10))
 SELECT t, name FROM base UNION SELECT t, name FROM wide WHERE t IN (SELECT t FROM small)""")
 def expand_pool(t):
     # Both matches come from one scan: each pair carries whether it is wider.
     wide = F.col("l_returnflag") != "R"
-    rows = t.lineitem.filter("l_quantity >= 46").select("l_suppkey", "l_partkey", wide.alias("wide")).distinct()
+    target = F.col("l_suppkey") * 100 + F.col("l_quantity").cast("bigint")
+    rows = t.lineitem.select(target.alias("t"), "l_partkey", wide.alias("wide")).distinct()
     named = rows.join(t.part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-    tagged = named.select(F.col("l_suppkey").alias("t"), F.col("p_name").alias("name"), "wide")
+    tagged = named.select("t", F.col("p_name").alias("name"), "wide")
     return M.widen_small(tagged, "wide")
 
 
@@ -187,7 +185,7 @@ def stage2_financial(t):
 
 # --- stage 3 ------------------------------------------------------------------
 
-def _label_pairs(t):
+def label_pairs(t):
     """Target of a label: its first vector.  Candidates: the other vectors of the label."""
     firsts = t.embeddings.groupBy(F.col("label").alias("t")).agg(
         F.min("vec_id").alias("first"), F.min_by("embedding", "vec_id").alias("embedding"))
@@ -206,14 +204,14 @@ scored AS (SELECT t, vec_id AS company_id,
 @query("similarity_pairs", f"""WITH {PAIRS_SQL}
 SELECT t, company_id, score, score >= 0.3 AS similar FROM scored""")
 def similarity_pairs(t):
-    return sim.similarity_scores(*_label_pairs(t)).select("t", "company_id", "score", "similar")
+    return sim.similarity_scores(*label_pairs(t)).select("t", "company_id", "score", "similar")
 
 
 @query("top_similar", f"""WITH {PAIRS_SQL}
 SELECT t, company_id, score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY t ORDER BY score DESC, company_id) AS rank FROM scored) WHERE rank <= 15""")
 def top_similar(t):
-    scores = sim.similarity_scores(*_label_pairs(t)).select("t", "company_id", "score")
+    scores = sim.similarity_scores(*label_pairs(t)).select("t", "company_id", "score")
     return sim.top_similar(scores)
 
 
@@ -224,7 +222,7 @@ FROM scored LEFT JOIN part ON p_partkey = company_id""")
 def stage3_similarity(t):
     info = t.part.select(F.col("p_partkey").alias("company_id"),
                          F.when(F.col("p_size") > 25, F.col("p_name")).alias("main_products"))
-    return sim.stage3_similarity(*_label_pairs(t), info).select("t", "company_id", "score", "similar", "main_products")
+    return sim.stage3_similarity(*label_pairs(t), info).select("t", "company_id", "score", "similar", "main_products")
 
 
 @query("attach_default", """
@@ -258,7 +256,8 @@ def screen_fallback(t):
 
 
 @query("trim_extremes", f"""WITH {vw.METRICS_SQL}, {vw.stage4_sql('metrics')}
-SELECT t, company_id, passed, is_outlier, reason FROM s4 WHERE NOT relaxed""")
+SELECT t, company_id, passed, is_outlier, reason FROM s4 WHERE NOT relaxed
+UNION ALL SELECT t, company_id, false, false, strict_r FROM s4 WHERE relaxed""")
 def trim_extremes(t):
     return S.trim_extremes(S.general_requirements(_metrics(t))).select(
         "t", "company_id", "passed", "is_outlier", "reason")
@@ -287,7 +286,7 @@ def peer_details(t):
 @query("reason_counts", f"""WITH {vw.METRICS_SQL}, {vw.stage4_sql('metrics')}
 SELECT t, count(*) FILTER (WHERE is_outlier) AS n_outliers,
        CASE WHEN count(*) FILTER (WHERE is_outlier) = 0 THEN 'no trim'
-            WHEN count(*) FILTER (WHERE is_outlier) < 3 THEN 'per only' ELSE 'full trim' END AS note
+            WHEN bool_or(starts_with(reason, 'MAX/MIN')) FILTER (WHERE is_outlier) THEN 'per only' ELSE 'full trim' END AS note
 FROM s4 GROUP BY 1""")
 def reason_counts(t):
     return S.outlier_note(S.stage4_requirements(_metrics(t)))
