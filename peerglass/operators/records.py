@@ -64,6 +64,21 @@ def mix_wide(long: DataFrame, keys: Sequence[str], segments: Sequence[str] | Non
     return wide.select(*keys, *[F.col("`" + n.replace("`", "``") + "`").alias(n[1:]) for n in names])
 
 
+def matrix_cells(rows: DataFrame, matrix: str = "matrix", *, key: str = "company_id") -> DataFrame:
+    """Statement cells of a matrix struct<Columns, Rows>: (key, row_no, label, col_no, period, value).
+
+    The first column holds the labels.  Cells that a short row lacks are null; a
+    matrix without rows gives no cell.  Everything stays inside the row.
+    """
+    lines = rows.select(key, F.col(f"{matrix}.Columns").alias("_heads"),
+                        F.posexplode(f"{matrix}.Rows").alias("row_no", "_line"))
+    heads = F.slice("_heads", 2, F.greatest(F.size("_heads") - 1, F.lit(0)))
+    cells = lines.select(key, "row_no", F.try_element_at("_line", F.lit(1)).alias("label"), "_line",
+                         F.posexplode(heads).alias("_at", "period"))
+    return cells.select(key, "row_no", "label", (F.col("_at") + 1).alias("col_no"), "period",
+                        F.try_element_at("_line", F.col("_at") + 2).alias("value"))
+
+
 # --- merge and patch -------------------------------------------------------
 
 def overlay_maps(base: Column, later: Column) -> Column:

@@ -335,6 +335,23 @@ def mix_wide(t):
     return R.mix_wide(R.mix_long(by_status.select("priority", mix.alias("business_mix"))), ["priority"])
 
 
+@query("matrix_cells", """
+WITH y AS (SELECT o_custkey AS company_id, year(o_orderdate) AS label, count(*) FILTER (WHERE o_orderstatus = 'F') AS f,
+                  count(*) FILTER (WHERE o_orderstatus = 'O') AS o FROM orders GROUP BY 1, 2),
+n AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY label) - 1 AS row_no FROM y)
+SELECT company_id, row_no::INTEGER AS row_no, label::VARCHAR AS label, col_no, period,
+       CASE col_no WHEN 1 THEN f::VARCHAR WHEN 2 THEN o::VARCHAR END AS value
+FROM n CROSS JOIN (VALUES (1, 'F'), (2, 'O'), (3, 'P')) c(col_no, period)""")
+def matrix_cells(t):
+    status, text = F.col("o_orderstatus"), "string"
+    years = t.orders.groupBy(F.col("o_custkey").alias("company_id"), F.year("o_orderdate").cast(text).alias("label")).agg(
+        F.count_if(status == "F").cast(text).alias("f"), F.count_if(status == "O").cast(text).alias("o"))
+    # rows lack their last cell
+    matrices = years.groupBy("company_id").agg(F.array_sort(F.collect_list(F.array("label", "f", "o"))).alias("Rows"))
+    heads = F.array(*[F.lit(h) for h in ("year", "F", "O", "P")]).alias("Columns")
+    return R.matrix_cells(matrices.select("company_id", F.struct(heads, "Rows").alias("matrix")))
+
+
 MERGE_SQL = """base AS (SELECT c_custkey AS t, c_name, c_mktsegment FROM customer),
 ord AS (SELECT o_custkey AS t, count(*) AS n, min(o_orderpriority) AS p FROM orders GROUP BY 1),
 parts AS (SELECT p_partkey AS t, p_brand FROM part)"""

@@ -13,6 +13,7 @@ from peerglass.operators import matching as M
 from peerglass.operators import records as R
 from peerglass.operators import refdata as ref
 from peerglass.operators import reporting as rep
+from peerglass.operators import screening as S
 
 FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 words = st.text("abc가", min_size=0, max_size=6)
@@ -147,6 +148,36 @@ def test_merge_takes_the_later_section(spark):
     assert {r.t: r.record for r in merged.collect()} == {1: {"a": "1", "b": "9"}, 2: {"a": "2"}, 3: None}
 
 
+def test_matrix_cells_of_short_and_missing_rows(spark):
+    kind = "company_id int, matrix struct<Columns: array<string>, Rows: array<array<string>>>"
+    rows = [(1, (["item", "2023", "2024"], [["a", "1", "2"], ["b", "3"]])), (2, (["item"], [["a"]])), (3, None), (4, (["x", "y"], []))]
+    got = [tuple(r) for r in R.matrix_cells(spark.createDataFrame(rows, kind)).collect()]
+    assert sorted(got, key=str) == [(1, 0, "a", 1, "2023", "1"), (1, 0, "a", 2, "2024", "2"), (1, 1, "b", 1, "2023", "3"),
+                                    (1, 1, "b", 2, "2024", None)]
+
+
+def test_a_segment_called_null_is_kept(spark):
+    long = spark.createDataFrame([("k", "null", 1.0), ("k", "a`b", 2.0), ("m", None, None)], "c string, segment string, ratio double")
+    for names in (None, ["null", "a`b"]):
+        wide = R.mix_wide(long, ["c"], names)
+        assert wide.columns == ["c", "a`b", "null"]
+        assert {tuple(r) for r in wide.collect()} == {("k", 2.0, 1.0), ("m", None, None)}
+
+
+def test_table_without_a_header_is_kept(spark):
+    rows = spark.createDataFrame([(1, 1, 1, ["x", "y"]), (1, 2, 1, ["z"])], "page_no int, table_no int, row_no int, cells array<string>")
+    heads = spark.createDataFrame([(1, 1, ["a", None])], "page_no int, table_no int, cells array<string>")
+    got = {r.table_no: r.table_text for r in docs.table_text(rows, heads).collect()}
+    assert got == {1: "a | Column_1\n--- | ---\nx | y", 2: "z"}
+
+
+def test_trim_is_named_by_its_kind(spark):
+    rows = spark.createDataFrame([(1, True, "full"), (1, False, None), (2, True, "per"), (2, True, "per"), (3, False, None)],
+                                 "t int, is_outlier boolean, trim_kind string")
+    got = {r.t: (r.n_outliers, r.note) for r in S.outlier_note(rows).collect()}
+    assert got == {1: (1, "full trim"), 2: (2, "per only"), 3: (0, "no trim")}
+
+
 def test_schema_rules_of_a_section(spark):
     good = '{"Investment_Risks": [{"Risk_Title": "a", "Risk_Detail": "b", "Mitigation_and_Outlook": "c"}]}'
     spec = [f for f in R.VALUATION_FIELDS if f.path.startswith("Investment_Risks")]
