@@ -206,7 +206,8 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
     """(cls, grp) of all ends of links (a, b): grp is the smallest class that links reach.
 
     Large and small stars in turn: neighbours above a node are pointed at its smallest neighbour, then those below it,
-    until nothing changes.  Rows stay as many as there are links.
+    until nothing changes.  Rows stay as many as there are links.  The smallest neighbours are a written table, as the
+    engine splits the rows of a hot node only where the other side of the join is no aggregate of the same step.
     """
     edges = scratch.cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                         f"{key}-first")
@@ -214,7 +215,7 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
     before, turn = mark(edges), 0
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{key}-low")
         large = scratch.cut(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(),
                             f"{key}-large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -225,7 +226,7 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
         if after == before:
             break
         before = after
-    scratch.drop(f"{key}-first", f"{key}-large")
+    scratch.drop(f"{key}-first", f"{key}-low", f"{key}-large")
     return edges.toDF("cls", "grp").union(edges.select("b", "b").distinct())
 
 
