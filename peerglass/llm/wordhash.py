@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -93,7 +94,7 @@ class Texts:
 def chunks(column: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, one past the last, bytes, bounds) of pieces of a text column of about ``size`` bytes; null is empty."""
     column = column.cast(pa.large_binary())
-    lengths = np.array(pa.compute.fill_null(pa.compute.binary_length(column), 0), np.int64)
+    lengths = np.array(pc.fill_null(pc.binary_length(column), 0), np.int64)
     first, rows = 0, len(column)
     running = np.cumsum(lengths)
     while first < rows:
