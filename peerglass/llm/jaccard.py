@@ -35,6 +35,8 @@ from peerglass.llm import wordhash
 from peerglass.llm.scratch import Scratch
 
 SHINGLE, ORDERS, AGREE, BLOCK, SHARED = 5, 32, 6, 1500, 24
+#: Sets of long texts are large, so few of them travel in one Arrow batch.
+ROWS_A_BATCH = "1000"
 
 
 def _sets(batch_text: pa.Array) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -232,6 +234,7 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
 
 def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "text", share: float = 0.75) -> DataFrame:
     """One row for each row of ``docs``: (doc_id, n_shingles, component_id)."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_A_BATCH)
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(column).alias("_text"))
     marked = scratch.cut(with_sets(rows, ["_id"], "_text"))

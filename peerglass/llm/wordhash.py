@@ -91,7 +91,7 @@ class Texts:
         return running[self.bounds[1:]] - running[self.bounds[:-1]]
 
 
-def chunks(column: pa.Array, size: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, size: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, one past the last, bytes, bounds) of pieces of a text column of about ``size`` bytes; null is empty."""
     column = column.cast(pa.large_binary())
     lengths = np.array(pc.fill_null(pc.binary_length(column), 0), np.int64)
