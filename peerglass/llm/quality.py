@@ -3,7 +3,10 @@
 Each document's measures come from one pass over its text.  Their spread is kept as mergeable quantile sketches, one for
 each language, source and measure: counts of values in logarithmic buckets, exact to 2 % of the value.  Sketches of
 a language, and of all rows, are sums of the finer ones.  A document is rejected where a measure lies far outside
-its group's middle half; small groups take the limits of the next wider one.  The limits are joined back by group.
+its group's middle half; small groups take the limits of the next wider one.  Shares are 0 in most texts, which leaves no
+middle half to go by, so a share is too much only beyond its group's tail as well: the hundredth of the group's rows that
+have most of it, and the tenth of those that have any, whichever are fewer.  No limit is a fixed value of a measure.
+The limits are joined back by group.
 
 Sketches are grouped counts, summed in each task before they are shuffled; their size depends on the range
 of values only.  Measures are written once, so texts are read once.
@@ -31,8 +34,12 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 RUN = 8
 #: Buckets grow by this factor.
 GROWTH = 1.04
-#: (measure, share that is never too much, whether too little is a fault as well).
-MEASURES = [("symbol_share", 0.10, False), ("line_share", 0.05, False), ("repeat_share", 0.15, False), ("word_length", 12.0, True)]
+#: (measure, whether it is a share that most texts have nothing of, whether too little is a fault as well).
+MEASURES = [("symbol_share", True, False), ("line_share", True, False), ("repeat_share", True, False), ("word_length", False, True)]
+#: Parts of all rows, and of the rows that have any of it, that no share is too much for.
+TAIL, TAIL_OF_SOME = 0.99, 0.9
+#: The bucket of zero, below all others.
+ZERO = -100000
 #: Rows that a group needs for limits of its own, and how many middle halves beyond it a value may lie.
 LEAST_ROWS, REACH = 500, 3.0
 
@@ -100,12 +107,11 @@ def base_failed() -> Column:
 
 
 def _bucket(value: Column) -> Column:
-    """Zero has a bucket of its own, below all others."""
-    return F.when(value > 0, F.floor(F.log(value) / float(np.log(GROWTH)))).otherwise(-100000)
+    return F.when(value > 0, F.floor(F.log(value) / float(np.log(GROWTH)))).otherwise(ZERO)
 
 
 def _middle(bucket: Column) -> Column:
-    return F.when(bucket > -100000, F.pow(F.lit(GROWTH), bucket + 0.5)).otherwise(0.0)
+    return F.when(bucket > ZERO, F.pow(F.lit(GROWTH), bucket + 0.5)).otherwise(0.0)
 
 
 def sketch(rows: DataFrame) -> DataFrame:
@@ -116,32 +122,39 @@ def sketch(rows: DataFrame) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, measure, rows, q1, q2, q3) of sketches merged over all other columns."""
+    """(groups, measure, rows, q1, q2, q3, tail, some_tail) of sketches merged over all other columns."""
     merged = sketches.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
     each = Window.partitionBy(*groups, "measure")
-    running = merged.withColumn("upto", F.sum("n").over(each.orderBy("bucket"))).withColumn("rows", F.sum("n").over(each))
+    running = merged.withColumn("upto", F.sum("n").over(each.orderBy("bucket"))).withColumn("rows", F.sum("n").over(each)) \
+        .withColumn("zeros", F.sum(F.when(F.col("bucket") == ZERO, F.col("n")).otherwise(0)).over(each))
     at = lambda share: _middle(F.min(F.when(F.col("upto") >= F.col("rows") * share, F.col("bucket"))))
+    in_some = (F.col("bucket") > ZERO) & (F.col("upto") - F.col("zeros") >= (F.col("rows") - F.col("zeros")) * TAIL_OF_SOME)
     return running.groupBy(*groups, "measure").agg(
-        F.max("rows").alias("rows"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"))
+        F.max("rows").alias("rows"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), at(TAIL).alias("tail"),
+        _middle(F.min(F.when(in_some, F.col("bucket")))).alias("some_tail"))
 
 
 def limits(sketches: DataFrame) -> DataFrame:
     """(lang, source, measure, least, most): limits of every group, from the finest sketch with enough rows."""
     fine, lang, every = (quantiles(sketches, groups) for groups in (["lang", "source"], ["lang"], []))
-    lang = lang.toDF("l_lang", "l_measure", "l_rows", "l_q1", "l_q2", "l_q3")
-    every = every.toDF("e_measure", "e_rows", "e_q1", "e_q2", "e_q3")
+    found = ["q1", "q2", "q3", "tail", "some_tail"]
+    lang = lang.toDF("l_lang", "l_measure", "l_rows", *[f"l_{q}" for q in found])
+    every = every.toDF("e_measure", "e_rows", *[f"e_{q}" for q in found])
     both = fine.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("measure") == F.col("l_measure"))) \
         .join(every, F.col("measure") == F.col("e_measure"))
     pick = lambda q: F.when(F.col("rows") >= LEAST_ROWS, F.col(q)).when(F.col("l_rows") >= LEAST_ROWS, F.col(f"l_{q}")) \
         .otherwise(F.col(f"e_{q}"))
-    both = both.select("lang", "source", "measure", *[pick(q).alias(q) for q in ("q1", "q2", "q3")])
-    floor = F.create_map(*[F.lit(x) for name, enough, _ in MEASURES for x in (name, enough)])
+    both = both.select("lang", "source", "measure", *[pick(q).alias(q) for q in found])
+    share = F.create_map(*[F.lit(x) for name, is_share, _ in MEASURES for x in (name, is_share)])
     low = F.create_map(*[F.lit(x) for name, _, two in MEASURES for x in (name, two)])
     spread = (F.col("q3") - F.col("q1")) * REACH
+    # quantiles are the middles of their buckets: half a bucket more, and all values of the bucket are within
+    edge = GROWTH ** 0.51
     return both.select(
         "lang", "source", "measure",
         F.when(low[F.col("measure")], F.least(F.col("q1") - spread, F.col("q2") / 2)).otherwise(F.lit(-1.0)).alias("least"),
-        F.greatest(F.col("q3") + spread, floor[F.col("measure")]).alias("most"))
+        (F.when(share[F.col("measure")], F.greatest(F.col("q3") + spread, F.col("tail"), F.col("some_tail")))
+         .otherwise(F.col("q3") + spread) * edge).alias("most"))
 
 
 def judge(docs: DataFrame, column: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -188,6 +188,16 @@ def test_quality_limits_follow_the_group(spark):
     assert q["q2"] == pytest.approx(0.3, rel=0.03)
 
 
+def test_quality_limits_of_rare_shares_come_from_the_tail(spark):
+    rows = [(lang, "a", 0.0 if i < 960 else (0.01 + i / 1e5) * much, 0.0, 0.0, 5.0) for lang, much in (("en", 1), ("de", 20)) for i in range(1000)]
+    table = spark.createDataFrame(rows, "lang string, source string, symbol_share double, line_share double, repeat_share double, word_length double")
+    most = {(lang, r["measure"]): r["most"] for lang in ("en", "de")
+            for r in quality.limits(quality.sketch(table.where(F.col("lang") == lang))).collect()}
+    # 40 of 1,000 rows have symbols: the limit lies among them in either language, on the scale of that language
+    assert 0.0196 < most["en", "symbol_share"] < 0.021 and 20 * 0.0196 < most["de", "symbol_share"] < 20 * 0.021
+    assert most["en", "line_share"] == 0 and 5.0 <= most["en", "word_length"] < 5.3
+
+
 def test_contamination_of_awkward_texts(spark):
     rng = random.Random(5)
     vocab = ["Alpha", "beta", "é", "Éa", "x1", "y"]
