@@ -29,13 +29,16 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 #: The generators beyond them.
-SPELT_EMAIL = (rf"(?<!{_LOCAL}){_LOCAL}++\x20?(?:[(\[{{]at[)\]}}]|\x20at\x20|@)\x20?[A-Za-z0-9-]++"
-               r"(?:\x20?(?:[(\[{]dot[)\]}]|\x20dot\x20|\.)\x20?[A-Za-z0-9-]++){1,4}+")
+_AT, _DOT = r"(?:[(\[{]at[)\]}]|\x20at\x20|@)", r"(?:[(\[{]dot[)\]}]|\x20dot\x20|\.)"
+SPELT_EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++\x20?{_AT}\x20?[A-Za-z0-9-]++(?:\x20?{_DOT}\x20?[A-Za-z0-9-]++){{1,4}}+"
+#: A part of every match of it.
+SPELT_PART = rf"{_AT}\x20?[A-Za-z0-9-]++\x20?{_DOT}"
 COLON_IP = r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}+::?){2,7}+[0-9A-Fa-f]{1,4}+(?![0-9A-Za-z:])"
 NUMBERS = r"(?<![0-9A-Za-z+.])\(?[0-9][0-9\x20()./_-]{7,30}[0-9](?![0-9A-Za-z])"
 
 FEATURES = ["is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "groups", "longest", "luhn", "zero_start",
-            "paren", "dots", "slashes", "hexes", "spelt", "ctx_email", "ctx_ip", "ctx_card", "ctx_phone", "ctx_other"]
+            "paren", "dots", "slashes", "hexes", "spelt", "ctx_email", "ctx_ip", "ctx_card", "ctx_phone", "ctx_other",
+            "at_sign", "gap_after_dot", "ending", "marked_local"]
 
 
 def features(candidate: Column) -> Column:
@@ -53,6 +56,7 @@ def features(candidate: Column) -> Column:
         before.rlike(r"mail|contact|write|reach"), before.rlike(r"\bip|host|addr|server"),
         before.rlike(r"card|visa|credit|master|amex|paid"), before.rlike(r"phone|tel|call|mobile|cell|fax|dial"),
         before.rlike(r"isbn|order|invoice|version|date|time|page|model|serial|section|\bid\b|since|from [0-9]*$"),
+        F.contains(hit, F.lit("@")), hit.rlike(r"\.\x20"), hit.rlike(r"(?:\.|dot[)\]}]?\x20?)[a-z]{2,}$"), hit.rlike(r"^[A-Za-z-]*[._%+0-9]"),
     ]
     return F.array(*[v.cast("double") for v in values])
 
@@ -99,6 +103,18 @@ def labelled_sample(spark: SparkSession, rows: int = 4400) -> DataFrame:
                         pick("z", "The", "So", "Then")), some),
         (0, 0, F.concat(pick("x", "look", "was", "aim"), F.lit(" at "), pick("y", "noon", "3", "it"), F.lit("."), number("v", 1)),
          some),
+        (1, 0, F.concat(name, pick("a2", " @ ", " @", "@ "), host, F.lit("."), end), pick("c15", "mail me: ", "", "contact ", "and then ")),
+        (1, 0, F.concat(name, F.lit("@"), host, pick("d2", " [dot] ", "(dot)", " dot "), end), pick("c16", "mail me: ", "", "contact ", "and then ")),
+        (1, 0, F.concat(pick("n2", "jane.roe", "a.b", "sales99", "max_1"), F.lit(" at "), host, F.lit("."), end),
+         pick("c17", "mail me: ", "", "contact ", "and then ")),
+        (1, 0, F.concat(pick("n3", "max", "info", "office", "jane"), F.lit(" at "), host, F.lit("."), end),
+         pick("c18", "mail me: ", "contact ", "write to ", "reach me: ")),
+        (1, 0, F.concat(name, pick("a3", " [at] ", "(at)", " @ "), host, F.lit("."), end, F.lit(". "), pick("z", "The", "So", "Then")),
+         pick("c19", "mail me: ", "contact ", "", "write to ")),
+        (0, 0, F.concat(pick("x2", "look", "shop", "based", "sold"), F.lit(" at "), host, F.lit("."), end), some),
+        (0, 0, F.concat(pick("x3", "look", "meet", "two"), pick("a4", " at ", " @ "), pick("y", "noon", "them", "it"),
+                        pick("g", ".", ". "), pick("z", "The", "So", "Then")), some),
+        (0, 0, F.concat(pick("x4", "sold", "priced", "12"), F.lit(" @ "), number("v2", 2), F.lit("."), number("v", 2)), some),
         (1, 1, grouped(number("v6", 32, True), 4, 4, 4, 4, 4, 4, 4, 4, by=":"), pick("c2", "host ", "ip: ", "", "address ")),
         (1, 1, F.concat(grouped(number("v6", 12, True), 4, 4, 4, by=":"), F.lit("::"), number("l", 2, True)),
          pick("c3", "server ", "ip ", "address ")),
@@ -216,7 +232,7 @@ def find_pii(docs: DataFrame, fitted: PiiModel | None = None, column: str = "tex
     ]
     numbers = tx.spans(text, NUMBERS, lambda hit: size(hit).between(9, 19), text.rlike(r"[0-9][0-9\x20()./_-]{7}"))
     wide = [
-        tx.spans(text, SPELT_EMAIL, where=text.rlike(r"[(\[{]at[)\]}]|\x20at\x20[^.\n]{1,40}\x20dot\x20")),
+        tx.spans(text, SPELT_EMAIL, where=text.rlike(SPELT_PART)),
         tx.spans(text, COLON_IP, where=text.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f:]")),
     ]
     base_spans = reduce(F.concat, [tx.labelled(f, n, KINDS[n], True) for n, f in enumerate(base)])

@@ -111,6 +111,16 @@ def test_pii_method_adds_spelt_out_data_and_leaves_lookalikes(spark):
     assert found == {0: ["email"], 1: ["phone"], 2: [], 3: [], 4: ["ip"], 5: []}
 
 
+def test_pii_method_searches_every_spelling_of_an_address(spark):
+    texts = ["send it to jane.roe @ example.com now", "then max@web-host [dot] org was", "and info@uni(dot)de too", "mail a.b at example.com today",
+             "we meet @ noon. The rest", "was at noon. Then", "two @ 10.50 each", "you look at them.So", "things sold at example.com today"]
+    docs = spark.createDataFrame([(i + 10 * far, t + far * " x(at)") for i, t in enumerate(texts) for far in (0, 1)], "doc_id bigint, text string")
+    found = {r["doc_id"]: [(s["kind"], r["text"][s["start"]:s["end"]]) for s in r["pii_spans"]] for r in pii.find_pii(docs).collect()}
+    want = ["jane.roe @ example.com", "max@web-host [dot] org", "info@uni(dot)de", "a.b at example.com"]
+    for far in (0, 10):  # the spans do not depend on other text of the document
+        assert [found[n + far] for n in range(len(texts))] == [[("email", t)] for t in want] + [[]] * 5
+
+
 def test_pii_model_on_new_candidates(spark):
     model = pii.model(spark)
     fresh = pii.labelled_sample(spark, 6600).where("held").select("label", "rank", F.array(F.struct(
