@@ -3,7 +3,7 @@
 Each document's measures come from one pass over its text.  Their spread is kept as mergeable quantile sketches, one for
 each language, source and measure: counts of values in logarithmic buckets, exact to 2 % of the value.  Sketches of
 a language, and of all rows, are sums of the finer ones.  A document is rejected where a measure lies far outside
-its group's middle half; small groups take the limits of the next wider one.  Shares are 0 in most texts, which leaves no
+its group's middle half; quantiles of a group lean on those of the next wider one, the less the more rows it has.  Shares are 0 in most texts, which leaves no
 middle half to go by, so a share is too much only beyond its group's tail as well: the hundredth of the group's rows that
 have most of it, and the tenth of those that have any, whichever are fewer.  No limit is a fixed value of a measure.
 The limits are joined back by group.
@@ -40,8 +40,10 @@ MEASURES = [("symbol_share", True, False), ("line_share", True, False), ("repeat
 TAIL, TAIL_OF_SOME = 0.99, 0.9
 #: The bucket of zero, below all others.
 ZERO = -100000
-#: Rows that a group needs for limits of its own, and how many middle halves beyond it a value may lie.
-LEAST_ROWS, REACH = 500, 3.0
+#: Rows beyond a quantile with which a group's own value counts as much as that of the wider group.
+EQUAL_ROWS = 10
+#: How many middle halves beyond it a value may lie.
+REACH = 3.0
 
 
 def _counts(data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
@@ -122,7 +124,7 @@ def sketch(rows: DataFrame) -> DataFrame:
 
 
 def quantiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, measure, rows, q1, q2, q3, tail, some_tail) of sketches merged over all other columns."""
+    """(groups, measure, rows, some, q1, q2, q3, tail, some_tail) of sketches merged over all other columns."""
     merged = sketches.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n"))
     each = Window.partitionBy(*groups, "measure")
     running = merged.withColumn("upto", F.sum("n").over(each.orderBy("bucket"))).withColumn("rows", F.sum("n").over(each)) \
@@ -130,21 +132,30 @@ def quantiles(sketches: DataFrame, groups: list[str]) -> DataFrame:
     at = lambda share: _middle(F.min(F.when(F.col("upto") >= F.col("rows") * share, F.col("bucket"))))
     in_some = (F.col("bucket") > ZERO) & (F.col("upto") - F.col("zeros") >= (F.col("rows") - F.col("zeros")) * TAIL_OF_SOME)
     return running.groupBy(*groups, "measure").agg(
-        F.max("rows").alias("rows"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), at(TAIL).alias("tail"),
+        F.max("rows").alias("rows"), F.max(F.col("rows") - F.col("zeros")).alias("some"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3"), at(TAIL).alias("tail"),
         _middle(F.min(F.when(in_some, F.col("bucket")))).alias("some_tail"))
 
 
 def limits(sketches: DataFrame) -> DataFrame:
-    """(lang, source, measure, least, most): limits of every group, from the finest sketch with enough rows."""
+    """(lang, source, measure, least, most): limits of every group.
+
+    A quantile weighs n / (n + k) against that of the language, which weighs as much against that of all rows: n rows
+    of the group, k of them have ``EQUAL_ROWS`` beyond the quantile.
+    """
     fine, lang, every = (quantiles(sketches, groups) for groups in (["lang", "source"], ["lang"], []))
-    found = ["q1", "q2", "q3", "tail", "some_tail"]
-    lang = lang.toDF("l_lang", "l_measure", "l_rows", *[f"l_{q}" for q in found])
-    every = every.toDF("e_measure", "e_rows", *[f"e_{q}" for q in found])
+    found = {"q1": ("rows", 0.25), "q2": ("rows", 0.25), "q3": ("rows", 0.25), "tail": ("rows", 1 - TAIL), "some_tail": ("some", 1 - TAIL_OF_SOME)}
+    lang = lang.toDF("l_lang", "l_measure", "l_rows", "l_some", *[f"l_{q}" for q in found])
+    every = every.toDF("e_measure", "e_rows", "e_some", *[f"e_{q}" for q in found])
     both = fine.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("measure") == F.col("l_measure"))) \
         .join(every, F.col("measure") == F.col("e_measure"))
-    pick = lambda q: F.when(F.col("rows") >= LEAST_ROWS, F.col(q)).when(F.col("l_rows") >= LEAST_ROWS, F.col(f"l_{q}")) \
-        .otherwise(F.col(f"e_{q}"))
-    both = both.select("lang", "source", "measure", *[pick(q).alias(q) for q in found])
+
+    def blend(q: str) -> Column:
+        n, beyond = found[q]
+        own, wider = (F.col(f"{p}{n}") / (F.col(f"{p}{n}") + EQUAL_ROWS / beyond) for p in ("", "l_"))
+        value = lambda p: F.coalesce(F.col(f"{p}{q}"), F.lit(0.0))
+        return own * value("") + (1 - own) * (wider * value("l_") + (1 - wider) * value("e_"))
+
+    both = both.select("lang", "source", "measure", *[blend(q).alias(q) for q in found])
     share = F.create_map(*[F.lit(x) for name, is_share, _ in MEASURES for x in (name, is_share)])
     low = F.create_map(*[F.lit(x) for name, _, two in MEASURES for x in (name, two)])
     spread = (F.col("q3") - F.col("q1")) * REACH

@@ -208,6 +208,17 @@ def test_quality_limits_of_rare_shares_come_from_the_tail(spark):
     assert most["en", "line_share"] == 0 and 5.0 <= most["en", "word_length"] < 5.3
 
 
+def test_quality_limits_grow_smoothly_into_those_of_the_group(spark):
+    wide = [("en", "wide", 0.5 + i / 4000, 0.0, 0.0, 5.0) for i in range(2000)]
+    most = {}
+    for n in (20, 499, 500, 4000):
+        rows = wide + [("en", "own", 0.1 + 0.1 * i / n, 0.0, 0.0, 5.0) for i in range(n)]
+        table = spark.createDataFrame(rows, "lang string, source string, symbol_share double, line_share double, repeat_share double, word_length double")
+        most[n] = quality.limits(quality.sketch(table)).where("measure = 'symbol_share' and source = 'own'").first()["most"]
+    assert abs(most[499] - most[500]) < 0.02
+    assert most[4000] < most[500] < most[20]
+
+
 def test_contamination_of_awkward_texts(spark):
     rng = random.Random(5)
     vocab = ["Alpha", "beta", "é", "Éa", "x1", "y"]
