@@ -38,7 +38,7 @@ NUMBERS = r"(?<![0-9A-Za-z+.])\(?[0-9][0-9\x20()./_-]{7,30}[0-9](?![0-9A-Za-z])"
 
 FEATURES = ["is_email", "is_ip", "is_card", "is_phone", "chars", "digits", "groups", "longest", "luhn", "zero_start",
             "paren", "dots", "slashes", "hexes", "spelt", "ctx_email", "ctx_ip", "ctx_card", "ctx_phone", "ctx_other",
-            "at_sign", "gap_after_dot", "ending", "marked_local"]
+            "at_sign", "gap_after_dot", "ending", "marked_local", "holds_email", "holds_ip"]
 
 
 def features(candidate: Column) -> Column:
@@ -57,6 +57,7 @@ def features(candidate: Column) -> Column:
         before.rlike(r"card|visa|credit|master|amex|paid"), before.rlike(r"phone|tel|call|mobile|cell|fax|dial"),
         before.rlike(r"isbn|order|invoice|version|date|time|page|model|serial|section|\bid\b|since|from [0-9]*$"),
         F.contains(hit, F.lit("@")), hit.rlike(r"\.\x20"), hit.rlike(r"(?:\.|dot[)\]}]?\x20?)[a-z]{2,}$"), hit.rlike(r"^[A-Za-z-]*[._%+0-9]"),
+        hit.rlike(EMAIL), hit.rlike(IP),
     ]
     return F.array(*[v.cast("double") for v in values])
 
@@ -111,6 +112,11 @@ def labelled_sample(spark: SparkSession, rows: int = 4400) -> DataFrame:
          pick("c18", "mail me: ", "contact ", "write to ", "reach me: ")),
         (1, 0, F.concat(name, pick("a3", " [at] ", "(at)", " @ "), host, F.lit("."), end, F.lit(". "), pick("z", "The", "So", "Then")),
          pick("c19", "mail me: ", "contact ", "", "write to ")),
+        (1, 0, F.concat(name, F.lit("@"), host, F.lit("."), pick("h2", "mail", "web", "uni"), pick("d3", " [dot] ", "(dot)", " dot "), end),
+         pick("c20", "mail me: ", "", "contact ", "and then ")),
+        (0, 0, F.concat(name, F.lit("@"), host, F.lit("."), end, F.lit(". "), pick("z", "The", "So", "Then")),
+         pick("c21", "mail me: ", "contact ", "", "write to ")),
+        (0, 3, F.concat(grouped(number("ip4", 8), 2, 2, 2, 2, by="."), F.lit(" "), number("port", 2)), pick("c22", "server ", "", "host ", "ip ")),
         (0, 0, F.concat(pick("x2", "look", "shop", "based", "sold"), F.lit(" at "), host, F.lit("."), end), some),
         (0, 0, F.concat(pick("x3", "look", "meet", "two"), pick("a4", " at ", " @ "), pick("y", "noon", "them", "it"),
                         pick("g", ".", ". "), pick("z", "The", "So", "Then")), some),
@@ -246,7 +252,8 @@ def find_pii(docs: DataFrame, fitted: PiiModel | None = None, column: str = "tex
     cards = F.filter(candidates("_numbers", 2), lambda c: size(c["hit"]) >= 12)
     phones = F.filter(candidates("_numbers", 3), lambda c: size(c["hit"]) <= 15)
     proposed = F.concat(candidates("_wide0", 0), candidates("_wide1", 1), cards, phones)
-    proposed = F.filter(proposed, lambda c: ~F.exists("_base", lambda b: (c["start"] < b["end"]) & (b["start"] < c["end"])))
+    # Within a base span a proposal says nothing new; one that reaches beyond it is judged like any other.
+    proposed = F.filter(proposed, lambda c: ~F.exists("_base", lambda b: (b["start"] <= c["start"]) & (c["end"] <= b["end"])))
     with_values = F.transform(proposed, lambda c: F.struct(c["rank"].alias("rank"), c["start"].alias("start"), c["end"].alias("end"),
                                                            features(c).alias("values")))
     staged = staged.withColumn("_proposed", with_values)

@@ -131,9 +131,9 @@ def find_secrets(docs: DataFrame, models: tuple[list[float], float] | None = Non
     wide = tx.spans(text, CANDIDATE, lambda hit: _ratio(hit, literal(table)) > threshold, text.rlike(CANDIDATE))
     base = reduce(F.concat, [tx.labelled(found, n, KINDS[n], True) for n, found in enumerate([assign, access, hexes])])
     staged = docs.withColumn("_base", base).withColumn("_wide", wide)
-    # a token inside a base span says nothing new
+    # a token within a base span says nothing new; one that reaches beyond it does, and redact() merges the two
     extra = F.filter(tx.labelled(F.col("_wide"), 3, KINDS[3], False), lambda x: ~F.exists(
-        F.col("_base"), lambda b: (x["start"] < b["end"]) & (b["start"] < x["end"])))
+        F.col("_base"), lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
     return staged.withColumn("secret_spans", F.array_sort(F.concat(F.col("_base"), extra))).drop("_base", "_wide")
 
 
