@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerglass.llm import chat, decontaminate, jaccard, licenses, mixing, pii, quality, secrets, tokens, urls
+from peerglass.llm import chat, decontaminate, jaccard, licenses, mixing, pii, quality, secrets, simhash, tokens, urls
 from peerglass.llm import text as tx
 from peerglass.llm.oracles import SQL
 from peerglass.session import configure
@@ -110,4 +110,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
+@query
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and the groups that their links make."""
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 ORACLES = {name: SQL[name] for name in QUERIES if name in SQL}
