@@ -74,4 +74,43 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(c.b, w
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = w.doc_id
 """
 
-SQL = {"op6_decontamination": _DECONTAMINATION, "op7_chat": _CHAT, "op8_urls": _URLS, "op9_jaccard": _JACCARD}
+# The checksum of a number's digits bit by bit: each digit is mixed in, then eight steps follow.
+_PERIODIC = r"""
+WITH c AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+                      string_split(CAST(doc_id AS VARCHAR), ''), lambda d: list_concat([CAST(ascii(d) AS BIGINT)], list_transform(range(8), lambda i: -1))))),
+                      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, (a & 1) * 3988292384) END) AS inverse
+           FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, xor(inverse, 4294967295) % 10 AS pick, xor(inverse, 4294967295) // 10 AS g FROM c),
+p AS (SELECT *, g % greatest(n, 1) AS a, 1 + (n - g % greatest(n, 1)) // (3 + g % 8) AS p FROM g),
+x AS MATERIALIZED (SELECT doc_id, i, w[1 + CASE WHEN pick = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word
+      FROM p, LATERAL (SELECT unnest(range(n)) AS i)),
+same AS (SELECT u.doc_id, u.i, v.i - u.i AS q FROM x u JOIN x v ON v.doc_id = u.doc_id AND v.word = u.word AND v.i > u.i
+         JOIN p ON p.doc_id = u.doc_id AND 4 * (v.i - u.i) <= p.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (SELECT doc_id, min(i) AS start, count(*) + q AS length, q FROM islands GROUP BY doc_id, q, island),
+runs AS MATERIALIZED (SELECT doc_id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY ALL),
+best AS (SELECT doc_id, count(*) AS n_runs, first(struct_pack(s := start, l := length, q := period) ORDER BY length / period DESC, start, period) AS b,
+                string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM runs GROUP BY doc_id),
+dropped AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM x ANTI JOIN dropped USING (doc_id, i) GROUP BY doc_id)
+SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+       CAST(1000 * b.l // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM p LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_RANKED = rf"""
+WITH d AS (SELECT doc_id, {_tokens('text')} AS w FROM documents),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM d WHERE len(w) > 0),
+t AS (SELECT DISTINCT item_id, unnest({_tokens('text')}) AS term FROM benchmark),
+f AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) SEMI JOIN t USING (term) GROUP BY ALL),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight FROM f, s GROUP BY term, docs),
+parts AS (SELECT doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * docs) // words))) AS part
+          FROM f JOIN weights USING (term) JOIN d USING (doc_id), s),
+scores AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM t JOIN parts USING (term) GROUP BY ALL HAVING sum(part) > 0)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
+SQL = {"op6_decontamination": _DECONTAMINATION, "op7_chat": _CHAT, "op8_urls": _URLS, "op9_jaccard": _JACCARD, "op12_periodic": _PERIODIC,
+       "op13_ranked_search": _RANKED}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from peerglass.llm import chat, decontaminate, jaccard, licenses, mixing, pii, quality, secrets, simhash, tokens, urls
+from peerglass.llm import chat, decontaminate, jaccard, licenses, mixing, periodic, pii, quality, ranking, secrets, simhash, tokens, urls
+from peerglass.functions.text import let
 from peerglass.llm import text as tx
 from peerglass.llm.oracles import SQL
 from peerglass.session import configure
@@ -116,4 +117,39 @@ def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def _planted(doc_id: Column, text: Column) -> Column:
+    """The text, or for one document of ten its first words and then a part of the rest over and over, as long as the text was."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = (g % n).cast("int")
+        left = (n - a).cast("int")
+        p = (1 + F.floor(left / (3 + g % 8))).cast("int")
+        part = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil(left / p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(part, F.lit(1), left)), " ")).otherwise("")
+
+    return F.when(h % 10 == 0, let(F.regexp_extract_all(tx.whole(text), F.lit(tx.WORD), F.lit(0)), repeated)).otherwise(text)
+
+
+@query
+def op12_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of all documents, one in ten of them made to repeat itself."""
+    docs = _table(spark, folder, "documents").select("doc_id", _planted(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic.find_runs(docs)
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    found = found.select("doc_id", "runs", "collapsed", periodic.most_repeated(F.col("runs")).alias("best"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return ranking.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 ORACLES = {name: SQL[name] for name in QUERIES if name in SQL}
