@@ -12,10 +12,14 @@ ROOT_PDF_DOC_TYPE = "IR"
 SUPPORTED_EXTS = [".pdf", ".pptx", ".docx", ".xlsx", ".xls", ".csv", ".md"]
 IGNORE_FOLDERS = ["metadata", "test", "밸류추정 인수인의 의견", ".DS_Store"]
 SUPPLEMENT_MARKER = "==== [보충 문서: {name}] ===="
+DOCUMENT_SUFFIX = "_final.json"
 READ_ENCODINGS = ["utf-8-sig", "cp949", "euc-kr"]
 MIN_PAGE_CHARS = 1000
 MAIN_TEXT_MIN_CHARS = 200
 MAIN_TEXT_MAX_CHARS = 700
+TEXT_BLOCKS = ["div", "p", "td"]
+PRODUCT_TABLE_ID = "cTB203"
+MARKET_CAP_TERM = "시가총액"
 MANIFEST_TOP_FILES = 10
 
 # ---- Fixed values: cells that mean "no value" ----------------------------
@@ -115,6 +119,12 @@ UNKNOWN_AMOUNT = 5.0
 UNKNOWN_AMOUNT_TEXT = "비공개"
 EMPTY_LIST_TEXT = "0개사 (해당 없음)"
 PREVIEW_ITEMS = 20
+CHART_YEAR = "Year"
+CHART_SERIES = {
+    "Export_Graph_Data": "Export_Value",
+    "Contract_Count_Graph_Data": "Count",
+    "Sales_Graph_Data": "Revenue",
+}
 
 # ---- Fixed values: evidence ----------------------------------------------
 NAME_POINTS = 3

@@ -1,4 +1,4 @@
-"""File inventories, text bundles, tables and pages."""
+"""File inventories, text bundles and tables."""
 
 from __future__ import annotations
 
@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
-from peerglass.functions.text import (
-    as_col, clean_cell, clean_header, doc_type, entity_from_filename, file_ext, first_present, strip_tags, tag_text,
-)
+from peerglass.functions.text import as_col, clean_cell, clean_header, doc_type, entity_from_filename, file_ext
 from peerglass.operators.distributed import text_parts, top_k_per_key
 
 
@@ -110,44 +108,3 @@ def table_text(rows: DataFrame, headers: DataFrame, *, table: Sequence[str] = ("
         *table, "part_no", "n_items",
         F.concat_ws("\n", table_row_text("_head"), rule, F.col("_body")).alias("table_text"),
     )
-
-
-# --- pages -----------------------------------------------------------------
-
-BLOCK = r"(?is)<(?:div|p|td)\b[^>]*>(.*?)</(?:div|p|td)>"
-
-
-def main_text(html: Column | str, min_chars: int = V.MAIN_TEXT_MIN_CHARS,
-              max_chars: int = V.MAIN_TEXT_MAX_CHARS) -> Column:
-    """Longest text block of a page, shortened for the report; '' where none is long enough."""
-    blocks = F.transform(F.regexp_extract_all(as_col(html), F.lit(BLOCK), F.lit(1)), strip_tags)
-    long = F.filter(blocks, lambda t: F.length(t) >= min_chars)
-    ranked = F.transform(long, lambda t, i: F.struct(F.length(t).alias("n"), (-i).alias("o"), t.alias("t")))
-    return F.coalesce(F.left(F.array_max(ranked)["t"], F.lit(max_chars)), F.lit(""))
-
-
-def element_pairs(html: Column | str, pattern: str) -> Column:
-    """Array of (name, value) texts of a repeated page element, blanks left out.
-
-    ``pattern`` has two groups.  Everything stays inside the row: no shuffle.
-    """
-    c = as_col(html)
-    names = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(1)), strip_tags)
-    values = F.transform(F.regexp_extract_all(c, F.lit(pattern), F.lit(2)), strip_tags)
-    pairs = F.zip_with(names, values, lambda n, v: F.struct(n.alias("name"), v.alias("ratio")))
-    return F.filter(pairs, lambda p: (p["name"] != "") & (p["ratio"] != ""))
-
-
-PRODUCT_ROW = r"(?is)<tr\b[^>]*>\s*<th\b[^>]*>(.*?)</th>\s*<td\b[^>]*>(.*?)</td>"
-
-
-def product_list(html: Column | str, pattern: str = PRODUCT_ROW) -> Column:
-    """'name (ratio%)' items of a product table, comma separated."""
-    pairs = element_pairs(html, pattern)
-    return F.array_join(F.transform(pairs, lambda p: F.concat(p["name"], F.lit(" ("), p["ratio"], F.lit("%)"))), ", ")
-
-
-def page_title(html: Column | str) -> Column:
-    """Title of a page: heading first, then the title element."""
-    return first_present(tag_text(html, "h1"), tag_text(html, "title"))
-

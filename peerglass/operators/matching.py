@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import pad_code
 from peerglass.functions.text import strip
-from peerglass.operators.distributed import contains_pairs, first_per_key, split_hot_keys, substrings
+from peerglass.operators.distributed import contains_pairs, first_per_key, join_split, shared, substrings
 
 
 def industry_codes_long(rows: DataFrame, name: str, code: str) -> DataFrame:
@@ -110,8 +110,7 @@ def widen_small(tagged: DataFrame, wide: str, *, target: str = "t", company: str
     """
     rows = tagged.groupBy(target, company).agg(F.bool_or(~F.col(wide)).alias("_own"))
     sizes = rows.groupBy(target).agg(F.count_if("_own").alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    salted, expand = split_hot_keys(rows, sizes, target, "_rows")
-    kept = salted.join(expand(sizes), [target, "_salt"]).filter(F.col("_own") | (F.col("_n") <= small))
+    kept = join_split(rows, sizes, target, sizes=sizes).filter(F.col("_own") | (F.col("_n") <= small))
     return kept.select(target, company)
 
 
@@ -134,19 +133,20 @@ def lookup_code(names: DataFrame, companies: DataFrame, *, name: str = "name", c
     """Stock code of a company name: equal name first, else a name that contains it.
 
     The contains match ignores case and runs for the misses only.  Names with
-    no match keep a null code.
+    no match keep a null code.  The company list is reduced to the first row of every name at once; equal names, the index
+    of the misses and their codes all read that.
     """
-    asked = names.select(strip(name).alias(name)).distinct()
-    held = companies.select(F.col(company).alias(name), code, row_no)
-    firsts = first_per_key(held, [name], [row_no]).select(name, F.col(code).alias("_exact"), F.lit(True).alias("_hit"))
-    exact = asked.join(firsts, name, "left")
+    first = F.min_by(F.struct(F.col(code).alias("code"), F.col(row_no).alias("row_no")), row_no)
+    listed = shared(companies.groupBy(F.col(company).alias("company")).agg(first.alias("first")), ["company"])
+    asked = shared(names.select(strip(name).alias(name)).distinct(), [name])
+    exact = asked.join(listed.select(F.col("company").alias(name), F.col("first.code").alias("_exact"), F.lit(True).alias("_hit")),
+                       name, "left")
     misses = exact.filter(F.col("_hit").isNull()).select(name, F.lower(name).alias("_low"))
-    folded = held.select(F.lower(name).alias("_text"), code, row_no)
-    pairs = contains_pairs(misses, folded, "_low", "_text")
     # One row per lower-cased company text, and of those the first in file order.
-    texts = first_per_key(folded, ["_text"], [row_no])
-    best = first_per_key(pairs.join(texts, "_text").select("_low", code, row_no), ["_low"], [row_no])
-    partial = misses.join(best, "_low").select(name, F.col(code).alias("_partial"), F.lit(True).alias("_part"))
+    folded = listed.groupBy(F.lower("company").alias("_text")).agg(F.min_by("first", "first.row_no").alias("first"))
+    pairs = contains_pairs(misses, folded, "_low", "_text")
+    best = pairs.join(folded, "_text").groupBy("_low").agg(F.min_by("first", "first.row_no").alias("first"))
+    partial = misses.join(best, "_low").select(name, F.col("first.code").alias("_partial"), F.lit(True).alias("_part"))
     match = F.when(F.col("_hit"), F.lit("exact")).when(F.col("_part"), F.lit("contains")).otherwise(F.lit("none"))
     return exact.join(partial, name, "left").select(
         name, pad_code(strip(F.coalesce("_exact", "_partial"))).alias(code), match.alias("match")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
-from peerglass.functions.text import as_col
-from peerglass.operators.distributed import top_k_per_key
+from peerglass.functions.text import as_col, let
+from peerglass.operators.distributed import join_split, rank_in_ranges, top_k_per_key
+from peerglass.operators.reporting import clean_series
 
 
 # --- small reshapes --------------------------------------------------------
@@ -50,18 +51,32 @@ def mix_long(rows: DataFrame, mix: str = "business_mix") -> DataFrame:
     return rows.select(*rest, F.explode_outer(mix).alias("segment", "ratio"))
 
 
-def mix_wide(long: DataFrame, keys: Sequence[str], segments: Sequence[str] | None = None) -> DataFrame:
-    """One column per segment name in sorted order, null where absent.
+def segment_numbers(long: DataFrame, segment: str = "segment") -> DataFrame:
+    """(segment, segment_no): the distinct segment names numbered in order from 0."""
+    names = long.select(segment).filter(F.col(segment).isNotNull()).distinct()
+    numbered = rank_in_ranges(names.withColumn("_all", F.lit(0)), ["_all"], [segment], "segment_no")
+    return numbered.drop("_all")
 
-    Segment names are found by the pivot unless given; Spark refuses more of
-    them than ``spark.sql.pivotMaxValues``.
+
+def mix_numbered(long: DataFrame, keys: Sequence[str], numbers: DataFrame) -> DataFrame:
+    """(keys, mix): ratios of each company as a map keyed by segment number; null ratios and missing segments have no entry.
+
+    The wide form of a mix whose segments are too many for columns, or not known when the plan is made.
+    """
+    # segment names repeat over the companies, so their table is joined in parts where one is hot
+    numbered = join_split(long, numbers, "segment", "left")
+    entry = F.when(F.col("ratio").isNotNull(), F.struct("segment_no", "ratio"))
+    picked = numbered.groupBy(*keys, "segment_no").agg(F.min(entry).alias("_entry")).groupBy(*keys)
+    return picked.agg(F.map_from_entries(F.array_sort(F.collect_list("_entry"))).alias("mix"))
+
+
+def mix_wide(long: DataFrame, keys: Sequence[str], segments: Sequence[str]) -> DataFrame:
+    """One column for each of the given segments in sorted order, null where absent.
+
+    One aggregate over conditions: no list of names passes through the driver.
     """
-    # Names carry a mark while they are columns, so that a segment called 'null' is not the one without a name.
-    marked = long.withColumn("segment", F.concat(F.lit("="), "segment"))
-    grouped = marked.groupBy(*keys).pivot("segment", [f"={s}" for s in segments] if segments else None)
-    wide = grouped.agg(F.first("ratio", ignorenulls=True))
-    names = sorted(c for c in wide.columns if c not in keys and c != "null")
-    return wide.select(*keys, *[F.col("`" + n.replace("`", "``") + "`").alias(n[1:]) for n in names])
+    named = {s: F.max(F.when(F.col("segment") == s, F.col("ratio"))).alias(s) for s in sorted(set(segments))}
+    return long.groupBy(*keys).agg(*named.values())
 
 
 def matrix_cells(rows: DataFrame, matrix: str = "matrix", *, key: str = "company_id") -> DataFrame:
@@ -117,6 +132,23 @@ def move_rating(record: Column | str, header: Column | str, name: str = "Investm
 LONGER, IF_EMPTY, SERIES, OVERLAY, REPLACE = "longer", "if_empty", "series", "overlay", "replace"
 
 
+def _size(items: Column) -> Column:
+    return F.coalesce(F.size(items), F.lit(0))
+
+
+def _chosen(policy: str, base: Column, patch: Column, b: Column, p: Column, overlaid: Column) -> Column:
+    """What a policy makes of two values; ``b`` and ``p`` are their sizes."""
+    if policy == LONGER:
+        return F.when(p > b, patch).otherwise(base)
+    if policy == IF_EMPTY:
+        return F.when((p > 0) & (b == 0), patch).otherwise(base)
+    if policy == SERIES:
+        return F.when((p > 1) & (b <= 1), patch).otherwise(base)
+    if policy == OVERLAY:
+        return F.when(p > 0, overlaid).otherwise(base)
+    return F.coalesce(patch, base)
+
+
 def patch_merge(base: DataFrame, patch: DataFrame, policies: dict[str, str], key: str = "t") -> DataFrame:
     """Fields of a record completed from a patch, each by its policy.
 
@@ -127,25 +159,84 @@ def patch_merge(base: DataFrame, patch: DataFrame, policies: dict[str, str], key
     other = patch.select(key, *[F.col(c).alias(f"_p_{c}") for c in policies])
     joined = base.join(other, key, "left")
 
-    def size(c: Column) -> Column:
-        return F.coalesce(F.size(c), F.lit(0))
-
     def merged(name: str, policy: str) -> Column:
         b, p = F.col(name), F.col(f"_p_{name}")
-        if policy == LONGER:
-            return F.when(size(p) > size(b), p).otherwise(b)
-        if policy == IF_EMPTY:
-            return F.when((size(p) > 0) & (size(b) == 0), p).otherwise(b)
-        if policy == SERIES:
-            return F.when((size(p) > 1) & (size(b) <= 1), p).otherwise(b)
-        if policy == OVERLAY:
-            return F.when(size(p) > 0, overlay_maps(b, p)).otherwise(b)
-        return F.coalesce(p, b)
+        sized = policy != REPLACE
+        return _chosen(policy, b, p, _size(b) if sized else None, _size(p) if sized else None,
+                       overlay_maps(b, p) if policy == OVERLAY else None)
 
     rest = [c for c in base.columns if c not in policies]
     return joined.select(*rest, *[merged(c, how).alias(c) for c, how in policies.items()])
 
 
+#: Policies of a report document by path.
+REPORT_POLICIES = {
+    "Financial_Status": {"Investment_History": LONGER},
+    "Growth_Potential": {
+        "Target_Market_Trends": IF_EMPTY,
+        "Export_and_Contract_Stats": {name: SERIES for name in V.CHART_SERIES},
+    },
+    "Key_Personnel": {"CEO_Reference": OVERLAY, "Team_Capability": OVERLAY},
+    "Valuation_and_Judgment": {"Valuation_Logic_Detail": REPLACE},
+}
+
+
+def _entries(value: Column) -> Column:
+    return F.coalesce(F.try_variant_get(value, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>"))
+
+
+def _known(value: Column) -> Column:
+    """A value, with the null of a document as no value."""
+    return F.when(~F.is_variant_null(value), value)
+
+
+def normalised_series(value: Column, header: str) -> Column:
+    """A chart series with its header row and readable [year, value] rows behind it, as a document value."""
+    def rows(series: Column) -> Column:
+        pairs = F.transform(series, lambda r: F.array(r["year"].cast("variant"), r["value"].cast("variant")))
+        head = F.array(F.lit(V.CHART_YEAR).cast("variant"), F.lit(header).cast("variant"))
+        return F.to_variant_object(F.concat(F.array(head), pairs))
+
+    return let(clean_series(F.coalesce(F.try_variant_get(value, "$", "array<array<string>>"), F.array().cast("array<array<string>>"))), rows)
+
+
+def _patched(base: Column, patch: Column, policy: str | dict, name: str = "") -> Column:
+    if isinstance(policy, dict):
+        def merged(old: Column, new: Column) -> Column:
+            made = F.map_from_entries(F.filter(F.array(*[
+                F.struct(F.lit(field).alias("key"), _patched(
+                    _known(F.try_element_at(old, F.lit(field))), _known(F.try_element_at(new, F.lit(field))), below, field).alias("value"))
+                for field, below in policy.items()]), lambda e: e["value"].isNotNull()))
+            rest = F.map_filter(old, lambda k, _: ~k.isin(*policy))
+            return F.to_variant_object(F.map_concat(rest, made))
+
+        both = let(F.struct(_entries(base).alias("b"), _entries(patch).alias("p")), lambda e: merged(e["b"], e["p"]))
+        return F.when(base.isNotNull() | patch.isNotNull(), both)
+
+    def chosen(sizes: Column) -> Column:
+        overlaid = F.to_variant_object(overlay_maps(_entries(base), _entries(patch))) if policy == OVERLAY else None
+        value = _chosen(policy, base, patch, sizes["b"], sizes["p"], overlaid)
+        return normalised_series(value, V.CHART_SERIES.get(name, name)) if policy == SERIES else value
+
+    kind = "map<string,variant>" if policy == OVERLAY else "array<variant>"
+    count = (lambda v: F.size(F.map_keys(F.try_variant_get(v, "$", kind)))) if policy == OVERLAY else (
+        lambda v: F.size(F.try_variant_get(v, "$", kind)))
+    sized = lambda v: F.coalesce(F.greatest(count(v), F.lit(0)), F.lit(0))
+    return let(F.struct(sized(base).alias("b"), sized(patch).alias("p")), chosen)
+
+
+def patch_documents(base: DataFrame, patch: DataFrame, policies: dict | None = None, *, key: str = "t", doc: str = "doc") -> DataFrame:
+    """Documents (variant) completed from patch documents by a tree of policies.
+
+    Objects named in the tree are walked on both sides at once; what the tree does not name stays as it is.  A field that
+    only the patch has is filled by its policy.  Chart series come out normalised whether patched or not, and one that is
+    missing is a header alone.
+    """
+    joined = base.join(patch.select(key, F.col(doc).alias("_patch")), key, "left")
+    merged = _patched(_known(F.col(doc)), _known(F.col("_patch")), policies or REPORT_POLICIES)
+    return joined.withColumn(doc, merged).drop("_patch")
+
+
 # --- section schemas -------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -169,42 +260,80 @@ PERSONNEL_FIELDS = listed_fields(V.PERSONNEL_FIELDS)
 VALUATION_FIELDS = listed_fields(V.VALUATION_FIELDS)
 
 
+class _Node:
+    """Rules by path: what holds for a value, for its fields, and for the items of its list."""
+
+    def __init__(self) -> None:
+        self.rule: Field | None = None
+        self.fields: dict[str, _Node] = {}
+        self.items: _Node | None = None
+
+    def size(self) -> int:
+        below = [*self.fields.values(), *([self.items] if self.items else [])]
+        return (self.rule is not None) + sum(node.size() for node in below)
+
+
+def rule_tree(spec: Sequence[Field]) -> _Node:
+    root = _Node()
+    for field in spec:
+        node = root
+        for step in field.path.split("."):
+            node = node.fields.setdefault(step.removesuffix("[]"), _Node())
+            if step.endswith("[]"):
+                node.items = node.items or _Node()
+                node = node.items
+        node.rule = field
+    return root
+
+
 def _fault(value: Column, field: Field) -> Column:
-    """Name of what is wrong with one value, null where it is right."""
-    kind = F.schema_of_variant(value)
-    right = F.startswith(kind, F.lit(field.kind))
-    fault = F.when(value.isNull(), F.lit(None if field.nullable else "missing"))
-    null_fault = F.lit(None if field.nullable else "null")
-    fault = fault.when(F.is_variant_null(value), null_fault).when(~right, F.lit("type"))
+    """'fault:path' of one value, null where it is right."""
+    text = lambda fault: F.lit(None if fault is None else f"{fault}:{field.path}").cast("string")
+    if field.kind == "ARRAY":  # cheaper than to spell out the type of a whole list
+        right = F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    else:
+        right = F.schema_of_variant(value) == field.kind
+    fault = F.when(value.isNull(), text(None if field.nullable else "missing"))
+    fault = fault.when(F.is_variant_null(value), text(None if field.nullable else "null")).when(~right, text("type"))
     if field.exact_len is not None:
-        items = F.try_variant_get(value, "$", "array<variant>")
-        fault = fault.when(F.size(items) != field.exact_len, F.lit("length"))
+        fault = fault.when(F.size(F.try_variant_get(value, "$", "array<variant>")) != field.exact_len, text("length"))
     return fault
 
 
-def violation(doc: Column, field: Field) -> Column:
-    """'fault:path' of a document (variant), null where the field is right."""
-    head, _, leaf = field.path.rpartition("[].")
-    if head:
-        items = F.try_variant_get(doc, f"$.{head}", "array<variant>")
-        faults = F.transform(items, lambda item: _fault(F.try_variant_get(item, f"$.{leaf}", "variant"), field))
-        fault = F.try_element_at(F.array_compact(faults), F.lit(1))
-    else:
-        fault = _fault(F.try_variant_get(doc, f"$.{field.path}", "variant"), field)
-    return F.concat(fault, F.lit(f":{field.path}"))
+def _walker(node: _Node) -> Callable[[Column], Column]:
+    return lambda value: _walk(value, node)
+
+
+def _walk(value: Column, node: _Node) -> Column:
+    """Faults below a value: one place for each rule of the node, null where it holds.
+
+    Every field is looked up once, in the value it stands in; the items of a list are read in one go.
+    """
+    parts = [F.array(_fault(value, node.rule))] if node.rule else []
+    for name, below in node.fields.items():
+        parts.append(let(F.try_variant_get(value, f"$.{name}", "variant"), _walker(below)))
+    if node.items:
+        none = F.array(*[F.lit(None).cast("string")] * node.items.size())
+        first = F.aggregate(
+            F.try_variant_get(value, "$", "array<variant>"), none,
+            lambda found, item: F.zip_with(found, _walk(item, node.items), lambda old, new: F.coalesce(old, new)))
+        parts.append(F.coalesce(first, none))
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
+def violations(doc: Column, spec: Sequence[Field]) -> Column:
+    """Broken rules of a document (variant), in order of their paths' first mention; of a list its first faulty item counts."""
+    return F.array_compact(_walk(doc, rule_tree(spec)))
 
 
 def schema_violations(docs: DataFrame, json: str, spec: Sequence[Field]) -> DataFrame:
     """``violations``: every broken rule of a section; 'unreadable' for malformed JSON.
 
-    The text is parsed once per row; all rules read the parsed value.
+    The text is parsed once per row, and the parsed value is walked once along the tree of rules.
     """
-    parsed = docs.withColumn("_doc", F.try_parse_json(json))
-    faults = F.array_compact(F.array(*[violation(F.col("_doc"), f) for f in spec]))
     unreadable = F.array(F.lit("unreadable"))
-    return parsed.withColumn(
-        "violations", F.when(F.col("_doc").isNull(), unreadable).otherwise(faults)
-    ).drop("_doc")
+    found = let(F.try_parse_json(json), lambda doc: F.when(doc.isNull(), unreadable).otherwise(violations(doc, spec)))
+    return docs.withColumn("violations", found)
 
 
 def split_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import amount_range, grouped, round_class, round_rank, to_double, unit_token
 from peerglass.functions.text import as_col, strip
-from peerglass.operators.distributed import rank_in_buckets, split_hot_keys, top_k_per_key
+from peerglass.operators.distributed import join_split, rank_in_ranges, top_k_per_key
 
 
 def infer_unit(values: DataFrame, group: str, value: str, row_no: str, fallback: str = V.DEFAULT_UNIT) -> DataFrame:
@@ -27,9 +27,8 @@ def infer_unit(values: DataFrame, group: str, value: str, row_no: str, fallback:
 def nonzero_series(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Rows of the series whose values do not sum to zero."""
     sums = rows.groupBy(key).agg(F.sum(value).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
-    salted, expand = split_hot_keys(rows, sums, key, "_rows")
-    alive = expand(sums).filter(F.col("_sum") != 0).select(key, "_salt")
-    return salted.join(alive, [key, "_salt"], "left_semi").select(*rows.columns)
+    alive = sums.filter(F.col("_sum") != 0).select(key)
+    return join_split(rows, alive, key, "left_semi", sizes=sums).select(*rows.columns)
 
 
 def clean_series(pairs: Column | str) -> Column:
@@ -67,32 +66,29 @@ def repaired_date(date: Column | str, label: Column | str) -> Column:
 
 
 def funding_timeline(rounds: DataFrame, *, target: str = "t", date: str = "date", label: str = "round",
-                     amount: str = "amount", seq: str = "seq", span: int = 65536) -> DataFrame:
+                     amount: str = "amount", seq: str = "seq", parts: int | None = None) -> DataFrame:
     """Funding rounds with their place on the timeline and what the chart shows.
 
-    Sorted by year, then by the usual order of rounds, then as given.  Places
-    are found in buckets of (year, round, ``span`` entries).
+    Sorted by year, then by the usual order of rounds, then as given.  Rows are dealt by range of what they are sorted by, and
+    only then are amounts read: the texts travel as they are.
     """
-    money = amount_range(amount)
     raw_label = strip(F.coalesce(F.col(label), F.lit("")))
     no_label = (raw_label == "") | F.lower(raw_label).isin(*V.ROUND_NA_MARKS)
     # In steps, so that no text is read twice.
     read = rounds.select(
-        target, seq, repaired_date(date, label).alias("date"), money.alias("_money"),
+        target, seq, repaired_date(date, label).alias("date"), F.col(amount).alias("_amount"),
         F.when(no_label, F.lit("N/A")).otherwise(raw_label).alias("round"), round_rank(label).alias("sort_round"),
-        F.floor(F.col(seq) / span).alias("_chunk"),
     ).withColumn(
         "sort_year", F.coalesce(F.regexp_extract("date", r"\d{4}", 0).try_cast("int"), F.lit(V.LAST_YEAR))
     )
-    keyed = read.select(
+    placed = rank_in_ranges(read, [target], ["sort_year", "sort_round", seq], "x", parts=parts)
+    return placed.withColumn("_money", amount_range("_amount")).select(
         target, seq, "date", "round",
         F.when(F.col("sort_year") == V.LAST_YEAR, F.col("round")).otherwise(F.col("sort_year").cast("string")).alias(
             "axis_label"),
         F.col("_money.amount").alias("amount"), F.col("_money.label").alias("amount_label"),
-        round_class("round").alias("round_class"), "sort_year", "sort_round", "_chunk",
+        round_class("round").alias("round_class"), "sort_year", "sort_round", "x",
     )
-    placed = rank_in_buckets(keyed, [target], ["sort_year", "sort_round", "_chunk"], [seq], "x")
-    return placed.drop("_chunk")
 
 
 def list_preview(rows: DataFrame, group: str, item: str, order: str, limit: int = V.PREVIEW_ITEMS) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import fixed, pad_code, plain_number, sentinel_number
 from peerglass.functions.text import as_col, strip
-from peerglass.operators.distributed import split_hot_keys, top_k_per_key
+from peerglass.operators.distributed import join_split, split_hot_keys, top_k_per_key
 from peerglass.operators.similarity import similarity_scores
 from peerglass.session import cut_lineage
 
@@ -91,17 +91,17 @@ def mark_december_firsts(rows: DataFrame, settles: str, *, target: str = "t", co
     """``dec_passed``: settles in December and is the first of its code in the target.
 
     Repeated codes are found by an aggregate; the rows themselves only meet the
-    short list of repeats.
+    short list of repeats, those of a hot (target, code) in several tasks.
     """
-    repeats = (
-        rows.filter(settles).groupBy(target, code)
-        .agg(F.min(row_no).alias("_first"), F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1").drop("_n")
+    codes = (
+        rows.groupBy(target, code)
+        .agg(F.min(F.when(F.col(settles), F.col(row_no))).alias("_first"), F.count_if(settles).alias("_n"),
+             F.count(F.lit(1)).alias("_rows"))
     )
     first = F.col("_first").isNull() | (F.col(row_no) == F.col("_first"))
-    return rows.join(repeats, [target, code], "left").withColumn("dec_passed", F.col(settles) & first).drop(
-        settles, "_first"
-    )
+    repeats = codes.filter("_n > 1").select(target, code, "_first")
+    joined = join_split(rows, repeats, [target, code], "left", by=[target, row_no], sizes=codes)
+    return joined.withColumn("dec_passed", F.col(settles) & first).drop(settles, "_first")
 
 
 def stage2_financial(pool: DataFrame, listed: DataFrame, cells: DataFrame, *, target: str = "t",
@@ -298,7 +298,8 @@ def peer_funnel(pool: DataFrame, companies: DataFrame, cells: DataFrame, target_
     ``companies`` holds code, month, row_no and the listing metrics.  The cheap
     filters come first: vectors are joined to those only that pass them, and
     the scores are put back by (target, company).  These facts are written
-    once, and the later stages read the few columns they need from there.
+    once, and the later stages read the few columns they need from there: without the table the plan would hold their
+    whole history for every one of some eighty reads, more than the planner gets through.
     """
     verdicts = income_verdict(companies, cells, company=company, income_period=income_period)
     settles = december("month", "code")

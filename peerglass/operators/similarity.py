@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
-from peerglass.operators.distributed import top_k_per_key
+from peerglass.operators.distributed import join_split, top_k_per_key
 
 
 def norm(vector: Column) -> Column:
@@ -28,12 +28,15 @@ def similarity_scores(pairs: DataFrame, targets: DataFrame, candidates: DataFram
                       threshold: float = V.SIMILARITY_THRESHOLD) -> DataFrame:
     """Score in [0, 1], verdict and reason for every given (target, candidate) pair.
 
-    Only the pairs handed in are scored.  A candidate without a description
+    Only the pairs handed in are scored.  A target with most of the pairs, or a candidate of most targets, is split and its
+    vector repeated for every part.  A candidate without a description
     fails with score 0; a target without one lets all its candidates pass.
     """
     wanted = with_unit_length(targets.select(target, F.col(vector).alias("_tv")), "_tv", "_tn")
     held = with_unit_length(candidates.select(company, F.col(vector).alias("_cv")), "_cv", "_cn")
-    joined = pairs.join(held, company, "left").join(wanted, target, "left")
+    joined = join_split(pairs, held, company, "left", by=pairs.columns)
+    joined = join_split(joined, wanted, target, "left", by=pairs.columns,
+                        sizes=pairs.groupBy(target).agg(F.count(F.lit(1)).alias("_rows")))
     return joined.select(
         *pairs.columns,
         *score_columns(F.col("_tv"), F.col("_tn"), F.col("_cv"), F.col("_cn"), threshold),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from peerglass.operators import documents as docs
 from peerglass.operators import evidence as ev
+from peerglass.operators import pages
 from peerglass.operators import records as R
 from peerglass.operators import refdata as ref
 from peerglass.operators import reporting as rep
@@ -13,7 +14,7 @@ from peerglass.operators import similarity as sim
 from peerglass.plans import views as vw
 from peerglass.plans.registry import query
 from peerglass.plans.screening_queries import PAIRS_SQL, label_pairs
-from peerglass.plans.text_queries import AMOUNT_SQL, sql_strip_tags
+from peerglass.plans.text_queries import AMOUNT_SQL, sql_strip, sql_strip_tags, sql_unescape
 
 # --- reference data -------------------------------------------------------------
 
@@ -215,17 +216,51 @@ items AS (SELECT page_id, i, {sql_strip_tags('n')} AS n, {sql_strip_tags('v')} A
 SELECT page_id, coalesce(string_agg(n || ' (' || v || '%)', ', ' ORDER BY i) FILTER (WHERE n <> '' AND v <> ''), '') AS products
 FROM pages LEFT JOIN items USING (page_id) GROUP BY 1""")
 def page_elements(t):
-    return t.pages.select("page_id", docs.product_list("html", LINK).alias("products"))
+    return t.pages.select("page_id", pages.listed_pairs(pages.element_pairs("html", LINK)).alias("products"))
 
 
+@query("product_table", f"""
+WITH links AS (SELECT page_id, unnest(regexp_extract_all(html, '{LINK}', 1)) AS n, unnest(regexp_extract_all(html, '{LINK}', 2)) AS v,
+                      generate_subscripts(regexp_extract_all(html, '{LINK}', 1), 1) AS i FROM pages)
+SELECT page_id, coalesce(string_agg({sql_strip_tags('n')} || ' (' || {sql_strip_tags('v')} || '%)', ', ' ORDER BY i)
+                         FILTER (WHERE {sql_strip_tags('n')} <> '' AND {sql_strip_tags('v')} <> ''), '') AS products
+FROM pages LEFT JOIN links USING (page_id) GROUP BY 1""")
+def product_table(t):
+    return vw.product_pages(t).select("page_id", pages.product_list("html").alias("products"))
+
+
+@query("listing_metrics", vw.LISTING_PAGES_SQL)
+def listing_metrics(t):
+    return vw.listing_pages(t).select("company_id", pages.listing_metrics("html", "fundamentals").alias("m")).select(
+        "company_id", "m.*")
+
+
+# The same stack row by row: pages are split at opening brackets, each part is a tag and the text after it.
 @query("main_text", f"""
-WITH blocks AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<(?:div|p|td)\\b[^>]*>(.*?)</(?:div|p|td)>', 1)) AS b,
-                generate_subscripts(regexp_extract_all(html, '(?is)<(?:div|p|td)\\b[^>]*>(.*?)</(?:div|p|td)>', 1), 1) AS i FROM pages),
-texts AS (SELECT page_id, i, {sql_strip_tags('b')} AS x FROM blocks),
-best AS (SELECT page_id, x, row_number() OVER (PARTITION BY page_id ORDER BY length(x) DESC, i) AS place FROM texts WHERE length(x) >= 200)
+WITH RECURSIVE parts AS (
+  SELECT page_id, unnest(p) AS part, generate_subscripts(p, 1) AS i
+  FROM (SELECT page_id, string_split(regexp_replace(html, '(?is)<(script|style).*?</(script|style)>', '', 'g'), '<') AS p FROM pages)),
+tags AS (SELECT page_id, i, CASE WHEN i > 1 THEN lower(regexp_extract(part, '^/?([a-zA-Z][^\\s/>]*)', 1)) ELSE '' END AS name,
+                i > 1 AND starts_with(part, '/') AS closes,
+                {sql_strip(sql_unescape("CASE WHEN i > 1 THEN substr(part, instr(part, '>') + 1) ELSE part END"))} AS said FROM parts),
+walk AS (
+  SELECT page_id, 1::BIGINT AS i, []::VARCHAR[] AS stack, 0::BIGINT AS since, 0 AS block FROM pages
+  UNION ALL
+  SELECT page_id, i, CASE WHEN opens THEN list_append(stack, name) WHEN place > 0 THEN stack[1:place - 1] ELSE stack END,
+         CASE WHEN begins THEN len(stack) + 1 WHEN place > 0 AND place <= since THEN 0 ELSE since END,
+         block + CASE WHEN begins THEN 1 ELSE 0 END
+  FROM (SELECT *, opens AND since = 0 AND name IN ('div', 'p', 'td') AS begins FROM (
+    SELECT w.page_id, g.i, w.stack, w.since, w.block, g.name,
+           name <> '' AND NOT closes AND name NOT IN ('meta', 'br', 'img', 'hr', 'link', 'input') AS opens,
+           CASE WHEN closes AND list_contains(stack, name)
+                THEN len(stack) + 1 - list_position(list_reverse(stack), name) ELSE 0 END AS place
+    FROM walk w JOIN tags g ON g.page_id = w.page_id AND g.i = w.i + 1))),
+blocks AS (SELECT page_id, block, string_agg(said, ' ' ORDER BY i) AS x FROM walk JOIN tags USING (page_id, i)
+           WHERE since > 0 AND said <> '' GROUP BY 1, 2),
+best AS (SELECT page_id, x, row_number() OVER (PARTITION BY page_id ORDER BY length(x) DESC, block) AS place FROM blocks WHERE length(x) >= 200)
 SELECT page_id, coalesce(left(x, 700), '') AS main_text FROM pages LEFT JOIN (SELECT * FROM best WHERE place = 1) USING (page_id)""")
 def main_text(t):
-    return t.pages.select("page_id", docs.main_text("html").alias("main_text"))
+    return t.pages.select("page_id", pages.main_text("html").alias("main_text"))
 
 
 # --- evidence -------------------------------------------------------------------
@@ -332,7 +367,22 @@ def mix_wide(t):
     share = {s: F.round(F.col(s) * 100 / F.col("n"), 4) for s in ("F", "O", "P")}
     full = F.create_map(*[x for s, c in share.items() for x in (F.lit(s), c)])
     mix = F.when(F.col("priority") == "5-LOW", F.map_filter(full, lambda k, _: k != "P")).otherwise(full)
-    return R.mix_wide(R.mix_long(by_status.select("priority", mix.alias("business_mix"))), ["priority"])
+    return R.mix_wide(R.mix_long(by_status.select("priority", mix.alias("business_mix"))), ["priority"], ["F", "O", "P"])
+
+
+@query("mix_numbered", """
+WITH names AS (SELECT segment, row_number() OVER (ORDER BY segment) - 1 AS no FROM (
+       SELECT DISTINCT p_type || ' ' || p_brand AS segment FROM part)),
+mix AS (SELECT l_suppkey, no, round(sum(l_quantity), 2) AS ratio FROM lineitem JOIN part ON p_partkey = l_partkey
+        JOIN names ON segment = p_type || ' ' || p_brand GROUP BY 1, 2)
+SELECT l_suppkey, count(*) AS n, string_agg(no || '=' || CAST(ratio AS BIGINT), ',' ORDER BY no) AS mix FROM mix GROUP BY 1""")
+def mix_numbered(t):
+    """Business mix of suppliers over segments that only the data name."""
+    part = t.part.select(F.col("p_partkey").alias("l_partkey"), F.concat_ws(" ", "p_type", "p_brand").alias("segment"))
+    long = t.lineitem.join(part, "l_partkey").groupBy("l_suppkey", "segment").agg(F.round(F.sum("l_quantity"), 2).alias("ratio"))
+    mix = R.mix_numbered(long, ["l_suppkey"], R.segment_numbers(long))
+    shown = F.transform(F.map_entries("mix"), lambda e: F.concat(e["key"].cast("string"), F.lit("="), e["value"].cast("bigint").cast("string")))
+    return mix.select("l_suppkey", F.size("mix").cast("bigint").alias("n"), F.array_join(shown, ",").alias("mix"))
 
 
 @query("matrix_cells", """
@@ -409,6 +459,75 @@ def patch_merge(t):
                          F.col("person")["name"].alias("person"), "logic")
 
 
+@query("patch_documents", """
+WITH p AS (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events),
+b AS (SELECT o_orderkey AS t, o_custkey % 3 AS h, o_custkey % 2 AS r, o_custkey % 4 AS s, o_orderstatus AS st FROM orders),
+j AS (SELECT *, k IS NOT NULL AS there, coalesce(k, 0) % 5 AS ph, coalesce(k, 0) % 3 AS pr, coalesce(k, 0) % 4 AS ps FROM b LEFT JOIN p ON event_id = t)
+SELECT t, CASE WHEN ph > h THEN ph ELSE h END AS n_history, CASE WHEN pr > 0 AND r = 0 THEN 'new' WHEN r > 0 THEN 'old' END AS trend,
+       CASE WHEN ps > 1 AND s <= 1 THEN 'Year=Revenue' || repeat(',2024=7.5', ps::BIGINT)
+            ELSE 'Year=Revenue' || CASE WHEN s > 1 THEN repeat(',2020=1200.0', s::BIGINT) ELSE '' END END AS sales,
+       'Year=Count' AS contracts, CASE WHEN there THEN event_type ELSE st END AS ceo, 'kept' AS philosophy,
+       CASE WHEN there AND k % 2 = 1 THEN 'k' || k ELSE 'none' END AS logic, 'same' AS other
+FROM j""")
+def patch_documents(t):
+    """Nested report documents completed from patch documents."""
+    text = lambda c: F.to_json(c)
+    items = lambda n, item: F.array_repeat(F.lit(item), n.cast("int"))
+    series = lambda n, year, value: F.array_repeat(F.array(F.lit(year), F.lit(value)), n.cast("int"))
+    key, k = F.col("o_custkey"), F.get_json_object("props", "$.k").cast("int")
+    base = t.orders.select(F.col("o_orderkey").alias("t"), F.parse_json(text(F.struct(
+        F.struct(items(key % 3, "b").alias("Investment_History")).alias("Financial_Status"),
+        F.struct(items(key % 2, "old").alias("Target_Market_Trends"),
+                 F.struct(series(key % 4, "2020년", "1,200억원").alias("Sales_Graph_Data")).alias("Export_and_Contract_Stats"),
+                 F.lit("same").alias("Other")).alias("Growth_Potential"),
+        F.struct(F.struct(F.col("o_orderstatus").alias("Name"), F.lit("kept").alias("Management_Philosophy")).alias(
+            "CEO_Reference")).alias("Key_Personnel"),
+        F.struct(F.lit("none").alias("Valuation_Logic_Detail")).alias("Valuation_and_Judgment")))).alias("doc"))
+    patch = t.events.select(F.col("event_id").alias("t"), F.parse_json(text(F.struct(
+        F.struct(items(k % 5, "p").alias("Investment_History")).alias("Financial_Status"),
+        F.struct(items(k % 3, "new").alias("Target_Market_Trends"),
+                 F.struct(series(k % 4, "2024", "7.5").alias("Sales_Graph_Data")).alias("Export_and_Contract_Stats"),
+                 F.lit("not in the tree").alias("Other")).alias("Growth_Potential"),
+        F.struct(F.struct(F.col("event_type").alias("Name")).alias("CEO_Reference")).alias("Key_Personnel"),
+        F.struct(F.when(k % 2 == 1, F.concat(F.lit("k"), k.cast("string"))).alias("Valuation_Logic_Detail")).alias(
+            "Valuation_and_Judgment")))).alias("doc"))
+    done = R.patch_documents(base, patch)
+    get = lambda path, kind: F.try_variant_get("doc", f"$.{path}", kind)
+    stats = "Growth_Potential.Export_and_Contract_Stats"
+
+    def rows(name):
+        return F.array_join(F.transform(get(f"{stats}.{name}", "array<array<string>>"), lambda r: F.array_join(r, "=")), ",")
+
+    return done.select(
+        "t", F.size(get("Financial_Status.Investment_History", "array<string>")).cast("bigint").alias("n_history"),
+        get("Growth_Potential.Target_Market_Trends[0]", "string").alias("trend"), rows("Sales_Graph_Data").alias("sales"),
+        rows("Contract_Count_Graph_Data").alias("contracts"), get("Key_Personnel.CEO_Reference.Name", "string").alias("ceo"),
+        get("Key_Personnel.CEO_Reference.Management_Philosophy", "string").alias("philosophy"),
+        get("Valuation_and_Judgment.Valuation_Logic_Detail", "string").alias("logic"), get("Growth_Potential.Other", "string").alias("other"))
+
+
+SECTIONS = {"finance": R.FINANCE_FIELDS, "market": R.MARKET_FIELDS, "tech": R.TECH_FIELDS, "personnel": R.PERSONNEL_FIELDS,
+            "valuation": R.VALUATION_FIELDS}
+
+
+def _expected_fault(spec) -> str:
+    """SQL of the one rule that a document breaks: rule and damage follow from the event's number."""
+    rules = ", ".join(f"{{'p': '{f.path}', 'n': {str(f.nullable).lower()}}}" for f in spec)
+    rule = f"([{rules}])[CAST(event_id % {len(spec)} AS INTEGER) + 1]"
+    damage = f"event_id // {len(spec)} % 4"
+    return (f"CASE WHEN {damage} = 0 THEN '' WHEN {damage} = 3 THEN 'type:' || {rule}.p WHEN {rule}.n THEN '' "
+            f"WHEN {damage} = 1 THEN 'missing:' || {rule}.p ELSE 'null:' || {rule}.p END")
+
+
+@query("section_schemas", "SELECT event_id, " + ", ".join(f"{_expected_fault(spec)} AS {name}" for name, spec in SECTIONS.items())
+       + " FROM events")
+def section_schemas(t):
+    """The five section schemas, each over a document of every event with at most one fault."""
+    checked = t.events.select("event_id", *[vw.section_document(spec, F.col("event_id")).alias(f"{name}_doc") for name, spec in SECTIONS.items()])
+    found = [F.array_join(R.violations(F.parse_json(f"{name}_doc"), spec), ",").alias(name) for name, spec in SECTIONS.items()]
+    return checked.select("event_id", *found)
+
+
 @query("schema_violations", """
 WITH k AS (SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events)
 SELECT event_id, CASE WHEN k = 50 THEN 'unreadable' ELSE array_to_string(list_filter([

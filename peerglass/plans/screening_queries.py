@@ -9,6 +9,7 @@ from peerglass.operators import matching as M
 from peerglass.operators import screening as S
 from peerglass.operators import similarity as sim
 from peerglass.operators import valuation as val
+from peerglass.operators.distributed import join_split
 from peerglass.plans import views as vw
 from peerglass.plans.registry import query
 
@@ -189,8 +190,8 @@ def label_pairs(t):
     """Target of a label: its first vector.  Candidates: the other vectors of the label."""
     firsts = t.embeddings.groupBy(F.col("label").alias("t")).agg(
         F.min("vec_id").alias("first"), F.min_by("embedding", "vec_id").alias("embedding"))
-    pairs = t.embeddings.select(F.col("label").alias("t"), F.col("vec_id").alias("company_id")).join(
-        firsts.select("t", "first"), "t").filter("company_id <> first").select("t", "company_id")
+    pairs = join_split(t.embeddings.select(F.col("label").alias("t"), F.col("vec_id").alias("company_id")),
+                       firsts.select("t", "first"), "t").filter("company_id <> first").select("t", "company_id")
     return pairs, firsts.select("t", "embedding"), vw.vectors(t)
 
 
@@ -237,7 +238,7 @@ def attach_default(t):
 # --- stage 4 ------------------------------------------------------------------
 
 def _metrics(t):
-    """Metrics written once: the requirement stage reads them three times."""
+    """Metrics of every company; the requirement stage reads them three times."""
     return vw.company_metrics(t)
 
 

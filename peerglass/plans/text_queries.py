@@ -8,7 +8,7 @@ from peerglass.functions import dates as D
 from peerglass.functions import numbers as N
 from peerglass.functions import payload as P
 from peerglass.functions import text as X
-from peerglass.operators import documents as docs
+from peerglass.operators import pages
 from peerglass.operators import records as R
 from peerglass.operators import reporting as rep
 from peerglass.plans import views as vw
@@ -28,11 +28,15 @@ def sql_clean(c: str) -> str:
     return f"trim(regexp_replace(coalesce({c}, ''), '{SQL_SPACE}+', ' ', 'g'))"
 
 
+def sql_unescape(c: str) -> str:
+    for entity, text in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        c = f"replace({c}, '{entity}', '{text}')"
+    return c
+
+
 def sql_strip_tags(c: str) -> str:
     out = f"regexp_replace({c}, '<[^>]*>', ' ', 'g')"
-    for entity, text in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        out = f"replace({out}, '{entity}', '{text}')"
-    return sql_clean(out)
+    return sql_clean(sql_unescape(out))
 
 
 def digest(column):
@@ -122,7 +126,7 @@ SELECT page_id, coalesce(nullif(h, ''), nullif(x, '')) AS title FROM (
   SELECT page_id, {sql_strip_tags("regexp_extract(html, '(?is)<h1\\b[^>]*>(.*?)</h1>', 1)")} AS h,
          {sql_strip_tags("regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1)")} AS x FROM pages)""")
 def first_present(t):
-    return t.pages.select("page_id", docs.page_title("html").alias("title"))
+    return t.pages.select("page_id", pages.page_title("html").alias("title"))
 
 
 @query("entity_from_name", """

@@ -8,7 +8,7 @@ SQL twin of the same columns for the comparison.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerglass.plans.registry import Tables
@@ -170,6 +170,39 @@ def json_sections(t: Tables) -> DataFrame:
     return t.events.select("event_id", body.alias("section"))
 
 
+def section_document(spec, number: Column) -> Column:
+    """JSON text of a section in which at most one rule is broken: rule and damage follow from the number."""
+    picked, damage = F.pmod(number, F.lit(len(spec))), F.pmod(F.floor(number / len(spec)), F.lit(4))
+
+    def tree(paths):
+        heads: dict[str, list] = {}
+        for path, place, field in paths:
+            head, _, rest = path.partition(".")
+            heads.setdefault(head.removesuffix("[]"), []).append((("[]." if head.endswith("[]") else "") + rest, place, field))
+        return heads
+
+    def members(paths) -> Column:
+        """'"name": value' texts of an object, joined."""
+        return F.array_join(F.array_compact(F.array(*[member(name, below) for name, below in tree(paths).items()])), ", ")
+
+    def member(name: str, below) -> Column:
+        own = next(((place, field) for rest, place, field in below if rest == ""), None)
+        items = [(rest.removeprefix("[]."), place, field) for rest, place, field in below if rest.startswith("[].")]
+        inner = [b for b in below if b[0] and not b[0].startswith("[].")]
+        if inner:
+            return F.concat(F.lit(f'"{name}": {{'), members(inner), F.lit("}"))
+        if items:
+            value = F.concat(F.lit("["), F.array_join(F.array_repeat(F.concat(F.lit("{"), members(items), F.lit("}")), 3), ", "), F.lit("]"))
+        else:
+            value = F.lit('["a", "b", "c"]' if own[1].kind == "ARRAY" else '"text"')
+        hit = (picked == own[0]) & (damage > 0)
+        wrong = F.lit('"x"' if own[1].kind == "ARRAY" else "5")
+        value = F.when(hit & (damage == 2), F.lit("null")).when(hit & (damage == 3), wrong).otherwise(value)
+        return F.when(~(hit & (damage == 1)), F.concat(F.lit(f'"{name}": '), value))
+
+    return F.concat(F.lit("{"), members([(f.path, place, f) for place, f in enumerate(spec)]), F.lit("}"))
+
+
 def funding_rounds(t: Tables) -> DataFrame:
     """Funding rounds of every user: date text, label and amount text."""
     k = F.get_json_object("props", "$.k").cast("int")
@@ -196,8 +229,69 @@ def funding_rounds(t: Tables) -> DataFrame:
     )
 
 
+def product_pages(t: Tables) -> DataFrame:
+    """Pages whose link list is a product table between two other tables, with a head row and cells that do not count."""
+    row = '<tr><th>&nbsp;<span class="cut">$1</span> etc</th><td>0</td><td class="num c2">$2</td><td>1</td></tr>'
+    html = F.regexp_replace("html", r"""(?is)<li><a href="/([^"]*)">(.*?)</a></li>""", row)
+    other = "<table class='t'><tbody><tr><th>other</th><td>3</td></tr></tbody></table>"
+    html = F.replace(html, F.lit("<ul>"), F.lit(
+        other + '<TABLE class="t" id="cTB203"><thead><tr><th>name</th><td>ratio</td></tr></thead><tbody><tr><th> </th><td>5</td></tr>'))
+    return t.pages.select("page_id", F.replace(html, F.lit("</ul>"), F.lit(
+        f"</tbody><tfoot><tr><th>sum</th><td>100</td></tr></tfoot></TABLE>{other}")).alias("html"))
+
+
+def listing_pages(t: Tables) -> DataFrame:
+    """A listing page and a page of fundamentals of every customer; values stand now here, now there, or are missing."""
+    n = F.col("c_custkey")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    cents = F.lpad((n % 100).cast("string"), 2, "0")
+    cap = n * 37 % 90000
+    cap_text = F.when(cap >= 10000, text(F.floor(cap / 10000).cast("string"), "조", F.format_number(cap % 10000, 0))).otherwise(
+        F.format_number(cap, 0))
+    per, pbr = text((n % 97).cast("string"), ".", cents), text((n % 7).cast("string"), ".", cents)
+    ev = text((n % 31).cast("string"), ".", (n % 10).cast("string"))
+
+    def caption(value) -> Column:
+        return text("<table><caption>투자 정보</caption><tbody><tr><th>시가총액</th><td>1</td></tr></tbody></table>"
+                    "<table><caption> 시가총액 정보</caption><tbody><tr><th>상장주식수</th><td>7</td></tr><tr><th><b>시가총액</b>(억)</th><td>",
+                    value, "</td><td>9</td></tr></tbody></table>")
+
+    in_first = (
+        F.when(n % 5 == 0, text('<em id="_market_sum">\n\t', cap_text, "\n</em>억원"))
+        .when(n % 5 == 1, caption(text("<em>", cap_text, "</em>억원"))).when(n % 5 == 2, caption(text(cap_text, "억원")))
+        .when(n % 5 == 3, F.lit('<em id="_market_sum">N/A</em>')).otherwise(F.lit("<em id='_market'>5</em>"))
+    )
+    later = F.when(n % 5 == 4, text("<em id='_market_sum'>", cap_text, "</em>")).when(n % 5 % 3 == 0, F.lit('<em id="_market_sum">3</em>')) \
+        .otherwise(F.lit(""))
+    in_table = (
+        F.when(n % 4 == 0, text('<tr><th>PER</th><td><em id="_per">', per, "</em>배</td></tr><tr><th>PBR</th><td><em id=\"_pbr\">", pbr,
+                                "</em>배</td></tr>"))
+        .when(n % 4 == 1, text("<tr><th>추정PER(배)</th><td> ", per, " 배</td><td>8</td></tr><tr><th>PBR</th><td>N/A</td></tr>"))
+        .when(n % 4 == 2, text('<tr><th>PER</th><td>', per, '</td></tr><tr><td><em id="_per">N/A</em></td></tr>'
+                               '<tr><th>PBR</th><td>-</td></tr>'))
+        .otherwise(F.lit("<tr><th>배당</th><td>2</td></tr>"))
+    )
+    warned = F.when(n % 11 == 0, F.lit("<div><p>관리종목</p></div>")).otherwise(F.lit("<div>일반</div>"))
+    filler = F.when(n % 13 == 0, F.lit("")).otherwise(F.repeat(F.lit("<div>x 거래정지</div>"), 70))
+    after = F.when(n % 4 == 3, text("<em id=_pbr>", pbr, "</em>")).otherwise(F.lit(""))
+    html = text('<div class="wrap_company"><h2>', F.col("c_name"), "</h2>", warned, '</div><div class="aside first"><div>a</div>', in_first,
+                "</div>", later, '<table class="per_table">', in_table, "</table>", after, filler)
+    fund = text('<table class="gHead03"><tbody><tr><th>EV/EBITDA</th><td>77</td></tr></tbody></table><div class="fl_le fund"><div></div>'
+                '<table class="x gHead03"><tbody><tr><th>매출</th><td>5</td></tr>',
+                F.when(n % 3 == 0, text("<tr><th>ev / ebitda</th><td>1</td></tr><tr><th>Ev/Ebitda<br></th><td> ", ev, "</td><td>6</td></tr>"))
+                .when(n % 3 == 1, F.lit("<tr><th>EV/EBITDA</th><td>N/A</td></tr>")).otherwise(F.lit("")), "</tbody></table></div>")
+    return t.customer.select(n.alias("company_id"), html.alias("html"), fund.alias("fundamentals"))
+
+
 # --- SQL twins --------------------------------------------------------------
 
+LISTING_PAGES_SQL = """
+SELECT n AS company_id, good AND n % 11 = 0 AS is_warning, CASE WHEN good AND n % 5 <> 3 THEN n * 37 % 90000 ELSE 0 END::DOUBLE AS market_cap,
+       CASE WHEN good AND n % 4 <> 3 THEN CAST((n % 97) || '.' || lpad((n % 100)::VARCHAR, 2, '0') AS DOUBLE) END AS per,
+       CASE WHEN good AND n % 4 IN (0, 3) THEN CAST((n % 7) || '.' || lpad((n % 100)::VARCHAR, 2, '0') AS DOUBLE) END AS pbr,
+       CASE WHEN good AND n % 3 = 0 THEN CAST((n % 31) || '.' || (n % 10) AS DOUBLE) END AS ev_ebitda
+FROM (SELECT c_custkey AS n, c_custkey % 13 <> 0 AS good FROM customer)"""
+
 LISTED_SQL = """listed AS (
   SELECT c_custkey AS company_id, c_name AS name, CAST(CAST(abs(trunc(c_acctbal)) AS BIGINT) AS VARCHAR) AS code,
          CAST(m AS VARCHAR) || '월' AS month, 'Brand#' || (c_nationkey + 1) AS company_code, c_custkey AS row_no

@@ -11,7 +11,7 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     # Splits oversized partitions of plain joins; joins with an aggregate on the
-    # same key are split by operators.distributed.split_hot_keys instead.
+    # same key are split by operators.distributed.join_split instead.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

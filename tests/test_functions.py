@@ -11,7 +11,6 @@ from peerglass.functions import dates as D
 from peerglass.functions import numbers as N
 from peerglass.functions import payload as P
 from peerglass.functions import text as X
-from peerglass.operators import documents as docs
 from peerglass.operators import reporting as rep
 
 FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -65,8 +64,6 @@ CASES = [
     (P.is_valid_document, ['{"a": 1}', '{"error": 5}', "[1]", "{", None], [True, False, False, False, False]),
     (lambda c: rep.repaired_date(c, F.lit("Seed")), ["2024.01", "2000.00", "none", None, "24.01"],
      ["2024.01", "Seed", "Seed", "Seed", "Seed"]),
-    (docs.product_list, ["<table id='x'><tr><th><span>A&nbsp;</span></th><td> 60.5 </td></tr><tr><th></th><td>1</td></tr>"
-                         "<tr><th>B</th><td>39.5</td></tr></table>"], ["A (60.5%), B (39.5%)"]),
 ]
 
 
@@ -128,12 +125,6 @@ def test_kv_lookup(spark):
     assert df.select(P.kv_lookup("v", "per"), P.kv_lookup("v", "pbr")).first()[:] == ("9", None)
 
 
-def test_main_text_takes_the_longest_block(spark):
-    short, long = "a " * 150, "b " * 400
-    html = f"<div>{short}</div><p>{long}</p><td>x</td>"
-    assert values(spark, docs.main_text, [html, "<p>tiny</p>"]) == [long.strip()[:700], ""]
-
-
 @FEW
 @given(st.lists(st.text("0123456789", min_size=1, max_size=9), min_size=1, max_size=20))
 def test_pad_never_cuts(spark, codes):

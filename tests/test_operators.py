@@ -1,10 +1,12 @@
 """Matching, documents, records and reports on small hand-made tables."""
 
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from peerglass.operators import distributed as dist
 from peerglass.operators import documents as docs
@@ -78,11 +80,12 @@ def test_industry_codes(spark):
 
 @FEW
 @given(st.integers(0, 10**6), st.integers(1, 9))
-def test_forward_fill_in_blocks(spark, seed, span):
+def test_forward_fill_over_ranges(spark, seed, parts):
     rng = random.Random(seed)
-    rows = [(k, i, rng.choice([None, None, "a", "b"])) for k in ("hot", "cold") for i in range(25)]
-    df = spark.createDataFrame(rows, "k string, pos int, v string")
-    got = {(r.k, r.pos): r.f for r in dist.forward_fill(df, ["k"], "pos", "v", "f", span=span).collect()}
+    places = [rng.randrange(10**12) for _ in range(25)] if seed % 2 else list(range(25))  # sparse or dense
+    rows = [(k, i, rng.choice([None, None, None, "a", "b"])) for k in ("hot", "cold", None, "x") for i in sorted(set(places))]
+    df = spark.createDataFrame(rng.sample(rows, len(rows)), "k string, pos bigint, v string")
+    got = {(r.k, r.pos): r.f for r in dist.forward_fill(df, ["k"], "pos", "v", "f", parts=parts).collect()}
     last = {}
     for k, pos, v in rows:
         last[k] = v or last.get(k)
@@ -90,15 +93,52 @@ def test_forward_fill_in_blocks(spark, seed, span):
 
 
 @FEW
-@given(st.integers(0, 10**6))
-def test_ranks_in_buckets(spark, seed):
+@given(st.integers(0, 10**6), st.integers(1, 9))
+def test_ranks_over_ranges(spark, seed, parts):
     rng = random.Random(seed)
-    rows = [(rng.choice("ab"), rng.randrange(4), i) for i in range(40)]
+    rows = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([0, 1, 2, None]), i) for i in range(60)]
     df = spark.createDataFrame(rows, "k string, b int, i int")
-    got = {r.i: r.x for r in dist.rank_in_buckets(df, ["k"], ["b"], ["i"], "x").collect()}
-    for key in "ab":
-        mine = sorted((b, i) for k, b, i in rows if k == key)
-        assert [got[i] for _, i in mine] == list(range(len(mine)))
+    got = {r.i: r.x for r in dist.rank_in_ranges(df, ["k"], ["b", "i"], "x", parts=parts).collect()}
+    for key in ("a", "b", None):
+        mine = sorted((b is not None, b or 0, i) for k, b, i in rows if k == key)
+        assert [got[row[-1]] for row in mine] == list(range(len(mine)))
+
+
+def test_ranges_are_the_same_whatever_is_read_of_them(spark):
+    """Later filters and narrow selections do not reach below the exchange that the branches share."""
+    i = F.col("id")
+    df = spark.range(0, 60_000, 1, 6).select(
+        F.when(i % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (i % 40).cast("string"))).alias("k"),
+        F.xxhash64("id").alias("pos"), F.when(i % 500 == 0, i).alias("v"), F.sha2(i.cast("string"), 256).alias("wide"))
+    pdf = df.toPandas().sort_values(["k", "pos"])
+    pdf["f"] = pdf.groupby("k").v.ffill()
+    pdf["x"] = pdf.groupby("k").cumcount()
+    filled = dist.forward_fill(df, ["k"], "pos", "v", "f", parts=16)
+    ranked = dist.rank_in_ranges(df, ["k"], ["pos"], "x", parts=16)
+    hot = pdf[pdf.k == "hot"]
+    assert filled.filter("k = 'hot'").agg(F.count("f"), F.sum("f")).first() == (hot.f.count(), int(hot.f.sum()))
+    assert filled.select("f").agg(F.count("f"), F.sum("f")).first() == (pdf.f.count(), int(pdf.f.sum()))
+    want = dict(zip(hot.pos, hot.x))
+    assert {r.pos: r.x for r in ranked.filter("k = 'hot' and pos > 0").select("pos", "x").collect()} == {
+        p: x for p, x in want.items() if p > 0}
+    rows = ranked.groupBy("k").agg(F.count("*").alias("n"), F.max("x").alias("top"), F.countDistinct("x").alias("d")).collect()
+    assert all(r.n == r.top + 1 == r.d for r in rows)
+
+
+def test_ranges_follow_rows_and_are_made_once(spark):
+    """A hot key with half of all rows and sparse positions lies in many even ranges; the plan deals the rows once."""
+    i = F.col("id")
+    df = spark.range(0, 80_000, 1, 8).select(F.when(i % 2 == 0, 0).otherwise(i).alias("k"), (i * i * i).alias("pos"),
+                                             F.when(i % 100 == 0, i).alias("v"))
+    sizes = [r["count"] for r in dist.in_ranges(df, ["k"], ["pos"], 16).groupBy("_part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+    out = dist.forward_fill(df, ["k"], "pos", "v", "f", parts=16)
+    out.collect()
+    text = out._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    made = [line for line in final.splitlines() if "Exchange rangepartitioning" in line and "ReusedExchange" not in line]
+    assert len(made) == 1 and "ReusedExchange" in final
+    assert "SinglePartition" not in final
 
 
 def test_text_parts_are_whole(spark):
@@ -158,10 +198,12 @@ def test_matrix_cells_of_short_and_missing_rows(spark):
 
 def test_a_segment_called_null_is_kept(spark):
     long = spark.createDataFrame([("k", "null", 1.0), ("k", "a`b", 2.0), ("m", None, None)], "c string, segment string, ratio double")
-    for names in (None, ["null", "a`b"]):
-        wide = R.mix_wide(long, ["c"], names)
-        assert wide.columns == ["c", "a`b", "null"]
-        assert {tuple(r) for r in wide.collect()} == {("k", 2.0, 1.0), ("m", None, None)}
+    wide = R.mix_wide(long, ["c"], ["null", "a`b"])
+    assert wide.columns == ["c", "a`b", "null"]
+    assert {tuple(r) for r in wide.collect()} == {("k", 2.0, 1.0), ("m", None, None)}
+    numbers = R.segment_numbers(long)
+    assert {r.segment: r.segment_no for r in numbers.collect()} == {"a`b": 0, "null": 1}
+    assert {r.c: r.mix for r in R.mix_numbered(long, ["c"], numbers).collect()} == {"k": {0: 2.0, 1: 1.0}, "m": {}}
 
 
 def test_table_without_a_header_is_kept(spark):
@@ -209,10 +251,10 @@ def test_unit_ties_go_to_the_first_seen(spark):
     assert {r.g: r.unit for r in rep.infer_unit(rows, "g", "v", "n", "억원").collect()} == {"a": "백만원", "b": "억원"}
 
 
-def test_timeline_places_across_chunks(spark):
+def test_timeline_places_across_ranges(spark):
     rows = spark.createDataFrame([(1, i, "2024.01", "Seed", "5억") for i in range(20)] + [(1, 20, "", "IPO", "")],
                                  "t int, seq int, date string, round string, amount string")
-    got = rep.funding_timeline(rows, span=4).orderBy("x").collect()
+    got = rep.funding_timeline(rows, parts=5).orderBy("x").collect()
     assert [r.seq for r in got] == list(range(21)) and [r.x for r in got] == list(range(21))
     assert got[-1].date == "IPO" and got[-1].axis_label == "IPO" and got[-1].amount_label == "비공개"
 

@@ -1,6 +1,8 @@
 """File formats, with small files written by the tests."""
 
+import csv
 import json
+from collections import Counter
 
 import pytest
 
@@ -31,6 +33,45 @@ def test_second_choice_header_and_missing_column(spark, tmp_path):
         dl.read_delimited(spark, str(path), WANTED)
 
 
+QUOTED = [["plain", "1"], ["two\nlines", "2"], ['say ""hi"", then', "3"], ["a,b\r\n\r\n c", "4"], ["", "5"], ['"', "6"], ["가\n나\n다", "7"],
+          ["\n", "8"], ["end", "9"], ['""\n""', "10"], ["x", "\n11\n"]]
+
+
+@pytest.mark.parametrize("encoding", ["utf-8", "cp949"])
+@pytest.mark.parametrize("split", [64, 150, 1 << 20])
+def test_quoted_fields_over_splits_of_any_size(spark, tmp_path, encoding, split):
+    """Line breaks and doubled quotes inside fields, whatever part of the file a task gets."""
+    rows = QUOTED * 3
+    for number in range(2):
+        with open(tmp_path / f"f{number}.csv", "w", encoding=encoding, newline="") as out:
+            writer = csv.writer(out, lineterminator="\r\n" if number else "\n")
+            writer.writerow(["이름", "번호 코드", "파일"])
+            writer.writerows([a, b, f"f{number}"] for a, b in rows)
+    conf = {"spark.sql.files.maxPartitionBytes": str(split), "spark.sql.files.openCostInBytes": "0"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        read = dl.read_delimited(spark, str(tmp_path), {"name": ["이름"], "code": ["코드"], "file": ["파일"]})
+        got = Counter(tuple(r) for r in read.collect())
+        if split == 64:
+            assert dl.split_lines(spark, str(tmp_path)).rdd.getNumPartitions() > 8
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    # white space around a value goes and an empty one is null, as in the rows read before
+    want = Counter((a.strip(" ") or None, b.strip(" "), f"f{n}") for n in range(2) for a, b in rows)
+    assert got == want
+
+
+def test_a_replacement_character_in_the_text_is_text(spark, tmp_path):
+    path = tmp_path / "codes.csv"
+    path.write_bytes("산업내용,산업코드\n임\ufffd업,01\n".encode())
+    assert dl.read_delimited(spark, str(path), WANTED).first().name == "임\ufffd업"
+    path.write_bytes("산업내용,산업코드\n임업,01\n".encode("cp949") + b"\xff\xff,02\n")
+    with pytest.raises(ValueError):
+        dl.read_delimited(spark, str(path), WANTED)
+
+
 def test_cp949_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("가나다", "005930")], "`회사명` string, `종목코드` string")
     dl.write_delimited(df.coalesce(1), str(tmp_path / "out"))
@@ -38,6 +79,10 @@ def test_cp949_round_trip(spark, tmp_path):
     assert data.decode("cp949").splitlines() == ["회사명,종목코드", "가나다,005930"]
     back = dl.read_delimited(spark, str(tmp_path / "out"), {"company": ["회사명"], "code": ["종목코드"]})
     assert tuple(back.first()) == ("가나다", "005930")
+    quoted = spark.createDataFrame([('가 "나"\n다, 라', "1")], "`회사명` string, `종목코드` string")
+    dl.write_delimited(quoted, str(tmp_path / "quoted"))
+    back = dl.read_delimited(spark, str(tmp_path / "quoted"), {"company": ["회사명"], "code": ["종목코드"]})
+    assert [tuple(r) for r in back.collect()] == [('가 "나"\n다, 라', "1")]
 
 
 def test_documents_round_trip_and_error_filter(spark, tmp_path):
@@ -51,11 +96,33 @@ def test_documents_round_trip_and_error_filter(spark, tmp_path):
     assert [r.name for r in valid] == ["가나 1+1 5%20"] and json.loads(valid[0].text) == good
 
 
-def test_one_document_per_company(spark, tmp_path):
-    df = spark.createDataFrame([("Acme", 1, None), ("Beta", 2, "x")], "company string, a int, b string")
-    src.write_documents(df, str(tmp_path / "out"))
-    text = next((tmp_path / "out" / "company=Acme").glob("*.txt")).read_text()
-    assert json.loads(text) == {"a": 1, "b": None}
+AWKWARD = ["Acme", "가나 (주)", "a/b\\c", "5%20+1", ".hidden", "_under", "x_final.json", "A&B, Inc.", "q?*:|<>\"#[]{}", "e\u0301 é", "tab\there", " lead"]
+
+
+def test_documents_of_awkward_names_come_back(spark, tmp_path):
+    rows = [(name, i, None if i % 2 else "텍스트\n2") for i, name in enumerate(AWKWARD)]
+    path = str(tmp_path / "out dir")
+    df = spark.createDataFrame(rows, "company string, a int, b string").repartition(5)
+    src.write_documents(df, path)
+    files = sorted(p.name for p in (tmp_path / "out dir").iterdir())
+    assert len(files) == len(rows) and all(f.endswith("_final.json") for f in files)
+    back = src.read_documents(spark, path, encoded=True)
+    assert {r.name: json.loads(r.text) for r in back.collect()} == {n: {"a": a, "b": b} for n, a, b in rows}
+    src.write_documents(df.filter("a < 3"), path)  # replaces all
+    assert src.read_documents(spark, path, encoded=True).count() == 3
+    src.write_documents(df.filter("a = 5"), path, mode="append")
+    assert sorted(r.name for r in src.read_documents(spark, path, encoded=True).collect()) == sorted([*AWKWARD[:3], AWKWARD[5]])
+
+
+@pytest.mark.parametrize("bad", ["", None, "n" * 300, "Acme"])
+def test_a_failed_write_leaves_nothing(spark, tmp_path, bad):
+    """A name that makes no file, or two documents of one company: what was there before stays, nothing is added."""
+    path = str(tmp_path / "out")
+    src.write_documents(spark.createDataFrame([("Old", 1)], "company string, a int"), path)
+    rows = [("Acme", 1), ("Beta", 2), (bad, 3)]
+    with pytest.raises(Exception):
+        src.write_documents(spark.createDataFrame(rows, "company string, a int").repartition(3), path)
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["Old_final.json"]
 
 
 def test_list_files_and_inventory(spark, tmp_path):
@@ -79,7 +146,7 @@ def test_business_mix_lines_to_wide(spark, tmp_path):
     path = tmp_path / "mix.jsonl"
     path.write_text("\n".join(json.dumps(r) for r in rows))
     mix = src.read_jsonl(spark, str(path))
-    wide = R.mix_wide(R.mix_long(mix.select("corp_code", "business_mix")), ["corp_code"])
+    wide = R.mix_wide(R.mix_long(mix.select("corp_code", "business_mix")), ["corp_code"], ["Z", "A, Inc."])
     assert wide.columns == ["corp_code", "A, Inc.", "Z"]
     assert sorted(tuple(r) for r in wide.collect()) == [("1", 40.0, 60.0), ("2", None, None)]
     src.write_jsonl(mix, str(tmp_path / "again"))
