@@ -1,7 +1,7 @@
 """Token ids in a binary format with Re-Pair grammars.
 
 Documents are put in order of their id and cut into shards.  A shard's ids are compressed in blocks: frequent pairs of
-neighbours are replaced by new symbols, round by round, and the rules are stored with the block, together with the length to which each
+neighbours are replaced by new symbols, round by round until none is left, and the rules are stored with the block, together with the length to which each
 expands.  No pair crosses the end of a document, so a document is a run of symbols of its own: it is decoded alone, and
 a position inside it is found from the expansion lengths.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from peerglass.llm.scratch import Scratch
 
 END = 0
-BLOCK_IDS, ROUNDS, RULES_A_ROUND, LEAST_COUNT = 1 << 18, 3, 2000, 24
+BLOCK_IDS, RULES_A_ROUND, LEAST_COUNT = 1 << 18, 2000, 24
 REMEMBERED, TOGETHER, BYTES_AT_ONCE = 400_000, 512, 8 << 20
 #: How byte-level vocabularies write a space.
 SPACE = "\u0120"
@@ -48,7 +48,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that the tokenizer takes out of a text before it splits it.
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.wide = self.tokenizer.get_vocab_size() > 0xFFFF
         self.kind = np.uint32 if self.wide else np.uint16
         self.known: dict[str, bytes] = {}
@@ -66,7 +67,7 @@ class Encoder:
         """Ids of each text and the end id; null is empty.
 
         A piece stands for itself behind a space.  One with white space at either end, or nothing in it, means that
-        the text has longer white space; such a text is encoded as a whole.
+        the text has longer white space; such a text is encoded as a whole, and so is one that holds a special string.
         """
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         if not len(texts):
@@ -85,6 +86,8 @@ class Encoder:
         joined = np.array([not one for one in ids])[codes]
         joined[begins] = [head is None for head in heads]
         whole = np.logical_or.reduceat(joined, begins)
+        for string in self.special:
+            whole |= np.asarray(pc.match_substring(texts, string))
 
         # one table of all pieces, the texts' first pieces and the end id; texts are runs of its rows
         rows = ids + self._bytes([head or "" for head in heads]) + [np.array([END], self.kind).tobytes()]
@@ -111,7 +114,7 @@ class Encoder:
             kept = {piece: ids for piece, ids in zip(pieces, found) if ids is not None}
             known.clear()
             known.update(kept)
-        plain = [piece for piece in fresh if piece and piece.strip() == piece]
+        plain = [piece for piece in fresh if piece and piece.strip() == piece and not any(s in piece for s in self.special)]
         made = self._pieces(plain)
         if len(plain) < len(fresh):
             by_piece = dict(zip(plain, made))
@@ -160,54 +163,64 @@ def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D) >> np.uint32(32 - _HASH_BITS)
 
 
+def _by_slot(left: np.ndarray, right: np.ndarray, slot: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place of an example of each frequent pair, pair of each place or -1); of pairs that share a slot only one is looked at."""
+    table[slot] = np.arange(len(slot), dtype=np.int32)
+    named = table[slot]
+    fits = (left == left[named]) & (right == right[named])
+    times = np.bincount(slot[fits], minlength=1 << _HASH_BITS)
+    names = np.flatnonzero(times >= LEAST_COUNT)
+    if len(names) > RULES_A_ROUND:
+        names = np.sort(names[np.argsort(-times[names], kind="stable")[:RULES_A_ROUND]])
+    number = np.full(1 << _HASH_BITS, -1, np.int64)
+    number[names] = np.arange(len(names))
+    return table[names], np.where(fits, number[slot], -1)
+
+
+def _exactly(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for all pairs, by sorting them."""
+    pairs, example, pair, times = np.unique(left.astype(np.uint64) << np.uint64(32) | right, return_index=True, return_inverse=True,
+                                            return_counts=True)
+    often = np.flatnonzero(times >= LEAST_COUNT)
+    number = np.full(len(pairs), -1, np.int64)
+    number[often] = np.arange(len(often))
+    return example[often], number[pair]
+
+
 def repair(ids: np.ndarray, ends: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, rules, ends): the compressed ids, the pair behind each new symbol, and where documents now end.
 
-    Each round counts pairs of neighbours, takes those that occur ``LEAST_COUNT`` times or more, at most ``RULES_A_ROUND``, most
-    frequent first, and replaces their non-overlapping places from left to right.
+    Each round counts pairs of neighbours and replaces the non-overlapping places of frequent ones from left to right, until no
+    pair occurs ``LEAST_COUNT`` times or more.  Rounds count pairs by hash, at most ``RULES_A_ROUND`` of them, most frequent
+    first; when that finds none, what is left is counted exactly, so pairs that share a hash are not missed.
     """
     line = ids.astype(np.uint32)
     rules, table = np.zeros((0, 2), np.uint32), np.zeros(1 << _HASH_BITS, np.int32)
-    for _ in range(ROUNDS):
-        if len(line) < 2:
-            break
+    while len(line) > 1:
         left, right = line[:-1], line[1:]
         slot = _slot(left, right).astype(np.intp)
         mask = (np.bincount(slot, minlength=1 << _HASH_BITS) >= LEAST_COUNT)[slot]
         mask[ends[:-1] - 1] = False  # no pair crosses the end of a document
         busy = np.flatnonzero(mask)
-        if not len(busy):
-            break
-        # one pair for each slot is looked at; those that share its slot wait for the next round
-        slot, busy_left, busy_right = slot[busy], left[busy], right[busy]
-        table[slot] = np.arange(len(busy), dtype=np.int32)
-        named = table[slot]
-        fits = (busy_left == busy_left[named]) & (busy_right == busy_right[named])
-        times = np.bincount(slot[fits], minlength=1 << _HASH_BITS)
-        names = np.flatnonzero(times >= LEAST_COUNT)
-        if not len(names):
-            break
-        if len(names) > RULES_A_ROUND:
-            names = np.sort(names[np.argsort(-times[names], kind="stable")[:RULES_A_ROUND]])
-        pair_left, pair_right = busy_left[table[names]], busy_right[table[names]]
-        number = np.full(1 << _HASH_BITS, -1, np.int32)
-        number[names] = np.arange(len(names), dtype=np.int32)
-        at = number[slot]
-        fits &= at >= 0
-        places, at = busy[fits], at[fits]
+        examples, pair = _by_slot(left[busy], right[busy], slot[busy], table)
+        if not len(examples):
+            examples, pair = _exactly(left[busy], right[busy])
+            if not len(examples):
+                break
+        made = np.stack([left[busy][examples], right[busy][examples]], 1)
+        places, at = busy[pair >= 0], pair[pair >= 0]
         # in a run of places side by side every second one is taken
         fresh = np.ones(len(places), bool)
         fresh[1:] = places[1:] != places[:-1] + 1
         run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))
         taken = (np.arange(len(places)) - run_start) % 2 == 0
         places, at = places[taken], at[taken]
-        base = symbols + len(rules)
-        line[places] = base + at.astype(np.uint32)
+        line[places] = symbols + len(rules) + at.astype(np.uint32)
         stays = np.ones(len(line), bool)
         stays[places + 1] = False
         ends = ends - np.searchsorted(places + 1, ends)
         line = line[stays]
-        rules = np.concatenate([rules, np.stack([pair_left, pair_right], 1)])
+        rules = np.concatenate([rules, made])
     return line, rules, ends
 
 

@@ -354,10 +354,13 @@ def test_mix(spark, documents):
 def test_token_files(spark, documents):
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True  # the strings of special tokens are ordinary text
     encode = lambda text: plain.encode(text, add_special_tokens=False).ids
     got = _got(QUERIES["op4_token_ids"](spark, FOLDER), "doc_id", "start", "n_tokens", "ids_crc32")
     assert got == Counter(brute.token_rows([d[:2] for d in documents], encode))
+    special = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y z  <|endoftext|>\n", "<|endoftext |> plain"]
+    made = spark.createDataFrame(list(enumerate(special)), "doc_id bigint, text string")
+    got = _got(tokens.round_trip(made, path), "doc_id", "start", "n_tokens", "ids_crc32")
+    assert got == Counter(brute.token_rows(list(enumerate(special)), encode))
     docs, rows = _docs(spark)
     docs = docs.unionByName(spark.createDataFrame([(None, "no id")], "doc_id bigint, text string"), allowMissingColumns=True)
     got = _got(tokens.round_trip(docs, path), "doc_id", "start", "n_tokens", "ids_crc32")
@@ -365,6 +368,21 @@ def test_token_files(spark, documents):
     assert tokens.round_trip(docs.limit(0), path).count() == 0
 
 
+@pytest.mark.parametrize("vocabulary", [30, 3000, 60_000])
+def test_no_frequent_pair_is_left(vocabulary):
+    rng = np.random.default_rng(vocabulary)
+    passage = rng.integers(1, vocabulary, 70)
+    docs = [np.concatenate([rng.zipf(1.2, n) % vocabulary, passage, [0]]) for n in rng.integers(0, 2000, 60)] + [np.full(500, 7)]
+    line, rules, ends = tokens.repair(np.concatenate(docs), np.cumsum([len(d) for d in docs]), vocabulary)
+    inside = np.ones(len(line) - 1, bool)
+    inside[ends[:-1] - 1] = False
+    _, times = np.unique(np.stack([line[:-1], line[1:]])[:, inside], axis=1, return_counts=True)
+    assert times.max() < tokens.LEAST_COUNT and len(rules)
+    lengths = tokens.rule_lengths(rules.astype(np.int64), vocabulary)
+    assert lengths.max() >= 64  # the passage that all share has become one symbol, or nearly
+    assert np.array_equal(tokens.expand(line, rules.astype(np.int64), vocabulary), np.concatenate(docs))
+
+
 @pytest.mark.parametrize("symbols", [50, 70_000])
 def test_grammar_blocks_and_random_access(symbols):
     rng = np.random.default_rng(1)
