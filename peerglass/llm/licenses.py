@@ -155,18 +155,21 @@ class Scanner:
         places, base, covered = [], set(), set()
         for phrase, label in PHRASES.items():
             needle, at = b" " + phrase.encode() + b" ", line.find(b" " + phrase.encode() + b" ")
+            place = counted = 0
             while at >= 0:
-                place = line.count(b" ", 0, at)
+                place += line.count(b" ", counted, at)
+                counted = at
                 places.append(place)
                 base.add(label)
                 covered.update(range(place, place + len(phrase.split())))
                 at = line.find(needle, at + 1)
         labels = set(base)
+        place = counted = 0
         for found in self.opening.finditer(line):
-            place = None
+            place += line.count(b" ", counted, found.start())
+            counted = found.start()
             for key in (found[1], found[1].split(b" ")[0]):
                 for label, machine in self.starts.get(key, ()):
-                    place = line.count(b" ", 0, found.start()) if place is None else place
                     if size := machine.longest(words, place):
                         labels.add(label)
                         covered.update(range(place, place + size))

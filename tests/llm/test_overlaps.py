@@ -1,8 +1,11 @@
 """Spans of the methods that reach beyond a base span."""
 
+import time
+
+import pytest
 from pyspark.sql import functions as F
 
-from peerglass.llm import pii, secrets
+from peerglass.llm import licenses, pii, secrets
 
 
 def test_a_random_token_that_holds_hex_digits_is_redacted_whole(spark):
@@ -22,3 +25,14 @@ def test_an_address_that_reaches_beyond_a_strict_one(spark):
     strict = ("email", "jane.roe@web.uni", True)
     assert sorted(found[0]) == sorted([strict, ("email", "jane.roe@web.uni [dot] de", False)])
     assert found[1] == [strict] and found[2] == [("ip", "10.20.30.40", True)]
+
+
+@pytest.mark.parametrize("many", [20_000, 40_000])
+def test_license_scan_of_many_phrases_takes_time_in_proportion(many):
+    """Twice the phrases, about twice the time: a hit is placed from the one before it."""
+    text = "all rights reserved cc by the " * many
+    scanner = licenses.Scanner(licenses.TEMPLATES)
+    start = time.perf_counter()
+    words, hits, first, last, *_ = scanner.scan(text)
+    assert (words, hits, first, last) == (6 * many, 2 * many, 0, 6 * many - 3)
+    assert time.perf_counter() - start < many / 4000
