@@ -233,8 +233,20 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
 
 
 def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "text", share: float = 0.75) -> DataFrame:
-    """One row for each row of ``docs``: (doc_id, n_shingles, component_id)."""
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_A_BATCH)
+    """One row for each row of ``docs``: (doc_id, n_shingles, component_id).
+
+    All Arrow stages run before this returns, and the session's size of batches is then what it was.
+    """
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(name)
+    conf.set(name, ROWS_A_BATCH)
+    try:
+        return _similarity_groups(docs, doc_id, column, share)
+    finally:
+        conf.set(name, before)
+
+
+def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(column).alias("_text"))
     marked = scratch.cut(with_sets(rows, ["_id"], "_text"))

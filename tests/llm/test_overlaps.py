@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from peerglass.llm import licenses, pii, secrets
+from peerglass.llm import jaccard, licenses, pii, secrets
 
 
 def test_a_random_token_that_holds_hex_digits_is_redacted_whole(spark):
@@ -36,3 +36,13 @@ def test_license_scan_of_many_phrases_takes_time_in_proportion(many):
     words, hits, first, last, *_ = scanner.scan(text)
     assert (words, hits, first, last) == (6 * many, 2 * many, 0, 6 * many - 3)
     assert time.perf_counter() - start < many / 4000
+
+
+def test_settings_of_the_session_are_as_before(spark):
+    docs = spark.createDataFrame([(0, "a b c d e f g"), (1, "a b c d e f g")], "doc_id bigint, text string")
+    before = dict(spark.conf.getAll)
+    groups = jaccard.similarity_groups(docs)
+    assert [tuple(r) for r in groups.orderBy("doc_id").collect()] == [(0, 3, 0), (1, 3, 0)]
+    after = dict(spark.conf.getAll)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    assert after.pop(name, "10000") == before.pop(name, "10000") and after == before
