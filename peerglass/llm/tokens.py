@@ -78,16 +78,17 @@ class Encoder:
         flat = split.flatten()
         coded = flat.dictionary_encode()
         pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        ids = self._remember(pieces)
+        special = np.zeros(len(texts), bool)
+        for string in self.special:
+            special |= np.asarray(pc.match_substring(texts, string))
+        ids = self._remember(pieces, self.special if special.any() else [])
 
         alone = bounds - begins == 1
         heads = [head if one or head and not head[-1].isspace() else None
                  for head, one in zip(flat.take(pa.array(begins)).to_pylist(), alone)]
         joined = np.array([not one for one in ids])[codes]
         joined[begins] = [head is None for head in heads]
-        whole = np.logical_or.reduceat(joined, begins)
-        for string in self.special:
-            whole |= np.asarray(pc.match_substring(texts, string))
+        whole = np.logical_or.reduceat(joined, begins) | special
 
         # one table of all pieces, the texts' first pieces and the end id; texts are runs of its rows
         rows = ids + self._bytes([head or "" for head in heads]) + [np.array([END], self.kind).tobytes()]
@@ -104,8 +105,8 @@ class Encoder:
             out[n] = np.frombuffer(self._bytes([texts[n].as_py()])[0] + rows[-1], self.kind)
         return out
 
-    def _remember(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece behind a space, none for those that do not stand for themselves."""
+    def _remember(self, pieces: list[str], special: list[str]) -> list[bytes]:
+        """Ids of each piece behind a space, none for those that do not stand for themselves or hold a special string."""
         known = self.known
         found = list(map(known.get, pieces))
         fresh = [piece for piece, ids in zip(pieces, found) if ids is None]
@@ -114,7 +115,9 @@ class Encoder:
             kept = {piece: ids for piece, ids in zip(pieces, found) if ids is not None}
             known.clear()
             known.update(kept)
-        plain = [piece for piece in fresh if piece and piece.strip() == piece and not any(s in piece for s in self.special)]
+        plain = [piece for piece in fresh if piece and piece.strip() == piece]
+        if special:
+            plain = [piece for piece in plain if not any(string in piece for string in special)]
         made = self._pieces(plain)
         if len(plain) < len(fresh):
             by_piece = dict(zip(plain, made))
