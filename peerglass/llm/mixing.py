@@ -25,6 +25,8 @@ from peerglass.llm.scratch import Scratch
 
 WEIGHTS = [5, 2, 1]
 STEPS = 25
+#: So many sources at most are broadcast: one row of numbers for each.
+FEW_SOURCES = 10_000
 
 
 def source_targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
@@ -97,22 +99,29 @@ def balance(sizes: DataFrame, targets: DataFrame, scratch: Scratch, most: float
     return state.select("source", "total", "target", "mean", "tilt")
 
 
-def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """Adds size, source_size, target, rate, copies and taken (copies times size) to all documents."""
+def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0, keep: list[str] | None = None) -> DataFrame:
+    """Adds size, source_size, target, rate, copies and taken (copies times size) to all documents.
+
+    ``keep``: the columns to return with them, all unless given.  Where there are at most ``FEW_SOURCES`` sources, what is known of
+    them is broadcast and documents are not shuffled; otherwise they are joined by source.
+    """
     scratch = Scratch(docs.sparkSession, "mix")
-    sized = docs.select(F.struct("*").alias("_row"), "doc_id", "text", "source") \
+    keep = docs.columns if keep is None else keep
+    sized = docs.select(F.struct(*keep).alias("_row"), "doc_id", "text", "source") \
         .withColumn("size", F.regexp_count(tx.whole(F.col("text")), F.lit(tx.WORD)).cast("long")) \
         .withColumn("_key", F.xxhash64(F.col("doc_id"), tx.whole(F.col("text"))))
     narrow = scratch.cut(sized.select("source", "size", "_key"))
     sizes = scratch.cut(narrow.groupBy("source", "size").agg(F.count("*").alias("n")))
     targets = scratch.cut(source_targets(sizes, share, most))
+    few = targets.count() <= FEW_SOURCES
+    small = F.broadcast if few else (lambda frame: frame)
     tilts = balance(sizes, targets, scratch, most).select(F.col("source").alias("t_source"), "mean", "tilt")
     known = targets.join(tilts, F.col("source").eqNullSafe(F.col("t_source")), "left") \
         .select(F.col("source").alias("k_source"), F.col("total").alias("source_size"), F.col("target").alias("target"), "mean", "tilt")
 
     def rated(frame: DataFrame) -> DataFrame:
         rate = F.when(F.col("size") > 0, _rate(F.col("size").cast("double"), F.col("mean"), F.col("tilt"), most)).otherwise(0.0)
-        out = frame.join(known, frame["source"].eqNullSafe(known["k_source"])).drop("k_source") \
+        out = frame.join(small(known), frame["source"].eqNullSafe(known["k_source"])).drop("k_source") \
             .withColumn("rate", F.least(F.coalesce(rate, F.lit(0.0)), F.lit(most)))
         out = out.withColumn("_whole", F.floor("rate")).withColumn("_part", F.col("rate") - F.col("_whole"))
         uniform = F.greatest(tx.chance(F.col("_key"), "copy"), F.lit(1e-12))
@@ -146,13 +155,13 @@ def mix(docs: DataFrame, share: float = 1.5, most: float = 2.0) -> DataFrame:
         ((F.col("need") > 0) & (F.col("words") < F.col("need"))).alias("c_all")))
 
     out = rated(sized)
-    out = out.join(cuts, out["source"].eqNullSafe(cuts["c_source"]), "left")
+    out = out.join(small(cuts), out["source"].eqNullSafe(cuts["c_source"]), "left")
     early = (F.col("_bucket") < F.col("e_bucket")) | ((F.col("_bucket") == F.col("e_bucket")) & (
         (F.col("_order") < F.col("last_order")) | ((F.col("_order") == F.col("last_order")) & (F.col("_key") <= F.col("last_key")))))
     more = F.col("_part").isNotNull() & (F.col("_part") > 0) & F.coalesce(F.col("c_all") | early, F.lit(False))
     copies = F.when(F.col("size") > 0, F.col("_whole") + more.cast("long")).otherwise(0).cast("long")
     made = ["size", "source_size", "target", "rate", "copies", "taken"]
-    kept = [F.col("_row")[name].alias(name) for name in docs.columns if name not in made]
+    kept = [F.col("_row")[name].alias(name) for name in keep if name not in made]
     return out.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size")).select(*kept, *made)
 
 

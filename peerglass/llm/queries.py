@@ -107,7 +107,7 @@ def op9_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words the mix takes of each document."""
-    mixed = mixing.mix(_table(spark, folder, "documents").select("doc_id", "source", "text"))
+    mixed = mixing.mix(_table(spark, folder, "documents").select("doc_id", "source", "text"), keep=["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 

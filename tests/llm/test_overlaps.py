@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from peerglass.llm import jaccard, licenses, pii, secrets
+from peerglass.llm import jaccard, licenses, mixing, pii, secrets
 
 
 def test_a_random_token_that_holds_hex_digits_is_redacted_whole(spark):
@@ -46,3 +46,18 @@ def test_settings_of_the_session_are_as_before(spark):
     after = dict(spark.conf.getAll)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     assert after.pop(name, "10000") == before.pop(name, "10000") and after == before
+
+
+def test_one_hot_source_moves_no_text(spark, monkeypatch):
+    """Nearly all rows of one source: no exchange of documents with few sources, and the same rows with many."""
+    i = F.col("id")
+    docs = spark.range(0, 3000, 1, 4).select(
+        i.alias("doc_id"), F.when(i % 20 > 0, "hot").otherwise(F.concat(F.lit("s"), (i % 7).cast("string"))).alias("source"),
+        F.repeat(F.lit("word "), (i % 90).cast("int")).alias("text"))
+    few = mixing.mix(docs, keep=["doc_id"])
+    assert few.columns == ["doc_id", "size", "source_size", "target", "rate", "copies", "taken"]
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+    rows = sorted(map(tuple, few.collect()))
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert sorted(map(tuple, mixing.mix(docs, keep=["doc_id"]).collect())) == rows
