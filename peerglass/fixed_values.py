@@ -104,6 +104,30 @@ STATEMENT_ACCOUNTS = {
     "total_equity": "자본총계",
 }
 
+NO_PEER_PER = "유효한 Peer PER 데이터 부재"
+NO_INCOME = "추정 당기순이익 정보 부재"
+NO_SHARE_PRICE = "산출 불가 (주식수 부재)"
+NO_MULTIPLE = "산출 불가"
+NO_INFORMATION = "정보 부재"
+UNKNOWN_ROUND = "미상 (기본값 적용)"
+SCENARIO_NOTE = "IR 추정치 {share} 달성"
+RATIONALE_STEPS = (
+    "1단계 (Peer 평균 PER): {multiple} 적용\n"
+    "2단계 (할인율 적용): 타겟 투자 라운드 [{round}] 리스크를 반영하여 현가 할인율 {discount} 적용\n"
+    "3~4단계 (가치 산출): 하단의 시나리오별 밸류에이션 표 참조\n"
+)
+RATIONALE_SHARES = (
+    "  * 참고: 기준 주식수 {shares} (명시된 주식수가 없을 경우, 자본금을 바탕으로 액면가 500원을 가정하여 역산된 주식수일 수 있습니다.)"
+)
+RATIONALE_SHARES_FROM_CAPITAL = (
+    "  * 참고: 기준 주식수 {shares} (문서 내 정보 부재로 외부 검색{source} 바탕으로 액면가 500원 가정 역산)"
+)
+RATIONALE_NO_SHARES = "  * 참고: 자본금 및 발행주식수 정보 부재로 주당 단가 산출 생략"
+RATIONALE_BLOCKED = "※ 산출 불가 사유:\n"
+RATIONALE_NO_PEER_PER = "- 유효한 Peer PER 데이터 부재\n"
+RATIONALE_NO_INCOME = "- {year}년 추정 당기순이익 정보 부재\n"
+OFFER_COMMENT = "예상 공모가: {price}"
+
 # ---- Fixed values: money texts -------------------------------------------
 JO_IN_EOK = 10000
 UNIT_TOKENS = [
@@ -111,7 +135,10 @@ UNIT_TOKENS = [
     (["만"], "만원"), (["%"], "%"), (["$", "달러"], "달러"),
 ]
 COUNT_UNIT = "건"
+COUNT_TITLES = ["건", "계약"]
+DEFAULT_PERIODS = 5
 DEFAULT_UNIT = "백만원"
+MONEY_UNITS = ["백만원", "억원"]
 AMOUNT_MULTIPLIERS = [
     (["백만"], 0.01), (["조"], 10000.0), (["Mil", "M", "달러"], 13.0),
 ]
@@ -242,8 +269,10 @@ FIELD_LENGTHS = {"Investment_Highlights": 3}
 KEY_PUNCTUATION = """,，·ㆍ;:(){}[]<>"'“”‘’"""
 KEY_REPLACEMENT = ("차체나", "차체및")
 COMPANY_MARKS = ["주식회사", "(주)", "㈜"]
-# All but 0-9 a-z 가-힣 . - : /  (as ranges between the kept letters, which the
-# regex engine scans far faster than the negated class).
+# What a company name key drops: all but these characters.
+NAME_KEY_DROP_PLAIN = r"[^0-9a-z가-힣.\-:/]+"
+# The same set as ranges between the kept letters, which the regex engine scans
+# far faster than the negated class; a test compares the two on all characters.
 NAME_KEY_DROP = r"[\x00-,;-`{-\x{ABFF}\x{D7A4}-\x{10FFFF}]+"
 FILENAME_DATE = r"(20[1-3]\d)[-._]?([0-1]\d)"
 NUMBERED_STEP = r"(원|배|주)([1-5]\.)"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from peerglass import fixed_values as V
 from peerglass.functions.text import as_col, strip
 
 CENTURY_PIVOT = 69
@@ -36,3 +37,13 @@ def year_label(value: Column | str, as_of_year: int) -> Column:
     year = F.regexp_extract(c, r"\d{4}", 0)
     estimate = F.contains(F.upper(c), F.lit("E")) | (year.try_cast("int") >= as_of_year)
     return F.when(year == "", c).when(estimate, F.concat(year, F.lit("(E)"))).otherwise(year)
+
+
+def statement_periods(columns: Column | str, as_of_year: int) -> Column:
+    """struct<labels, n_periods> of a statement's header cells: the first names the accounts, the others are periods.
+
+    A statement without period columns is headed as the usual number of years.
+    """
+    cells = as_col(columns)
+    labels = F.transform(cells, lambda cell, i: F.when(i == 0, cell).otherwise(year_label(cell, as_of_year)))
+    return F.struct(labels.alias("labels"), F.when(F.size(cells) > 1, F.size(cells) - 1).otherwise(F.lit(V.DEFAULT_PERIODS)).alias("n_periods"))

@@ -11,6 +11,8 @@ from peerglass import fixed_values as V
 
 # White space as a text tool sees it: with no-break space and separators.
 SPACE = r"(?U)[\s\x1C-\x1F]"
+#: The same characters one by one.
+WHITE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def as_col(value: Column | str) -> Column:
@@ -31,7 +33,7 @@ def text_key(value: Column | str) -> Column:
     """Matching key of an industry name: no punctuation, no white space; null gives ''."""
     c = F.coalesce(as_col(value), F.lit(""))
     c = F.replace(c, F.lit(V.KEY_REPLACEMENT[0]), F.lit(V.KEY_REPLACEMENT[1]))
-    return F.regexp_replace(F.translate(c, V.KEY_PUNCTUATION, ""), rf"{SPACE}+", "")
+    return F.translate(c, V.KEY_PUNCTUATION + WHITE, "")
 
 
 def name_key(value: Column | str) -> Column:

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
 from peerglass.functions.numbers import first_number, market_cap_eok
-from peerglass.functions.text import as_col, clean_text, contains_any, first_present, let, strip, tag_text
+from peerglass.functions.text import WHITE, as_col, clean_text, contains_any, first_present, let, strip, tag_text
 
 #: A comment, a script or style with its content, a tag, a text, or a bracket that opens nothing.
 PIECE = r"""(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|</?[a-z](?:[^'">]++|"[^"]*+"|'[^']*+')*+>|<[a-z/!?][^>]*>|[^<]+|<"""
-MARKUP = r"^<[a-zA-Z/!?]"
+NAME_LENGTH = 24
 #: Elements that never hold anything.
 EMPTY_ELEMENTS = ["area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr",
                   "script", "style"]
@@ -26,24 +26,30 @@ ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&
 
 
 def unescape(text: Column) -> Column:
+    resolved = text
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        resolved = F.replace(resolved, F.lit(entity), F.lit(char))
+    return F.when(F.contains(text, F.lit("&")), resolved).otherwise(text)
 
 
 def pieces(html: Column | str) -> Column:
-    """array<struct<name, closes, alone, text>> of a page in order; text is stripped, '' for tags."""
+    """array<struct<name, closes, text>> of a page in order: tags that open or close something, and stripped texts.
+
+    ``name`` is '' for a text, and a tag has none.  Names and texts are read without patterns: there is one for every few letters.
+    """
     found = F.regexp_extract_all(F.coalesce(as_col(html), F.lit("")), F.lit(PIECE), F.lit(0))
 
     def read(piece: Column) -> Column:
-        markup = piece.rlike(MARKUP)
-        name = F.lower(F.regexp_extract(piece, r"^</?([a-zA-Z][^\s/>]*)", 1))
-        return F.struct(
-            name.alias("name"), F.startswith(piece, F.lit("</")).alias("closes"),
-            (F.endswith(piece, F.lit("/>")) | name.isin(*EMPTY_ELEMENTS)).alias("alone"),
-            F.when(markup, F.lit("")).otherwise(strip(unescape(piece))).alias("text"))
+        closes = F.startswith(piece, F.lit("</"))
+        head = F.translate(F.substring(piece, F.when(closes, 3).otherwise(2), F.lit(NAME_LENGTH)), "/>\t\n\r\f", " " * 6)
+        name = F.lower(F.substring_index(head, " ", 1))
+        plain = ~F.startswith(piece, F.lit("<")) | (F.length(piece) == 1)
+        none = F.lit("")
+        return F.when(plain, F.struct(none.alias("name"), F.lit(False).alias("closes"), F.trim(unescape(piece), F.lit(WHITE)).alias("text"))) \
+            .when(~F.startswith(piece, F.lit("<!")) & ~F.startswith(piece, F.lit("<?")) & ~F.endswith(piece, F.lit("/>"))
+                  & ~name.isin(*EMPTY_ELEMENTS), F.struct(name.alias("name"), closes.alias("closes"), none.alias("text")))
 
-    return F.transform(found, read)
+    return F.filter(F.transform(found, read), lambda p: (p["name"] != "") | (p["text"] != ""))
 
 
 def _joined(read: Column, sep: str) -> Column:
@@ -74,10 +80,9 @@ def longest_block(read: Column, names: Sequence[str], min_chars: int) -> Column:
 
     def step(state: Column, piece: Column) -> Column:
         stack, since = state["stack"], state["since"]
-        tag = (piece["name"] != "") & ~piece["alone"]
-        opens = tag & ~piece["closes"]
+        opens = (piece["name"] != "") & ~piece["closes"]
         # place of the last open tag of this name, 0 where none is open
-        back = F.when(tag & piece["closes"], F.array_position(F.reverse(stack), piece["name"])).otherwise(F.lit(0))
+        back = F.when(piece["closes"], F.array_position(F.reverse(stack), piece["name"])).otherwise(F.lit(0))
 
         def after(back: Column) -> Column:
             place = F.when(back > 0, F.size(stack) - back + 1).otherwise(F.lit(0)).cast("int")

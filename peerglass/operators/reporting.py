@@ -8,20 +8,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from peerglass import fixed_values as V
-from peerglass.functions.numbers import amount_range, grouped, round_class, round_rank, to_double, unit_token
-from peerglass.functions.text import as_col, strip
+from peerglass.functions.dates import year_label
+from peerglass.functions.numbers import amount_range, grouped, harmonise_unit, round_class, round_rank, to_double, unit_token
+from peerglass.functions.text import as_col, contains_any, let, strip
 from peerglass.operators.distributed import join_split, rank_in_ranges, top_k_per_key
 
 
-def infer_unit(values: DataFrame, group: str, value: str, row_no: str, fallback: str = V.DEFAULT_UNIT) -> DataFrame:
-    """Most common unit named in each group; first seen wins ties; fallback where none is."""
+def infer_unit(values: DataFrame, group: str, value: str, row_no: str, fallback: str = V.DEFAULT_UNIT,
+               title: str | None = None) -> DataFrame:
+    """Most common unit named in each group; first seen wins ties; fallback where none is.
+
+    Groups whose ``title`` speaks of a count have the count unit, whatever their values say.
+    """
     units = (
         values.withColumn("unit", unit_token(value)).filter(F.col("unit").isNotNull())
         .groupBy(group, "unit").agg(F.count(F.lit(1)).alias("_n"), F.min(row_no).alias("_first"))
         .groupBy(group).agg(F.max_by("unit", F.struct(F.col("_n"), (-F.col("_first")).alias("f"))).alias("unit"))
     )
-    groups = values.select(group).distinct()
-    return groups.join(units, group, "left").withColumn("unit", F.coalesce("unit", F.lit(fallback)))
+    counts = contains_any(F.col(title), V.COUNT_TITLES) if title is not None else F.lit(False)
+    groups = values.groupBy(group).agg(F.max(counts).alias("_counts"))
+    unit = F.when(F.col("_counts"), F.lit(V.COUNT_UNIT)).otherwise(F.coalesce("unit", F.lit(fallback)))
+    return groups.join(units, group, "left").select(group, unit.alias("unit"))
+
+
+def chart_dataset(pairs: Column | str, title: Column | str, as_of_year: int, fallback: Column | str = V.DEFAULT_UNIT) -> Column:
+    """struct<unit, unit_label, points> of a series of [year, value] texts; null where there is nothing to draw.
+
+    A first row whose year is no number is the header.  The unit is the count unit where the title speaks of a count, else the
+    one most values name, first seen of equals, else the fallback; values are moved to it.  A series without rows,
+    with values that add up to nothing or with a malformed number has no chart.
+    """
+    text = lambda row, i: F.coalesce(F.try_element_at(row, F.lit(i)), F.lit(""))
+    year = lambda row: strip(F.replace(text(row, 1), F.lit("년"), F.lit("")))
+    rows = as_col(pairs)
+    body = F.filter(rows, lambda row, i: ((i > 0) | year(row).rlike("^[0-9]")) & (F.size(row) >= 2))
+    fallback = F.lit(fallback) if isinstance(fallback, str) and fallback in V.MONEY_UNITS else as_col(fallback)
+
+    def common(units: Column) -> Column:
+        counted = F.transform(F.array_distinct(units), lambda u, i: F.struct(
+            F.size(F.filter(units, lambda x: x == u)).alias("n"), (-i).alias("first"), u.alias("unit")))
+        return F.coalesce(F.array_max(counted)["unit"], fallback)
+
+    def drawn(body: Column) -> Column:
+        named = F.array_compact(F.transform(body, lambda row: unit_token(text(row, 2))))
+        unit = F.when(contains_any(as_col(title), V.COUNT_TITLES), F.lit(V.COUNT_UNIT)).otherwise(let(named, common))
+
+        def chart(unit: Column) -> Column:
+            points = F.transform(body, lambda row: F.struct(
+                year_label(year(row), as_of_year).alias("label"), harmonise_unit(text(row, 2), unit).alias("value")))
+            return let(points, lambda p: F.when(
+                F.aggregate(p, F.lit(0.0), lambda total, point: total + point["value"]) != 0,
+                F.struct(unit.alias("unit"), F.concat(F.lit("(단위: "), unit, F.lit(")")).alias("unit_label"), p.alias("points"))))
+
+        return let(unit, chart)
+
+    return F.when(F.size(rows) >= 2, let(body, drawn))
 
 
 def nonzero_series(rows: DataFrame, key: str, value: str) -> DataFrame:

@@ -297,16 +297,16 @@ def peer_funnel(pool: DataFrame, companies: DataFrame, cells: DataFrame, target_
 
     ``companies`` holds code, month, row_no and the listing metrics.  The cheap
     filters come first: vectors are joined to those only that pass them, and
-    the scores are put back by (target, company).  These facts are written
-    once, and the later stages read the few columns they need from there: without the table the plan would hold their
-    whole history for every one of some eighty reads, more than the planner gets through.
+    the scores are put back by (target, company).  The rows are written after each of these steps, and the next one
+    reads the few columns it needs from there: every step joins its rows with aggregates of themselves, so in one plan the
+    whole history would stand some hundred times, more than the planner gets through.
     """
     verdicts = income_verdict(companies, cells, company=company, income_period=income_period)
     settles = december("month", "code")
-    facts = pool.join(verdicts, company, "left").select(
+    facts = cut_lineage(pool.join(verdicts, company, "left").select(
         target, company, pad_code(strip("code")).alias("code"), "row_no", *METRIC_COLUMNS, "income_reason",
         settles.alias("_settles"), F.coalesce("profit_passed", F.lit(False)).alias("_profit"),
-    )
+    ))
     candidates = facts.filter(F.col("_settles") & F.col("_profit")).select(target, company).distinct()
     scores = similarity_scores(candidates, target_vectors, vectors, target=target, company=company, vector=vector,
                                threshold=threshold)
@@ -314,12 +314,12 @@ def peer_funnel(pool: DataFrame, companies: DataFrame, cells: DataFrame, target_
         scores.select(target, company, F.struct("score", "similar", "similarity_reason").alias("_s")), [target, company], "left"))
     marked = mark_december_firsts(scored, "_settles", target=target)
     survives = F.col("dec_passed") & F.col("_profit")
-    staged = marked.select(
+    staged = cut_lineage(marked.select(
         target, company, *METRIC_COLUMNS, "dec_passed", survives.alias("profit_passed"), "income_reason",
         F.when(survives, F.col("_s.score")).alias("score"),
         F.coalesce(survives & F.col("_s.similar"), F.lit(False)).alias("similar"),
         F.col("_s.similarity_reason").alias("similarity_reason"),
-    )
+    ))
     judged = stage4_requirements(staged, target=target, eligible=F.col("similar"))
     stage = (
         F.when(F.col("passed"), 4).when(F.col("similar"), 3).when(F.col("profit_passed"), 2).otherwise(1)

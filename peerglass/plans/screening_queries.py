@@ -426,9 +426,7 @@ SELECT t, scenario_no, scenario, ratio, round(avg_per, 6) AS avg_per, discount,
        CASE WHEN can THEN '' ELSE array_to_string(list_filter([
          CASE WHEN avg_per <= 0 THEN '유효한 Peer PER 데이터 부재' END,
          CASE WHEN coalesce(income, 0) = 0 THEN '추정 당기순이익 정보 부재' END], lambda x: x IS NOT NULL), '; ')
-       END AS not_computable,
-       CASE WHEN NOT can THEN '-' WHEN coalesce(shares, 0) = 0 THEN '산출 불가 (주식수 부재)'
-            WHEN scenario_no = 0 THEN format('{{:,}}', final_price) || '원' END AS headline_price
+       END AS not_computable
 FROM v""")
 def scenario_valuation(t):
     multiples = val.peer_multiple(_final_peers(t).select("t", "per", "passed"))
@@ -436,6 +434,30 @@ def scenario_valuation(t):
     return rows.withColumns({c: F.round(c, p) for c, p in (("avg_per", 6), ("ev", 4), ("price", 4))})
 
 
+@query("valuation_summary", f"""WITH {SCENARIO_SQL}, s AS (
+  SELECT v.*, shares0, round, CASE WHEN avg_per > 0 THEN printf('%.2f배', avg_per) ELSE '산출 불가' END AS multiple,
+         CASE WHEN NOT can THEN '-' WHEN coalesce(shares, 0) = 0 THEN '산출 불가 (주식수 부재)'
+              ELSE format('{{:,}}', final_price) || '원' END AS headline
+  FROM v JOIN inputs USING (t) WHERE scenario_no = 0)
+SELECT t, headline AS headline_price, CASE WHEN can
+    THEN '1단계 (Peer 평균 PER): ' || multiple || ' 적용' || chr(10) || '2단계 (할인율 적용): 타겟 투자 라운드 [' || round
+      || '] 리스크를 반영하여 현가 할인율 ' || CAST(round(discount * 100) AS BIGINT) || '% 적용' || chr(10)
+      || '3~4단계 (가치 산출): 하단의 시나리오별 밸류에이션 표 참조' || chr(10) || CASE
+        WHEN coalesce(shares, 0) = 0 THEN '  * 참고: 자본금 및 발행주식수 정보 부재로 주당 단가 산출 생략'
+        WHEN coalesce(shares0, 0) <> 0 THEN '  * 참고: 기준 주식수 ' || format('{{:,}}', shares)
+          || '주 (명시된 주식수가 없을 경우, 자본금을 바탕으로 액면가 500원을 가정하여 역산된 주식수일 수 있습니다.)'
+        ELSE '  * 참고: 기준 주식수 ' || format('{{:,}}', shares) || '주 (문서 내 정보 부재로 외부 검색 (자본금) 바탕으로 액면가 500원 가정 역산)' END
+    ELSE '※ 산출 불가 사유:' || chr(10) || CASE WHEN avg_per <= 0 THEN '- 유효한 Peer PER 데이터 부재' || chr(10) ELSE '' END
+      || CASE WHEN coalesce(income, 0) = 0 THEN '- 2002년 추정 당기순이익 정보 부재' || chr(10) ELSE '' END END AS rationale,
+  CASE WHEN coalesce(income, 0) <> 0 THEN format('{{:,}}', income) || '원' ELSE '정보 부재' END AS net_income_text,
+  CASE WHEN coalesce(shares, 0) <> 0 THEN format('{{:,}}', shares) || '주' ELSE '정보 부재' END AS shares_text, multiple AS multiple_text,
+  CAST(trunc(discount * 100) AS BIGINT) || '%' AS discount_text, '40%' AS offer_discount_text, '예상 공모가: ' || headline AS comment
+FROM s""")
+def valuation_summary(t):
+    multiples = val.peer_multiple(_final_peers(t).select("t", "per", "passed"))
+    return val.valuation_summary(vw.valuation_inputs(t), multiples, target_year=2002, source=F.lit(" (자본금)"))
+
+
 @query("statement_ratios", """
 SELECT o_custkey AS company_id, year(o_orderdate) AS year,
        round(sum(o_totalprice) FILTER (WHERE o_orderstatus = 'F') / sum(o_totalprice) FILTER (WHERE o_orderstatus = 'O'), 4)

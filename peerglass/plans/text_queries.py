@@ -370,6 +370,44 @@ def year_label(t):
     return t.orders.select("o_orderkey", D.year_label(txt, 1999).alias("label"))
 
 
+@query("statement_periods", """
+SELECT o_orderkey, CASE o_custkey % 4 WHEN 0 THEN '' ELSE array_to_string(list_concat(['구분'], list_transform(range(o_custkey % 4 - 1),
+         lambda i: CASE WHEN i = 1 THEN '2020(E)' WHEN 2022 + i >= 2024 THEN (2022 + i) || '(E)' ELSE (2022 + i)::VARCHAR END)), '|') END AS labels,
+       CAST(CASE WHEN o_custkey % 4 > 1 THEN o_custkey % 4 - 1 ELSE 5 END AS INTEGER) AS n_periods FROM orders""")
+def statement_periods(t):
+    n = (F.col("o_custkey") % 4).cast("int")
+    cells = F.slice(F.array(F.lit("구분"), F.lit("2022.12"), F.lit("2020년(e)"), F.lit("2024/12")), F.lit(1), n)
+    return t.orders.select("o_orderkey", D.statement_periods(cells, 2024).alias("p")).select(
+        "o_orderkey", F.array_join("p.labels", "|").alias("labels"), "p.n_periods")
+
+
+@query("chart_dataset", """
+WITH r AS (SELECT o_orderkey, i, o_orderpriority = '5-LOW' AS counted, CASE WHEN 2022 + i >= 2024 THEN (2022 + i) || '(E)' ELSE (2022 + i)::VARCHAR END AS label,
+                  CASE (o_custkey + i) % 4 WHEN 0 THEN 0.01 WHEN 1 THEN 1.0 END AS scale,
+                  CASE (o_custkey + i) % 4 WHEN 0 THEN '백만원' WHEN 1 THEN '억원' END AS named,
+                  CASE (o_custkey + i) % 4 WHEN 0 THEN o_custkey + i WHEN 1 THEN i + 1.5 WHEN 2 THEN 0 ELSE o_custkey END::DOUBLE AS n
+           FROM orders, LATERAL (SELECT unnest(range(o_custkey % 5)) AS i)),
+c AS (SELECT o_orderkey, named, count(*) AS k, min(i) AS f FROM r WHERE named IS NOT NULL GROUP BY 1, 2),
+u AS (SELECT o_orderkey, first(named ORDER BY k DESC, f) AS named FROM c GROUP BY 1),
+d AS (SELECT r.*, CASE WHEN counted THEN '건' ELSE coalesce(u.named, '백만원') END AS unit FROM r LEFT JOIN u USING (o_orderkey)),
+v AS (SELECT *, CASE WHEN unit = '억원' AND named = '백만원' THEN n / 100 WHEN unit = '백만원' AND named = '억원' THEN n * 100 ELSE n END AS value FROM d),
+g AS (SELECT o_orderkey, min(unit) AS unit, string_agg(label || '=' || value::VARCHAR, ',' ORDER BY i) AS points, sum(value) AS total
+      FROM v GROUP BY 1)
+SELECT o_orderkey, unit, points FROM orders LEFT JOIN (SELECT * FROM g WHERE total <> 0) g USING (o_orderkey)""")
+def chart_dataset(t):
+    key = F.col("o_custkey")
+    rows = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.array(
+        F.concat((2022 + i).cast("string"), F.lit("년")),
+        F.when((key + i) % 4 == 0, F.concat((key + i).cast("string"), F.lit("백만원")))
+        .when((key + i) % 4 == 1, F.concat((i + 1).cast("string"), F.lit(".5 억")))
+        .when((key + i) % 4 == 2, F.lit("N/A")).otherwise(F.concat(F.lit("약 "), key.cast("string")))))
+    pairs = F.concat(F.array(F.array(F.lit("연도"), F.lit("금액"))), F.slice(rows, F.lit(1), (key % 5).cast("int")))
+    title = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("계약 건수")).otherwise(F.lit("수출 추이"))
+    return t.orders.select("o_orderkey", rep.chart_dataset(pairs, title, 2024).alias("c")).select(
+        "o_orderkey", "c.unit", F.array_join(F.transform("c.points", lambda p: F.concat(
+            p["label"], F.lit("="), p["value"].cast("string"))), ",").alias("points"))
+
+
 # --- JSON ---------------------------------------------------------------------------
 
 @query("valid_documents", """

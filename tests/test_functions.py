@@ -67,6 +67,13 @@ CASES = [
 ]
 
 
+CASES += [
+    (lambda c: D.statement_periods(F.split(c, ","), 2025)["n_periods"], ["구분,2023,2024", "구분", ""], [2, 5, 5]),
+    (lambda c: F.array_join(D.statement_periods(F.split(c, ","), 2025)["labels"], ","), ["2020,2023.12,2025,2024e,합계"], ["2020,2023,2025(E),2024(E),합계"]),
+    (X.text_key, ["차체나, 부품·\n(특수)", " a\u00a0b\u3000c\x1c\u2028", None, "[x]:{y}"], ["차체및부품특수", "abc", "", "xy"]),
+]
+
+
 @pytest.mark.parametrize("fn, given_values, expected", CASES)
 def test_cases(spark, fn, given_values, expected):
     assert values(spark, fn, given_values) == expected
@@ -155,3 +162,34 @@ def test_only_decimal_texts_are_numbers(spark):
     assert [r[0] for r in rows.select(to_double("t")).collect()] == [12.0, -1.5, 0.5, 1000.0, *[None] * 7]
     missing = rows.select(sentinel_number("t")).collect()
     assert len({r[0] for r in missing[4:]}) == 1
+
+
+def test_name_key_drops_the_same_by_class_and_by_ranges(spark):
+    """On all characters but surrogates."""
+    from peerglass import fixed_values as V
+    codes = spark.range(0x110000).filter("id < 55296 or id > 57343").select(F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    plain, ranges = (F.regexp_replace("c", p.replace(r"\x{", r"\x{"), "") for p in (V.NAME_KEY_DROP_PLAIN, V.NAME_KEY_DROP))
+    assert codes.filter(plain != ranges).count() == 0
+    assert codes.filter(ranges != "").count() == 10 + 26 + (0xD7A3 - 0xAC00 + 1) + 4
+
+
+def chart(spark, rows, title="수출 추이", fallback="백만원"):
+    df = spark.createDataFrame([(rows, title)], "p array<array<string>>, t string")
+    c = df.select(rep.chart_dataset("p", "t", 2024, fallback).alias("c")).first().c
+    return c and (c.unit, [(p.label, p.value) for p in c.points])
+
+
+def test_chart_dataset(spark):
+    head = ["Year", "Value"]
+    assert chart(spark, [head, ["2022년", "1,000백만원"], ["2023", "2억"], ["2024", "N/A"]]) == (
+        "백만원", [("2022", 1000.0), ("2023", 200.0), ("2024(E)", 0.0)])
+    assert chart(spark, [["2022", "5억"], ["2023", "1백만"], ["2021(e)", "3억"]]) == ("억원", [("2022", 5.0), ("2023", 0.01), ("2021(E)", 3.0)])
+    assert chart(spark, [head, ["2022", "3건"], ["2023", "4"]], "계약 건수") == ("건", [("2022", 3.0), ("2023", 4.0)])
+    assert chart(spark, [head, ["2022", "7"]], fallback="억원") == ("억원", [("2022", 7.0)])
+    for nothing in ([], [head], [head, ["2022", "0"], ["2023", "-"]], [head, ["2022", "1.2.3"]], None):
+        assert chart(spark, nothing) is None
+
+
+def test_count_unit_by_title(spark):
+    df = spark.createDataFrame([("a", "3억", 1, "계약 건수"), ("b", "3억", 2, "매출")], "g string, v string, n int, title string")
+    assert {r.g: r.unit for r in rep.infer_unit(df, "g", "v", "n", title="title").collect()} == {"a": "건", "b": "억원"}

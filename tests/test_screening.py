@@ -194,11 +194,19 @@ def test_scenarios(spark):
     pv = int(10_000_000_000 / 1.4 // 1_000_000 * 1_000_000)
     assert (first.pv, first.discount) == (pv, 0.4)
     assert first.final_price == int(pv * 12.5 / 1_000_000 * 0.6 // 100 * 100)
-    assert first.headline_price == first.final_price_text and rows[(1, 1)].headline_price is None
     assert rows[(2, 0)].pv == -1_000_000 and rows[(2, 0)].shares == 10_000
     assert rows[(3, 0)].not_computable == "추정 당기순이익 정보 부재" and rows[(3, 0)].pv is None
     assert rows[(4, 0)].not_computable == "유효한 Peer PER 데이터 부재"
-    assert rows[(5, 0)].price_text == "-" and rows[(5, 0)].headline_price == "산출 불가 (주식수 부재)"
+    assert rows[(5, 0)].price_text == "-"
+    told = {r.t: r for r in val.valuation_summary(inputs, multiples, target_year=2025).collect()}
+    assert len(told) == 5 and told[1].headline_price == first.final_price_text and told[1].comment == f"예상 공모가: {first.final_price_text}"
+    assert told[1].rationale.splitlines()[0] == "1단계 (Peer 평균 PER): 12.50배 적용" and "[Series B]" in told[1].rationale
+    assert "현가 할인율 40% 적용" in told[1].rationale and "기준 주식수 1,000,000주 (명시된" in told[1].rationale
+    assert "[미상 (기본값 적용)]" in told[2].rationale and "10,000주 (문서 내 정보 부재" in told[2].rationale
+    assert told[2].net_income_text == "-1,500,000원" and told[2].discount_text == "50%"
+    assert (told[3].headline_price, told[3].rationale) == ("-", "※ 산출 불가 사유:\n- 2025년 추정 당기순이익 정보 부재\n")
+    assert told[4].rationale == "※ 산출 불가 사유:\n- 유효한 Peer PER 데이터 부재\n" and told[4].multiple_text == "산출 불가"
+    assert told[5].headline_price == "산출 불가 (주식수 부재)" and told[5].rationale.endswith("주당 단가 산출 생략")
 
 
 def test_statement_ratios_of_the_sample_statement(spark):

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from peerglass.operators import screening as S
-from peerglass.operators.distributed import split_hot_keys
+from peerglass.operators import similarity as sim
+from peerglass.operators.distributed import join_split, split_hot_keys
 
 SMALL = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -76,3 +77,55 @@ def test_hot_target_is_right(small_partitions):
     metrics = ["per", "pbr", "market_cap", "ev_ebitda"]
     out = sum(((ok[m] == ok[m].max()) | (ok[m] == ok[m].min())) for m in metrics) > 0
     assert got == set(ok[~out].company_id) and len(got) > 1000
+
+
+def test_two_sided_join_splits_a_hot_key_and_keeps_all_pairs(small_partitions):
+    """Half of the rows under one key; its facts, three to a key, meet every one of them."""
+    rows = small_partitions.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") % 300).alias("k"), F.lit("same").alias("text"), "id")
+    facts = rows.select("k").distinct().crossJoin(small_partitions.range(3).select(F.col("id").alias("f")))
+    joined = join_split(rows.drop("id"), facts, "k", rows_per_task=1000)
+    assert joined.count() == 120_000
+    assert joined.groupBy("k", "f").count().filter("k = -1").agg(F.min("count"), F.max("count")).first()[:] == (20_000, 20_000)
+    left = join_split(rows, facts.filter("k <> -1"), "k", "left", by=["id"], rows_per_task=1000)
+    assert left.filter("k = -1 and f is null").count() == 20_000
+
+
+def test_equal_rows_of_a_hot_key_do_not_stay_together(small_partitions):
+    rows = small_partitions.range(0, 40_000, 1, 16).select(F.lit(1).alias("t"), F.lit("x").alias("a"))
+    salted, _ = split_hot_keys(rows, rows.groupBy("t").agg(F.count("*").alias("n")), "t", "n", rows_per_task=5000)
+    parts = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert len(parts) > 3 and max(parts) < 20_000
+
+
+def test_similarity_of_a_hot_label(small_partitions, monkeypatch):
+    """One target with half of all pairs: scores as computed one by one, no join on the label alone."""
+    monkeypatch.setattr(join_split, "__kwdefaults__", {"by": None, "sizes": None, "rows_per_task": 500})
+    n = 6000
+    i = F.col("id")
+    vectors = small_partitions.range(n).select(i.alias("company_id"), F.array(F.sin(i), F.cos(i * 3), (i % 7).cast("double")).alias("embedding"))
+    targets = small_partitions.range(40).select(i.alias("t"), F.array(F.cos(i), F.lit(1.0), F.lit(0.5)).alias("embedding"))
+    pairs = small_partitions.range(n).select(F.when(i % 2 == 0, 0).otherwise(i % 40).alias("t"), i.alias("company_id"))
+    scored = sim.similarity_scores(pairs, targets, vectors)
+    plain = pairs.join(vectors.withColumnRenamed("embedding", "cv"), "company_id").join(targets.withColumnRenamed("embedding", "tv"), "t")
+    dots = F.aggregate(F.zip_with("tv", "cv", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+    size = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x))
+    want = plain.select("t", "company_id", F.greatest(F.lit(0.0), dots / (size("tv") * size("cv"))).alias("w"))
+    assert scored.join(want, ["t", "company_id"]).filter(F.abs(F.col("score") - F.col("w")) < 1e-5).count() == n
+    text = scored._jdf.queryExecution().executedPlan().toString()
+    assert all("_salt" in keys for keys in re.findall(r"SortMergeJoin \[([^\]]*)\]", text))
+
+
+def test_first_of_a_hot_code(small_partitions):
+    """Half of a target's rows share one code: one of them is the first, found on salted keys."""
+    i = F.col("id")
+    rows = small_partitions.range(0, 20_000, 1, 8).select(
+        (i % 3).alias("t"), F.when(i % 2 == 0, "000001").otherwise(F.lpad(i.cast("string"), 6, "0")).alias("code"), i.alias("row_no"),
+        (i % 5 > 0).alias("_settles"))
+    marked = S.mark_december_firsts(rows, "_settles")
+    text = marked._jdf.queryExecution().executedPlan().toString()
+    assert all("_salt" in keys for keys in re.findall(r"SortMergeJoin \[([^\]]*)\]", text))
+    firsts = {(r.t, r.row_no) for r in marked.filter("dec_passed and code = '000001'").collect()}
+    want = {t: min(x for x in range(20_000) if x % 3 == t and x % 2 == 0 and x % 5 > 0) for t in range(3)}
+    assert firsts == set(want.items())
+    assert marked.filter("dec_passed and code <> '000001'").count() == sum(1 for x in range(20_000) if x % 2 and x % 5)
