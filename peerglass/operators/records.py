@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -300,29 +300,31 @@ def _fault(value: Column, field: Field) -> Column:
     return fault
 
 
-def _walker(node: _Node) -> Callable[[Column], Column]:
-    return lambda value: _walk(value, node)
-
-
-def _walk(value: Column, node: _Node) -> Column:
+def _walk(value: Column, node: _Node, in_list: bool = False) -> Column:
     """Faults below a value: one place for each rule of the node, null where it holds.
 
-    Every field is looked up once, in the value it stands in; the items of a list are read in one go.
+    Every field is looked up once, in the value it stands in; the items of a list are read in one go.  Outside lists the
+    engine itself computes a shared look-up once; inside, values are bound by name.
     """
-    parts = [F.array(_fault(value, node.rule))] if node.rule else []
-    for name, below in node.fields.items():
-        parts.append(let(F.try_variant_get(value, f"$.{name}", "variant"), _walker(below)))
-    if node.items:
-        none = F.array(*[F.lit(None).cast("string")] * node.items.size())
+    def field(name: str, below: _Node) -> Column:
+        found = F.try_variant_get(value, f"$.{name}", "variant")
+        return let(found, lambda v: _walk(v, below, True)) if in_list else _walk(found, below)
+
+    def items(below: _Node) -> Column:
+        none = F.array(*[F.lit(None).cast("string")] * below.size())
         first = F.aggregate(
             F.try_variant_get(value, "$", "array<variant>"), none,
-            lambda found, item: F.zip_with(found, _walk(item, node.items), lambda old, new: F.coalesce(old, new)))
-        parts.append(F.coalesce(first, none))
+            lambda found, item: F.zip_with(found, _walk(item, below, True), lambda old, new: F.coalesce(old, new)))
+        return F.coalesce(first, none)
+
+    parts = [F.array(_fault(value, node.rule))] if node.rule else []
+    parts += [field(name, below) for name, below in node.fields.items()]
+    parts += [items(node.items)] if node.items else []
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
 def violations(doc: Column, spec: Sequence[Field]) -> Column:
-    """Broken rules of a document (variant), in order of their paths' first mention; of a list its first faulty item counts."""
+    """Broken rules of a document (variant column), in order of their paths' first mention; of a list its first faulty item counts."""
     return F.array_compact(_walk(doc, rule_tree(spec)))
 
 
@@ -331,9 +333,10 @@ def schema_violations(docs: DataFrame, json: str, spec: Sequence[Field]) -> Data
 
     The text is parsed once per row, and the parsed value is walked once along the tree of rules.
     """
+    parsed = docs.withColumn("_doc", F.try_parse_json(json))
     unreadable = F.array(F.lit("unreadable"))
-    found = let(F.try_parse_json(json), lambda doc: F.when(doc.isNull(), unreadable).otherwise(violations(doc, spec)))
-    return docs.withColumn("violations", found)
+    found = F.when(F.col("_doc").isNull(), unreadable).otherwise(violations(F.col("_doc"), spec))
+    return parsed.withColumn("violations", found).drop("_doc")
 
 
 def split_quarantine(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -523,9 +523,10 @@ def _expected_fault(spec) -> str:
        + " FROM events")
 def section_schemas(t):
     """The five section schemas, each over a document of every event with at most one fault."""
-    checked = t.events.select("event_id", *[vw.section_document(spec, F.col("event_id")).alias(f"{name}_doc") for name, spec in SECTIONS.items()])
-    found = [F.array_join(R.violations(F.parse_json(f"{name}_doc"), spec), ",").alias(name) for name, spec in SECTIONS.items()]
-    return checked.select("event_id", *found)
+    docs = {name: F.parse_json(vw.section_document(spec, F.col("event_id"))) for name, spec in SECTIONS.items()}
+    parsed = t.events.select("event_id", *[doc.alias(f"{name}_doc") for name, doc in docs.items()])
+    found = [F.array_join(R.violations(F.col(f"{name}_doc"), spec), ",").alias(name) for name, spec in SECTIONS.items()]
+    return parsed.select("event_id", *found)
 
 
 @query("schema_violations", """

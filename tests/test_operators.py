@@ -1,5 +1,6 @@
 """Matching, documents, records and reports on small hand-made tables."""
 
+import json
 import random
 import re
 
@@ -78,7 +79,7 @@ def test_industry_codes(spark):
     assert ref.require_code(ref.industry_class_code(rows, "file", "row_no", "raw")).count() == 4
 
 
-@FEW
+@settings(FEW, max_examples=4)
 @given(st.integers(0, 10**6), st.integers(1, 9))
 def test_forward_fill_over_ranges(spark, seed, parts):
     rng = random.Random(seed)
@@ -92,7 +93,7 @@ def test_forward_fill_over_ranges(spark, seed, parts):
         assert got[(k, pos)] == last[k]
 
 
-@FEW
+@settings(FEW, max_examples=4)
 @given(st.integers(0, 10**6), st.integers(1, 9))
 def test_ranks_over_ranges(spark, seed, parts):
     rng = random.Random(seed)
@@ -279,3 +280,28 @@ def test_split_categories(spark):
 def test_dedupe_takes_the_first_row(spark):
     rows = spark.createDataFrame([(1, "7", 2, "b"), (1, "000007", 1, "a"), (2, "7", 3, "c")], "t int, code string, row_no int, n string")
     assert {(r.t, r.n) for r in M.dedupe_by_code(rows).collect()} == {(1, "a"), (2, "c")}
+
+
+def test_patch_of_nested_documents(spark):
+    base = [
+        (1, '{"Financial_Status": {"Investment_History": ["a"], "Unit": "x"}, "Growth_Potential": {"Target_Market_Trends": [], '
+            '"Export_and_Contract_Stats": {"Sales_Graph_Data": [["Year", "v"]], "Export_Graph_Data": [["2020년", "1,000억"], ["2021", "N/A"], ["x", "y"]]}}, '
+            '"Key_Personnel": {"CEO_Reference": {"Name": "old", "Age": 5}}, "Valuation_and_Judgment": {"Valuation_Logic_Detail": {"a": 1}}, "Other": 1}'),
+        (2, '{"Other": 2}'), (3, '{"Financial_Status": null}')]
+    patch = [
+        (1, '{"Financial_Status": {"Investment_History": ["b", "c"], "Unit": "y"}, "Growth_Potential": {"Target_Market_Trends": ["t"], '
+            '"Export_and_Contract_Stats": {"Sales_Graph_Data": [["2022", "3"], ["2023", "4.5"]], "Export_Graph_Data": [["2030", "1"], ["2031", "2"]]}}, '
+            '"Key_Personnel": {"CEO_Reference": {"Name": "new"}}, "Valuation_and_Judgment": {"Valuation_Logic_Detail": {"b": 2}}, "Other": 9}'),
+        (2, '{"Financial_Status": {"Investment_History": ["only"]}, "Key_Personnel": {"Team_Capability": {"n": 1}}}')]
+    made = [spark.createDataFrame(rows, "t int, j string").select("t", F.parse_json("j").alias("doc")) for rows in (base, patch)]
+    done = {r.t: json.loads(r.j) for r in R.patch_documents(*made).select("t", F.to_json("doc").alias("j")).collect()}
+    one, stats = done[1], done[1]["Growth_Potential"]["Export_and_Contract_Stats"]
+    assert one["Financial_Status"] == {"Investment_History": ["b", "c"], "Unit": "x"} and one["Other"] == 1
+    assert one["Growth_Potential"]["Target_Market_Trends"] == ["t"]
+    assert stats == {"Sales_Graph_Data": [["Year", "Revenue"], ["2022", 3], ["2023", 4.5]],
+                     "Export_Graph_Data": [["Year", "Export_Value"], ["2020", 1000], ["2021", 0]], "Contract_Count_Graph_Data": [["Year", "Count"]]}
+    assert one["Key_Personnel"]["CEO_Reference"] == {"Name": "new", "Age": 5}
+    assert one["Valuation_and_Judgment"]["Valuation_Logic_Detail"] == {"b": 2}
+    assert done[2]["Other"] == 2 and done[2]["Financial_Status"] == {"Investment_History": ["only"]}
+    assert done[2]["Key_Personnel"] == {"Team_Capability": {"n": 1}}
+    assert "Financial_Status" not in done[3] or not done[3]["Financial_Status"]
