@@ -287,17 +287,16 @@ def rule_tree(spec: Sequence[Field]) -> _Node:
 
 
 def _fault(value: Column, field: Field) -> Column:
-    """'fault:path' of one value, null where it is right."""
+    """'fault:path' of one value, null where it is right.  What is right, as most values are, is told by one look."""
     text = lambda fault: F.lit(None if fault is None else f"{fault}:{field.path}").cast("string")
     if field.kind == "ARRAY":  # cheaper than to spell out the type of a whole list
-        right = F.try_variant_get(value, "$", "array<variant>").isNotNull()
+        size = F.size(F.try_variant_get(value, "$", "array<variant>"))  # null or below 0 where it is none
+        fault = F.when(size == field.exact_len if field.exact_len is not None else size >= 0, text(None))
+        fault = fault.when(size >= 0, text("length"))
     else:
-        right = F.schema_of_variant(value) == field.kind
-    fault = F.when(value.isNull(), text(None if field.nullable else "missing"))
-    fault = fault.when(F.is_variant_null(value), text(None if field.nullable else "null")).when(~right, text("type"))
-    if field.exact_len is not None:
-        fault = fault.when(F.size(F.try_variant_get(value, "$", "array<variant>")) != field.exact_len, text("length"))
-    return fault
+        fault = F.when(F.schema_of_variant(value) == field.kind, text(None))
+    fault = fault.when(value.isNull(), text(None if field.nullable else "missing"))
+    return fault.when(F.is_variant_null(value), text(None if field.nullable else "null")).otherwise(text("type"))
 
 
 def _walk(value: Column, node: _Node, in_list: bool = False) -> Column:
@@ -308,7 +307,8 @@ def _walk(value: Column, node: _Node, in_list: bool = False) -> Column:
     """
     def field(name: str, below: _Node) -> Column:
         found = F.try_variant_get(value, f"$.{name}", "variant")
-        return let(found, lambda v: _walk(v, below, True)) if in_list else _walk(found, below)
+        leaf = not below.fields and below.items is None
+        return _walk(found, below, in_list) if leaf or not in_list else let(found, lambda v: _walk(v, below, True))
 
     def items(below: _Node) -> Column:
         none = F.array(*[F.lit(None).cast("string")] * below.size())
