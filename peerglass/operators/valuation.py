@@ -66,7 +66,10 @@ def filled(template: str, **parts: Column) -> Column:
 
 
 def scenario_valuation(inputs: DataFrame, multiples: DataFrame, *, target: str = "t") -> DataFrame:
-    """Three scenario rows per target, or the reason why none can be computed."""
+    """Three scenario rows per target, or the reason why none can be computed.
+
+    The row of the first scenario says the headline price; a reason why there is none stands on every row.
+    """
     can_value = F.col("_can_value")
     blockers = F.array_compact(F.array(
         F.when(F.col("avg_per") <= 0, F.lit(V.NO_PEER_PER)), F.when(F.col("_income") == 0, F.lit(V.NO_INCOME))))
@@ -77,6 +80,7 @@ def scenario_valuation(inputs: DataFrame, multiples: DataFrame, *, target: str =
         .withColumn("price", F.when(F.col("_has_shares"), F.col("ev") / F.col("shares")))
         .withColumn("final_price", offer_price(F.col("price")))
     )
+    headline = F.when(~can_value, F.lit("-")).when(~F.col("_has_shares"), F.lit(V.NO_SHARE_PRICE))
     return rows.select(
         target, "scenario_no", "scenario", "ratio", "avg_per", "discount", "shares", "pv", "ev", "price", "final_price",
         filled(V.SCENARIO_NOTE, share=percent_text("ratio")).alias("ratio_text"),
@@ -85,6 +89,7 @@ def scenario_valuation(inputs: DataFrame, multiples: DataFrame, *, target: str =
         F.when(can_value, F.coalesce(won_text("price"), F.lit("-"))).alias("price_text"),
         F.when(can_value, F.coalesce(won_text("final_price"), F.lit("-"))).alias("final_price_text"),
         F.when(~can_value, F.array_join(blockers, "; ")).otherwise(F.lit("")).alias("not_computable"),
+        F.coalesce(headline, F.when(F.col("scenario_no") == 0, won_text("final_price"))).alias("headline_price"),
     )
 
 

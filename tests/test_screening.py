@@ -209,6 +209,16 @@ def test_scenarios(spark):
     assert told[5].headline_price == "산출 불가 (주식수 부재)" and told[5].rationale.endswith("주당 단가 산출 생략")
 
 
+def test_scenario_rows_say_the_headline_price(spark):
+    inputs = spark.createDataFrame([
+        (1, 10_000_000_000, 1_000_000, "Series B", None), (2, 0, 10, "Seed", None), (3, 10_000_000_000, None, "Seed", None)], INPUTS)
+    multiples = spark.createDataFrame([(1, 12.5), (2, 10.0), (3, 10.0)], "t int, avg_per double")
+    rows = {(r.t, r.scenario_no): r for r in val.scenario_valuation(inputs, multiples).collect()}
+    assert [rows[(1, no)].headline_price for no in range(3)] == [rows[(1, 0)].final_price_text, None, None]
+    assert [rows[(2, no)].headline_price for no in range(3)] == ["-"] * 3
+    assert [rows[(3, no)].headline_price for no in range(3)] == ["산출 불가 (주식수 부재)"] * 3
+
+
 def test_statement_ratios_of_the_sample_statement(spark):
     cells = spark.createDataFrame([(2024, "유동자산", 1800.0), (2024, "유동부채", 1100.0), (2024, "부채총계", 1800.0),
                                    (2024, "자본총계", 2700.0), (2024, "매출액", 6200.0)],
