@@ -71,29 +71,35 @@ def split_hot_keys(rows: DataFrame, sizes: DataFrame, key: str | Sequence[str],
 
 
 def join_split(rows: DataFrame, facts: DataFrame, key: str | Sequence[str], how: str = "inner", *, by: Sequence[str] | None = None,
-               sizes: DataFrame | None = None, rows_per_task: int = 1_000_000) -> DataFrame:
+               sizes: DataFrame | None = None, rows_per_task: int = 1_000_000, hint: str | None = None) -> DataFrame:
     """Join of rows with facts by key, where a key may hold most of the rows.
 
     Two-sided: rows of a hot key are salted, its facts are repeated for every salt.  ``sizes`` has the key and ``_rows`` where
-    an aggregate at hand counts them.
+    an aggregate at hand counts them.  ``hint`` names the kind of join where the repeated facts must not be taken for small.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if sizes is None:
         sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     salted, expand = split_hot_keys(rows, sizes, keys, "_rows", by=by, rows_per_task=rows_per_task)
-    return salted.join(expand(facts), [*keys, "_salt"], how).drop("_salt")
+    repeated = expand(facts)
+    return salted.join(repeated.hint(hint) if hint else repeated, [*keys, "_salt"], how).drop("_salt")
 
 
-def shared(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows dealt by key in one exchange that all branches of a plan read.
+def dealt(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Rows dealt evenly, ahead of steps that cost far more than the row is long: a small file is read by one task or a few."""
+    return df.repartition(parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def shared(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows dealt by key, or evenly where none is given, in one exchange that all branches of a plan read.
 
     A row passes the exchange as one packed value, and it is unpacked by an expression that filters do not pass: whatever the
     branches need of it, the plan below is the same for all, so the engine runs it once and reuses its output.
     """
     packed = df.select(F.array(F.struct(*df.columns)).alias("_packed"))
     row = F.element_at("_packed", 1)
-    dealt = packed.repartition(*[row[k] for k in keys])
-    return dealt.select(F.when(F.spark_partition_id() >= 0, row).alias("_row")).select("_row.*")
+    spread = packed.repartition(*[row[k] for k in keys]) if keys else dealt(packed)
+    return spread.select(F.when(F.spark_partition_id() >= 0, row).alias("_row")).select("_row.*")
 
 
 def in_ranges(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:

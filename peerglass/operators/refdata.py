@@ -11,7 +11,10 @@ from peerglass import fixed_values as V
 from peerglass.functions.dates import listed_days, listed_years, parse_listing_date
 from peerglass.functions.numbers import pad_code
 from peerglass.functions.text import strip, text_key
-from peerglass.operators.distributed import forward_fill
+from peerglass.operators.distributed import forward_fill, join_split, shared
+
+#: Joined rows of one industry that one task makes.
+JOINED_ROWS = 10_000_000
 
 
 def industry_class_code(rows: DataFrame, file: str, row_no: str, code: str, out: str = "class_code") -> DataFrame:
@@ -29,14 +32,33 @@ def require_code(rows: DataFrame, code: str = "class_code") -> DataFrame:
 
 
 def attach_industry_code(companies: DataFrame, codes: DataFrame, industry: str, code_name: str,
-                         code: str = "class_code") -> DataFrame:
+                         code: str = "class_code", many: bool = False) -> DataFrame:
     """Codes of a company's industry by text key; several codes give several rows.
 
     The code list is left to the optimizer to broadcast: it is small where it
     is a code list, and a hash join serves where it is not.
+
+    ``many``: for industries with many codes.  The rows that come out are the companies of an industry times its codes; they,
+    and not the rows that go in, tell over how many tasks an industry is spread.  Each side is made once and read by the
+    counts and the join.
     """
     lookup = codes.select(text_key(code_name).alias("_key"), code)
-    return companies.withColumn("_key", text_key(industry)).join(lookup, "_key", "left").drop("_key")
+    keyed = companies.withColumn("_key", text_key(industry))
+    if not many:
+        return keyed.join(lookup, "_key", "left").drop("_key")
+    lookup, keyed = shared(lookup), shared(keyed)
+    held = lookup.groupBy("_key").agg(F.count(F.lit(1)).alias("_codes"))
+    made = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_companies")).join(held, "_key").select(
+        "_key", (F.col("_companies") * F.col("_codes")).alias("_rows"))
+    return join_split(keyed, lookup, "_key", "left", sizes=made, rows_per_task=JOINED_ROWS, hint="merge").drop("_key")
+
+
+def code_presence(codes: DataFrame, code_name: str, code: str = "class_code") -> DataFrame:
+    """The code list cut to what tells the companies without a code: every entry without one, and one entry with a code for
+    each text key that has any.  Attached to it, a company has a row for each null it would have, and one more at most."""
+    named = codes.filter(F.col(code).isNotNull()).groupBy(text_key(code_name).alias("_key")).agg(
+        F.min_by(code_name, code).alias(code_name), F.min(code).alias(code))
+    return codes.filter(F.col(code).isNull()).select(code_name, code).unionByName(named.drop("_key"))
 
 
 def unmatched(companies: DataFrame, columns: Sequence[str], code: str = "class_code") -> DataFrame:

@@ -1,10 +1,12 @@
 """A hot target: its rows are split over tasks, and the results stay right."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from peerglass.operators import refdata as ref
 from peerglass.operators import screening as S
 from peerglass.operators import similarity as sim
 from peerglass.operators.distributed import join_split, split_hot_keys
@@ -129,3 +131,25 @@ def test_first_of_a_hot_code(small_partitions):
     want = {t: min(x for x in range(20_000) if x % 3 == t and x % 2 == 0 and x % 5 > 0) for t in range(3)}
     assert firsts == set(want.items())
     assert marked.filter("dec_passed and code <> 'A00001'").count() == sum(1 for x in range(20_000) if x % 2 and x % 5)
+
+
+def test_industry_with_many_codes_is_spread_by_the_rows_it_makes(spark, monkeypatch):
+    monkeypatch.setattr(ref, "JOINED_ROWS", 1000)
+    companies = spark.range(200).select(F.col("id").alias("c"), F.when(F.col("id") < 190, F.lit("hot, one")).alias("industry"))
+    codes = spark.range(50).select(F.lit("hot one").alias("industry_name"), F.col("id").cast("string").alias("class_code"))
+    rows = ref.attach_industry_code(companies, codes, "industry", "industry_name", many=True).withColumn("task", F.spark_partition_id())
+    kept = rows.collect()
+    assert len(kept) == 190 * 50 + 10 and len({(r.c, r.class_code) for r in kept}) == 9510
+    made = Counter(r.task for r in kept)
+    assert len(made) == 4 and max(made.values()) < 0.6 * len(kept)
+
+
+def test_companies_without_code_are_told_without_the_rows_of_all_codes(spark):
+    companies = spark.createDataFrame([(1, "a"), (2, "b"), (3, "x"), (4, None), (1, "a")], "c int, industry string")
+    listed = [("a", str(i)) for i in range(40)] + [("b", None), ("b,", None), ("b", "7"), ("차체,나", "1"), (None, "9")]
+    codes = spark.createDataFrame(listed, "industry_name string, class_code string")
+    cut = ref.code_presence(codes, "industry_name")
+    assert cut.count() == 6
+    plain = ref.unmatched(ref.attach_industry_code(companies, codes, "industry", "industry_name"), ["c"])
+    short = ref.unmatched(ref.attach_industry_code(companies, cut, "industry", "industry_name"), ["c"])
+    assert sorted(r.c for r in short.collect()) == sorted(r.c for r in plain.collect()) == [2, 2, 3]
