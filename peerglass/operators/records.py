@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, NullType, StructField, StructType, VariantType
 
 from peerglass import fixed_values as V
 from peerglass.functions.text import as_col, let
@@ -323,9 +324,58 @@ def _walk(value: Column, node: _Node, in_list: bool = False) -> Column:
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _shape(node: _Node) -> DataType:
+    """Type that takes a value apart along the rules below it, down to values that are read by themselves."""
+    if node.fields and not node.items and not node.rule:
+        return StructType([StructField(name, _shape(below)) for name, below in node.fields.items()])
+    if node.items and not node.fields:
+        return ArrayType(_shape(node.items))
+    return VariantType() if not node.fields and not node.items else NullType()
+
+
+def _can_shape(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_can_shape(field.dataType) for field in kind)
+    # a list within a list would hide which of its items is none
+    return isinstance(kind.elementType, StructType) and all(
+        isinstance(f.dataType, VariantType) for f in kind.elementType) if isinstance(kind, ArrayType) else isinstance(kind, VariantType)
+
+
+def _shaped_faults(value: Column, node: _Node, doc: Column, path: str = "$") -> Column:
+    """``_walk`` over a value that was taken apart: the same faults in the same places."""
+    if node.items:
+        none = F.array(*[F.lit(None).cast("string")] * node.items.size())
+        right = lambda item: reduce(Column.__and__, [
+            F.coalesce(F.schema_of_variant(item[name]) == below.rule.kind, F.lit(False)) for name, below in node.items.fields.items()])
+        faults = lambda item: F.array(*[_fault(item[name], below.rule) for name, below in node.items.fields.items()])
+        # items are looked through one by one only where one is not plainly right
+        first = F.when(F.exists(value, lambda item: ~right(item)), F.aggregate(
+            value, none, lambda found, item: F.zip_with(found, faults(item), lambda old, new: F.coalesce(old, new))))
+        parts = [F.coalesce(first, none)]
+        if node.rule:  # what is no list here may be a missing one, a null or another value
+            length = node.rule.exact_len
+            good = value.isNotNull() if length is None else F.size(value) == length
+            whole = _fault(F.try_variant_get(doc, path, "variant"), node.rule)
+            parts.insert(0, F.array(F.when(~F.coalesce(good, F.lit(False)), whole)))
+    elif node.fields:
+        parts = [_shaped_faults(value[name], below, doc, f"{path}.{name}") for name, below in node.fields.items()]
+    else:
+        parts = [F.array(_fault(value, node.rule))]
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
 def violations(doc: Column, spec: Sequence[Field]) -> Column:
-    """Broken rules of a document (variant column), in order of their paths' first mention; of a list its first faulty item counts."""
-    return F.array_compact(_walk(doc, rule_tree(spec)))
+    """Broken rules of a document (variant column), in order of their paths' first mention; of a list its first faulty item counts.
+
+    Where the rules ask for objects, lists of flat objects and single values, a document is taken apart in one pass; other rules
+    are walked value by value.
+    """
+    tree = rule_tree(spec)
+    shape = _shape(tree)
+    if not tree.fields or not _can_shape(shape):
+        return F.array_compact(_walk(doc, tree))
+    return F.array_compact(let(F.struct(doc.alias("doc"), F.try_variant_get(doc, "$", shape.simpleString()).alias("read")),
+                               lambda s: _shaped_faults(s["read"], tree, s["doc"])))
 
 
 def schema_violations(docs: DataFrame, json: str, spec: Sequence[Field]) -> DataFrame:

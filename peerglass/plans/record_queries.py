@@ -11,6 +11,7 @@ from peerglass.operators import records as R
 from peerglass.operators import refdata as ref
 from peerglass.operators import reporting as rep
 from peerglass.operators import similarity as sim
+from peerglass.operators.distributed import dealt
 from peerglass.plans import views as vw
 from peerglass.plans.registry import query
 from peerglass.plans.screening_queries import PAIRS_SQL, label_pairs
@@ -526,7 +527,7 @@ def _expected_fault(spec) -> str:
 def section_schemas(t):
     """The five section schemas, each over a document of every event with at most one fault."""
     docs = {name: F.parse_json(vw.section_document(spec, F.col("event_id"))) for name, spec in SECTIONS.items()}
-    parsed = t.events.select("event_id", *[doc.alias(f"{name}_doc") for name, doc in docs.items()])
+    parsed = dealt(t.events.select("event_id")).select("event_id", *[doc.alias(f"{name}_doc") for name, doc in docs.items()])
     found = [F.array_join(R.violations(F.col(f"{name}_doc"), spec), ",").alias(name) for name, spec in SECTIONS.items()]
     return parsed.select("event_id", *found)
 

@@ -3,7 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from peerglass.operators import records as R
 from peerglass.plans import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -51,3 +53,19 @@ def test_only_bounded_lists_are_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
+
+
+@pytest.mark.parametrize("name", ["listing_metrics", "section_schemas"])
+def test_rows_of_small_files_are_dealt_before_costly_steps(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "RoundRobinPartitioning" in plan
+
+
+def test_faults_of_documents_taken_apart(spark):
+    values = ['"x"', "5", "null", "[]", "{}", "[5, null]", '[{"a": "x"}, {"a": null}]', '[{"a": "x"}, {"b": 1}]', '[{"a": "x", "b": "y"}]',
+              '[{"a": 1, "b": null}, {"b": "z"}]']
+    texts = [f'{{"o": {{"l": {v}, "s": {w}}}, "t": {w}}}' for v in values for w in values] + ["{}", "[]", "null", '{"o": 5}', '{"o": null}']
+    spec = [R.Field("o.s"), R.Field("o.l", "ARRAY", exact_len=2), R.Field("o.l[].a"), R.Field("o.l[].b", nullable=True), R.Field("t", "ARRAY")]
+    docs = spark.createDataFrame([(t,) for t in texts], "j string").select(F.parse_json("j").alias("d"))
+    both = docs.select(R.violations(F.col("d"), spec).alias("a"), F.array_compact(R._walk(F.col("d"), R.rule_tree(spec))).alias("b")).collect()
+    assert len(both) == 105 and all(r.a == r.b for r in both)
