@@ -120,11 +120,7 @@ def first_token_value(value: Column, table, default) -> Column:
 
 def first_present(*values: Column | str, marks: Sequence[str] = tuple(V.PAGE_NA_MARKS)) -> Column:
     """First value that is neither null, blank nor one of the no-value marks."""
-    kept = []
-    for value in values:
-        c = clean_text(value)
-        kept.append(F.when((c != "") & ~c.isin(*marks), c))
-    return F.coalesce(*kept)
+    return F.coalesce(*[let(clean_text(value), lambda c: F.when((c != "") & ~c.isin(*marks), c)) for value in values])
 
 
 def file_stem(value: Column | str) -> Column:

@@ -135,22 +135,24 @@ def element(html: Column | str, tag: str, *marks: str) -> Column:
     The rest of the page is split at the closing tags; the element ends at the first one before which as many were closed as
     opened.
     """
-    def content(rest: Column) -> Column:
-        parts = F.split(rest, rf"(?i)</{tag}\s*>", -1)
-        opened = F.transform(parts, lambda part: F.size(F.regexp_extract_all(part, F.lit(rf"(?i)<{tag}\b"), F.lit(0))))
+    def content(parts: Column) -> Column:
         state = F.struct(F.lit(0).alias("at"), F.lit(0).alias("open"), F.lit(0).alias("end"))
 
-        def step(s: Column, n: Column) -> Column:
-            ends = (s["end"] == 0) & (s["open"] + n == s["at"])
-            return F.struct((s["at"] + 1).alias("at"), (s["open"] + n).alias("open"),
-                            F.when(ends, s["at"] + 1).otherwise(s["end"]).alias("end"))
+        def step(s: Column, part: Column) -> Column:
+            def after(opened: Column) -> Column:
+                return F.struct((s["at"] + 1).alias("at"), opened.alias("open"),
+                                F.when(opened == s["at"], s["at"] + 1).otherwise(0).alias("end"))
+
+            # behind the end nothing is looked at
+            return F.when(s["end"] > 0, s).otherwise(let(s["open"] + F.regexp_count(part, F.lit(rf"(?i)<{tag}\b")), after))
 
         def cut(end: Column) -> Column:
             return F.array_join(F.slice(parts, F.lit(1), F.when(end > 0, end).otherwise(F.size(parts))), f"</{tag}>")
 
-        return let(F.aggregate(opened, state, step)["end"], cut)
+        return let(F.aggregate(parts, state, step)["end"], cut)
 
-    return let(F.try_element_at(F.split(as_col(html), opening(tag, *marks), 2), F.lit(2)), content)
+    rest = F.try_element_at(F.split(as_col(html), opening(tag, *marks), 2), F.lit(2))
+    return let(F.split(rest, rf"(?i)</{tag}\s*>", -1), content)
 
 
 def table_rows(table: Column, body_only: bool = False) -> Column:

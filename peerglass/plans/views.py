@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from peerglass.operators.distributed import dealt
 from peerglass.plans.registry import Tables
 
 INCOME_PERIOD = "2000.12"
@@ -171,7 +172,10 @@ def json_sections(t: Tables) -> DataFrame:
 
 
 def section_document(spec, number: Column) -> Column:
-    """JSON text of a section in which at most one rule is broken: rule and damage follow from the number."""
+    """JSON text of a section in which at most one rule is broken: rule and damage follow from the number.
+
+    The texts are as many as rules and damages, so they are made with the plan and picked in the row.
+    """
     picked, damage = F.pmod(number, F.lit(len(spec))), F.pmod(F.floor(number / len(spec)), F.lit(4))
 
     def tree(paths):
@@ -181,26 +185,33 @@ def section_document(spec, number: Column) -> Column:
             heads.setdefault(head.removesuffix("[]"), []).append((("[]." if head.endswith("[]") else "") + rest, place, field))
         return heads
 
-    def members(paths) -> Column:
-        """'"name": value' texts of an object, joined."""
-        return F.array_join(F.array_compact(F.array(*[member(name, below) for name, below in tree(paths).items()])), ", ")
-
-    def member(name: str, below) -> Column:
-        own = next(((place, field) for rest, place, field in below if rest == ""), None)
-        items = [(rest.removeprefix("[]."), place, field) for rest, place, field in below if rest.startswith("[].")]
-        inner = [b for b in below if b[0] and not b[0].startswith("[].")]
-        if inner:
-            return F.concat(F.lit(f'"{name}": {{'), members(inner), F.lit("}"))
-        if items:
-            value = F.concat(F.lit("["), F.array_join(F.array_repeat(F.concat(F.lit("{"), members(items), F.lit("}")), 3), ", "), F.lit("]"))
-        else:
-            value = F.lit('["a", "b", "c"]' if own[1].kind == "ARRAY" else '"text"')
-        hit = (picked == own[0]) & (damage > 0)
-        wrong = F.lit('"x"' if own[1].kind == "ARRAY" else "5")
-        value = F.when(hit & (damage == 2), F.lit("null")).when(hit & (damage == 3), wrong).otherwise(value)
-        return F.when(~(hit & (damage == 1)), F.concat(F.lit(f'"{name}": '), value))
-
-    return F.concat(F.lit("{"), members([(f.path, place, f) for place, f in enumerate(spec)]), F.lit("}"))
+    def text(hit: int | None, harm: int) -> str:
+        """Text with one rule broken; without a number no rule holds, and nothing stands where one would."""
+        def members(paths) -> str:
+            """'"name": value' texts of an object, joined."""
+            found = [member(name, below) for name, below in tree(paths).items()]
+            return ", ".join(m for m in found if m is not None)
+
+        def member(name: str, below) -> str | None:
+            own = next(((place, field) for rest, place, field in below if rest == ""), None)
+            items = [(rest.removeprefix("[]."), place, field) for rest, place, field in below if rest.startswith("[].")]
+            inner = [b for b in below if b[0] and not b[0].startswith("[].")]
+            if inner:
+                return f'"{name}": {{{members(inner)}}}'
+            if hit is None:
+                return None
+            listed = own[1].kind == "ARRAY"
+            value = f"[{', '.join([f'{{{members(items)}}}'] * 3)}]" if items else '["a", "b", "c"]' if listed else '"text"'
+            broken = hit == own[0]
+            if broken and harm == 1:
+                return None
+            return f'"{name}": ' + ({2: "null", 3: '"x"' if listed else "5"}.get(harm, value) if broken else value)
+
+        return f"{{{members([(f.path, place, f) for place, f in enumerate(spec)])}}}"
+
+    texts = [text(hit, harm) for harm in range(4) for hit in range(len(spec))] + [text(None, 0)]
+    at = F.coalesce(damage * len(spec) + picked, F.lit(len(texts) - 1)).cast("int")
+    return F.element_at(F.array(*[F.lit(t) for t in texts]), at + 1)
 
 
 def funding_rounds(t: Tables) -> DataFrame:
@@ -280,7 +291,8 @@ def listing_pages(t: Tables) -> DataFrame:
                 '<table class="x gHead03"><tbody><tr><th>매출</th><td>5</td></tr>',
                 F.when(n % 3 == 0, text("<tr><th>ev / ebitda</th><td>1</td></tr><tr><th>Ev/Ebitda<br></th><td> ", ev, "</td><td>6</td></tr>"))
                 .when(n % 3 == 1, F.lit("<tr><th>EV/EBITDA</th><td>N/A</td></tr>")).otherwise(F.lit("")), "</tbody></table></div>")
-    return t.customer.select(n.alias("company_id"), html.alias("html"), fund.alias("fundamentals"))
+    rows = dealt(t.customer.select("c_custkey", "c_name"))
+    return rows.select(n.alias("company_id"), html.alias("html"), fund.alias("fundamentals"))
 
 
 # --- SQL twins --------------------------------------------------------------
