@@ -11,7 +11,7 @@ from peerglass import fixed_values as V
 from peerglass.functions.dates import listed_days, listed_years, parse_listing_date
 from peerglass.functions.numbers import pad_code
 from peerglass.functions.text import strip, text_key
-from peerglass.operators.distributed import forward_fill, join_split, shared
+from peerglass.operators.distributed import forward_fill, shared, split_hot_keys
 
 #: Joined rows of one industry that one task makes.
 JOINED_ROWS = 10_000_000
@@ -50,7 +50,11 @@ def attach_industry_code(companies: DataFrame, codes: DataFrame, industry: str,
     held = lookup.groupBy("_key").agg(F.count(F.lit(1)).alias("_codes"))
     made = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_companies")).join(held, "_key").select(
         "_key", (F.col("_companies") * F.col("_codes")).alias("_rows"))
-    return join_split(keyed, lookup, "_key", "left", sizes=made, rows_per_task=JOINED_ROWS, hint="merge").drop("_key")
+    salted, repeat = split_hot_keys(keyed, made, "_key", "_rows", rows_per_task=JOINED_ROWS)
+    # repeated codes are more than the optimizer takes them for, so they are not left to it to broadcast, and the tasks are as
+    # many as asked for, though what they read is little
+    salted = salted.repartition(int(salted.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_key", "_salt")
+    return salted.join(repeat(lookup).hint("merge"), ["_key", "_salt"], "left").drop("_key", "_salt")
 
 
 def code_presence(codes: DataFrame, code_name: str, code: str = "class_code") -> DataFrame:
