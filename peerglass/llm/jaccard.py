@@ -12,9 +12,12 @@ everything below, and a set leaves a subtree as soon as what remains of either c
 are linked already are not compared again, so a branch of near copies costs about as much as one walk of one of them.
 
 Spark deals the work out.  Sets that hang together by branches are a family; one of at most ``BLOCK`` sets is one tree, and each set is
-shipped once.  The branches of larger families are walked one by one, those with sets of different groups only; branches
-beyond ``BLOCK`` sets are dealt out in blocks: first all blocks share some sets, later the sets outside the branch's
-largest group visit every block.  Groups are connected components, found by joins on (class, class) rows.
+shipped once.  The branches of larger families are walked one by one, those with sets of different groups only.  A branch
+beyond ``BLOCK`` sets is dealt out in blocks at first, which all share some sets.  Later the sets that hang together by such branches
+are a pool: two of them meet once in it and not in every branch they share.  A pool is dealt into blocks by size, of ``BLOCK`` sets or
+less where they are long, and only blocks meet whose sizes allow a link.  That is exact, and a walk's memory is bounded; the number
+of meetings still grows with the square of the sets of like size in a pool.  Groups are connected components, found by joins on
+(class, class) rows.
 
 Defined cases: texts without words or null have an empty set and no link; with fewer than five words all words are the one
 shingle; repeated rows are equal sets; a null id is kept as a row, and is not a group's smallest id unless alone; an empty table
@@ -35,6 +38,8 @@ from peerglass.llm import wordhash
 from peerglass.llm.scratch import Scratch
 
 SHINGLE, ORDERS, AGREE, BLOCK, SHARED = 5, 32, 6, 1500, 24
+#: A set of so many shingles counts as one more set of its block.
+LONG = 1000
 #: Sets of long texts are large, so few of them travel in one Arrow batch.
 ROWS_A_BATCH = "1000"
 
@@ -121,9 +126,12 @@ class _Groups:
         self.of[self.of == high] = low
 
 
-def tree_links(sets: list[np.ndarray], groups: np.ndarray, share: float = 0.75, step: int = 32) -> list[tuple[int, int]]:
+def tree_links(sets: list[np.ndarray], groups: np.ndarray, share: float = 0.75, step: int = 32,
+               sides: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links (i, j) that join sets of different groups; together with the groups they connect all similar sets.
 
+    With ``sides`` only sets of different sides are compared.
+
     ``sets`` are arrays in one global order.  The tree is the sorted list of sets: neighbours share a path as far as
     their arrays agree, and the overlaps counted along it are kept on a stack, at every ``step``-th shingle.
     """
@@ -153,7 +161,10 @@ def tree_links(sets: list[np.ndarray], groups: np.ndarray, share: float = 0.75,
         overlap, at, size = stack[-1].copy(), (len(stack) - 1) * step, len(path)
         # J >= share  <=>  overlap >= share / (1 + share) * (sizes together)
         need = np.ceil(share / (1 + share) * (sizes + size) - 1e-9)
-        alive = ahead & (merged.of != merged.of[i]) & (overlap + (size - at) >= need) & (np.minimum(sizes, size) >= need)
+        alive = ahead & (merged.of != merged.of[i])
+        if sides is not None:
+            alive &= sides != sides[i]
+        alive &= (overlap + (size - at) >= need) & (np.minimum(sizes, size) >= need)
         while at < size and alive.any():
             part = path[at:at + step]
             runs = stops[part] - begins[part]
@@ -181,7 +192,8 @@ def _branch_links(share: float):
         _, groups = np.unique([row["grp"] for row in rows], return_inverse=True)
         if len(sets) < 2 or not groups.any():
             return []
-        return [(rows[i]["cls"], rows[j]["cls"]) for i, j in tree_links(sets, groups, share)]
+        sides = np.array([row["side"] for row in rows])
+        return [(rows[i]["cls"], rows[j]["cls"]) for i, j in tree_links(sets, groups, share, sides=sides if sides.any() else None)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         branch, held = None, []
@@ -276,11 +288,11 @@ def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float)
             # one walk for each family
             families = scratch.cut(_families(members, scratch), "families")
             placed = members.select("cls", "grp").distinct().join(families.where("many <= " + str(BLOCK)), "cls") \
-                .select("cls", "grp", F.lit(0).alias("tree"), F.col("family").alias("root"), F.lit(0).alias("block"))
+                .select("cls", "grp", F.lit(0).alias("tree"), F.col("family").alias("root"), F.lit(0).alias("block"), F.lit(0).alias("side"))
             members = members.join(families.where("many > " + str(BLOCK)).select("cls"), "cls", "left_semi")
         else:
             part = members.where((F.col("tree") >= trees[0]) & (F.col("tree") < trees[1]))
-            placed = _placed(part, opening=step == 1)
+            placed = _opening(part) if step == 1 else _placed(part, sets, scratch, share)
         found = scratch.cut(_linked(placed, sets, share))
         links = found if links is None else links.union(found)
         groups = connected(links, scratch, f"groups-{step}")
@@ -316,22 +328,47 @@ def _families(members: DataFrame, scratch: Scratch) -> DataFrame:
     return families.join(families.groupBy("family").agg(F.count("*").alias("many")), "family").select("cls", "family", "many")
 
 
-def _placed(members: DataFrame, opening: bool) -> DataFrame:
-    """Members with the blocks of their branches that they visit."""
-    branches = members.groupBy("tree", "root").agg(F.count("*").alias("total"), F.min("grp").alias("main"), F.max("grp").alias("high")) \
-        .where("main <> high").drop("high").withColumn("blocks", F.ceil(F.col("total") / BLOCK).cast("int"))
-    if not opening:
-        # the group with most sets stays in blocks, all others visit every block
-        sizes = members.join(branches.where("blocks > 1").select("tree", "root"), ["tree", "root"]) \
-            .groupBy("tree", "root", "grp").agg(F.count("*").alias("many"))
-        largest = sizes.groupBy("tree", "root").agg(F.max(F.struct("many", "grp"))["grp"].alias("largest"))
-        branches = branches.join(largest, ["tree", "root"], "left").withColumn("main", F.coalesce("largest", "main")).drop("largest")
-    placed = members.join(branches, ["tree", "root"])
-    own = F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")).cast("int")
-    # at first some sets are shared by all blocks
-    visits = F.pmod(F.xxhash64("cls"), F.col("total")) < SHARED if opening else F.col("grp") != F.col("main")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    return placed.select("cls", "tree", "root", "grp", F.explode(F.when(visits, every).otherwise(F.array(own))).alias("block"))
+def _with_totals(members: DataFrame) -> DataFrame:
+    """Members of branches with more than one group, with the branch's number of sets."""
+    totals = members.groupBy("tree", "root").agg(F.count("*").alias("total"), F.min("grp").alias("low"), F.max("grp").alias("high"))
+    return members.join(totals.where("low <> high").select("tree", "root", "total"), ["tree", "root"])
+
+
+def _opening(members: DataFrame) -> DataFrame:
+    """Members with the blocks of their branches that they visit; some sets are shared by all blocks."""
+    blocks = F.ceil(F.col("total") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("cls", F.lit("block")), blocks).cast("int")
+    visits = F.when(F.pmod(F.xxhash64("cls"), F.col("total")) < SHARED, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array(own))
+    return _with_totals(members).select("cls", "tree", "root", "grp", F.explode(visits).alias("block"), F.lit(0).alias("side"))
+
+
+def _placed(members: DataFrame, sets: DataFrame, scratch: Scratch, share: float) -> DataFrame:
+    """Members with the branches, or the meetings of their pool, in which they are compared with all that may link with them."""
+    members = _with_totals(members)
+    placed = members.where(F.col("total") <= BLOCK).select("cls", "tree", "root", "grp", F.lit(0).alias("block"), F.lit(0).alias("side"))
+    crowd = scratch.cut(members.where(F.col("total") > BLOCK), "crowd")
+    return placed if crowd.isEmpty() else placed.unionByName(_pools(crowd, sets, scratch, share))
+
+
+def _pools(crowd: DataFrame, sets: DataFrame, scratch: Scratch, share: float) -> DataFrame:
+    """Members of crowded branches with the meetings of their pool's blocks; in a meeting of two blocks each is a side."""
+    pooled = _families(crowd, scratch).join(crowd.select("cls", "grp").distinct(), "cls") \
+        .join(sets.select("cls", (F.length("grams") / 8).cast("long").alias("n")).distinct(), "cls") \
+        .select("cls", "grp", "family", "n")
+    # blocks in order of size, without sorting sets: a set's place follows from how many are of which size
+    sizes = pooled.groupBy("family", "n").agg(F.count("*").alias("many")).withColumn("weight", 1 + F.col("n") / LONG)
+    before = F.sum(F.col("many") * F.col("weight")).over(Window.partitionBy("family").orderBy("n")) - F.col("many") * F.col("weight")
+    place = F.col("before") + F.pmod(F.xxhash64("cls", F.lit("block")), F.col("many")) * F.col("weight")
+    dealt = scratch.cut(pooled.join(sizes.withColumn("before", before), ["family", "n"])
+                        .select("cls", "grp", "family", "n", F.floor(place / BLOCK).cast("int").alias("own")), "pooled")
+    blocks = dealt.groupBy("family", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    small = blocks.toDF("family", "a", "a_low", "a_high")
+    large = blocks.toDF("l_family", "b", "b_low", "b_high")
+    meet = (F.col("family") == F.col("l_family")) & (F.col("a") <= F.col("b")) & (F.col("a_high") >= share * F.col("b_low"))
+    pairs = small.join(large, meet).select("family", "a", "b", F.xxhash64("a", "b").alias("block"))
+    visits = pairs.select("family", F.col("a").alias("own"), "block", F.when(F.col("a") < F.col("b"), 1).otherwise(0).alias("side")) \
+        .union(pairs.where("a < b").select("family", "b", "block", F.lit(2)))
+    return dealt.join(visits, ["family", "own"]).select("cls", F.lit(0).alias("tree"), F.col("family").alias("root"), "grp", "block", "side")
 
 
 def _linked(placed: DataFrame, sets: DataFrame, share: float) -> DataFrame:

@@ -1,11 +1,17 @@
 """Spans of the methods that reach beyond a base span."""
 
+import sys
 import time
+from collections import Counter
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from peerglass.llm import jaccard, licenses, mixing, pii, secrets
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+import brute  # noqa: E402
+
+from peerglass.llm import jaccard, licenses, mixing, pii, secrets  # noqa: E402
 
 
 def test_a_random_token_that_holds_hex_digits_is_redacted_whole(spark):
@@ -61,3 +67,16 @@ def test_one_hot_source_moves_no_text(spark, monkeypatch):
     rows = sorted(map(tuple, few.collect()))
     monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
     assert sorted(map(tuple, mixing.mix(docs, keep=["doc_id"]).collect())) == rows
+
+
+def test_sets_of_a_common_passage_meet_once_and_not_in_every_branch(spark, monkeypatch):
+    """A passage in all texts: what is shipped to the walks stays a few rows for each text, and no link is lost."""
+    monkeypatch.setattr(jaccard, "BLOCK", 40)
+    passage = " ".join(f"p{n}" for n in range(60))
+    own = [(40 + 3 * i, i // 2 if i % 10 < 2 else i) for i in range(80)]  # some pairs with nearly the same own words
+    rows = [(i, f"{passage} " + " ".join(f"w{name}-{n}" for n in range(length))) for i, (length, name) in enumerate(own)]
+    shipped, linked = [], jaccard._linked
+    monkeypatch.setattr(jaccard, "_linked", lambda placed, *rest: shipped.append(placed.count()) or linked(placed, *rest))
+    groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
+    assert max(shipped) <= 10 * len(rows)
