@@ -78,16 +78,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "
     items = benchmark.select(F.col(item_id).cast("string").alias("_item"), F.col(item_text).alias("_text")) \
         .where(F.col("_text").isNotNull())
 
-    long_items = with_windows(items, "_text").where(F.size("_run") > 0)
-    lows = long_items.select(F.explode("_low").alias("low")).distinct()
-    runs = long_items.select(F.explode("_run").alias("run"), F.lit(WINDOW).alias("length"), "_item")
+    # A condition on _run or _low, also one that Spark infers from a plain explode, would be pushed below the steps that make them and
+    # hold the words some thousand times.  So it stands on the words, and what is exploded is no plain column.
+    long_items = with_windows(items.where(F.size(tx.tokens(F.col("_text"))) >= WINDOW), "_text")
+    lows = long_items.select(F.explode(F.array_distinct("_low")).alias("low")).distinct()
+    runs = long_items.select(F.explode(F.array_distinct("_run")).alias("run"), F.lit(WINDOW).alias("length"), "_item")
 
     fingerprints = with_windows(docs, "_text").select("_id", "_key", F.explode(F.array_distinct("_low")).alias("low"))
     hit = fingerprints.join(lows, "low", "left_semi").select("_id", "_key").distinct()
     again = docs.join(hit, docs["_key"].eqNullSafe(hit["_key"]) & docs["_id"].eqNullSafe(hit["_id"]), "left_semi") \
         .dropDuplicates(["_id", "_key"])
-    places = with_windows(again, "_text").select("_id", "_key", F.posexplode("_run").alias("at", "run")) \
-        .withColumn("length", F.lit(WINDOW))
+    placed = F.transform("_run", lambda run, at: F.struct(at.alias("at"), run.alias("run")))
+    places = with_windows(again, "_text").select("_id", "_key", F.explode(placed).alias("place")) \
+        .select("_id", "_key", "place.at", "place.run").withColumn("length", F.lit(WINDOW))
 
     # Which lengths below a full run occur: at most twelve numbers.
     words = tx.tokens(F.col("_text"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 
-from peerglass.llm import jaccard, licenses, mixing, pii, secrets  # noqa: E402
+from peerglass.llm import decontaminate, jaccard, licenses, mixing, pii, secrets  # noqa: E402
 
 
 def test_a_random_token_that_holds_hex_digits_is_redacted_whole(spark):
@@ -80,3 +80,23 @@ def test_sets_of_a_common_passage_meet_once_and_not_in_every_branch(spark, monke
     groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
     assert max(shipped) <= 10 * len(rows)
+
+
+def test_the_plan_of_decontamination_holds_the_words_few_times(spark):
+    """A condition on windows, pushed below the steps that make them, held the words more than a thousand times."""
+    words = [f"w{n}" for n in range(40)]
+    docs = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(words[:12])), (2, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([("a", " ".join(words[5:18])), ("b", " ".join(words[:12])), ("c", None), ("d", "")],
+                                  "item_id string, text string")
+    found = decontaminate.find_contamination(docs, bench)
+    rows = {r["_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in found.collect()}
+    assert rows == {0: (40, 18, ["a", "b"]), 1: (12, 12, ["b"]), 2: (0, 0, [])}
+    for frame in (found, decontaminate.drop_contaminated(docs, bench)):
+        plan = frame._jdf.queryExecution().optimizedPlan()
+        filters = [node.expressions().toString() for node in _nodes(plan) if node.nodeName() == "Filter"]
+        assert filters and max(text.count("zip_with") for text in filters) <= 8 and max(text.count("regexp_extract_all") for text in filters) <= 8
+
+
+def _nodes(plan):
+    below = plan.children()
+    return [plan, *[node for i in range(below.size()) for node in _nodes(below.apply(i))]]
