@@ -184,16 +184,20 @@ def tree_links(sets: list[np.ndarray], groups: np.ndarray, share: float = 0.75,
 
 
 def _branch_links(share: float):
-    """Links inside the branches of a partition, whose rows come sorted by branch."""
+    """Links inside the branches of a partition, whose rows come sorted by branch: groups that a branch joins, to the smallest of them."""
     def links(branch: tuple, rows: list[dict]) -> list[tuple[int, int]]:
         order = branch[0]
         rows = list({row["cls"]: row for row in rows}.values())
         sets = [np.sort(_reordered(np.frombuffer(row["grams"], np.uint64), order)) for row in rows]
-        _, groups = np.unique([row["grp"] for row in rows], return_inverse=True)
+        names, groups = np.unique([row["grp"] for row in rows], return_inverse=True)
         if len(sets) < 2 or not groups.any():
             return []
         sides = np.array([row["side"] for row in rows])
-        return [(rows[i]["cls"], rows[j]["cls"]) for i, j in tree_links(sets, groups, share, sides=sides if sides.any() else None)]
+        merged = _Groups(groups)
+        for i, j in tree_links(sets, groups, share, sides=sides if sides.any() else None):
+            merged.join(i, j)
+        moved = np.unique(np.stack([groups, merged.of])[:, groups != merged.of], axis=1)
+        return list(zip(*names[moved].tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         branch, held = None, []
@@ -220,28 +224,28 @@ def connected(links: DataFrame, scratch: Scratch, key: str) -> DataFrame:
     """(cls, grp) of all ends of links (a, b): grp is the smallest class that links reach.
 
     Large and small stars in turn: neighbours above a node are pointed at its smallest neighbour, then those below it,
-    until nothing changes.  Rows stay as many as there are links.  The smallest neighbours are a written table, as the
-    engine splits the rows of a hot node only where the other side of the join is no aggregate of the same step.
+    until every node has one neighbour below it or some above it.  Rows stay as many as there are links.  The smallest neighbours
+    are a written table, as the engine splits the rows of a hot node only where the other side of the join is no aggregate of the same
+    step.  It also tells whether all are stars, and is then the result.
     """
     edges = scratch.cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
                         f"{key}-first")
-    mark = lambda frame: frame.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-    before, turn = mark(edges), 0
+    turn = 0
     while True:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{key}-low")
-        large = scratch.cut(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(),
-                            f"{key}-large")
+        below = F.count_if(F.col("v") < F.col("u"))
+        low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"),
+                                                ((below > 1) | ((below > 0) & (below < F.count("*")))).alias("open")), f"{key}-low")
+        if not low.agg(F.max("open")).first()[0]:
+            break
+        large = scratch.cut(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")), f"{key}-large")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")) \
             .union(least.select("a", "m")).distinct()
         edges = scratch.cut(small, f"{key}-{turn % 2}")
-        after, turn = mark(edges), turn + 1
-        if after == before:
-            break
-        before = after
-    scratch.drop(f"{key}-first", f"{key}-low", f"{key}-large")
-    return edges.toDF("cls", "grp").union(edges.select("b", "b").distinct())
+        turn += 1
+    scratch.drop(f"{key}-first", f"{key}-large", f"{key}-0", f"{key}-1")
+    return low.select(F.col("u").alias("cls"), F.col("m").alias("grp"))
 
 
 def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "text", share: float = 0.75) -> DataFrame:
@@ -276,7 +280,7 @@ def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float)
     sets = scratch.cut(sets)  # an id that repeats may give a set twice; that changes no link
 
     members = scratch.cut(members.join(wanted, "cls", "left_semi"), "members")
-    groups = links = None
+    groups = None
     # Families first: whatever hangs together by branches and is small is joined at once.  What is larger is joined by some trees,
     # and what they leave by all trees.
     for step, trees in enumerate((None, (0, 3), (0, ORDERS))):
@@ -294,8 +298,10 @@ def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float)
             part = members.where((F.col("tree") >= trees[0]) & (F.col("tree") < trees[1]))
             placed = _opening(part) if step == 1 else _placed(part, sets, scratch, share)
         found = scratch.cut(_linked(placed, sets, share))
-        links = found if links is None else links.union(found)
-        groups = connected(links, scratch, f"groups-{step}")
+        if step == 0:  # a family is one walk, so what it found are stars already
+            groups = found.toDF("cls", "grp").union(found.select("b", "b").distinct())
+        else:
+            groups = connected(groups.where("cls <> grp").toDF("a", "b").union(found), scratch, f"groups-{step}")
         members = members.drop("grp")
 
     if groups is None:

@@ -12,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 
 from peerglass.llm import decontaminate, jaccard, licenses, mixing, pii, secrets  # noqa: E402
+from peerglass.llm.scratch import Scratch  # noqa: E402
 
 
 def test_a_random_token_that_holds_hex_digits_is_redacted_whole(spark):
@@ -100,3 +101,18 @@ def test_the_plan_of_decontamination_holds_the_words_few_times(spark):
 def _nodes(plan):
     below = plan.children()
     return [plan, *[node for i in range(below.size()) for node in _nodes(below.apply(i))]]
+
+
+def test_groups_that_are_stars_already_are_not_walked_again(spark, monkeypatch):
+    """Rounds of joins end as soon as all groups are stars, and the families' walks give stars themselves."""
+    scratch = Scratch(spark, "t")
+    stars = [(n, n % 3) for n in range(3, 40)] + [(n, 100) for n in range(101, 120)]
+    found = jaccard.connected(spark.createDataFrame(stars, "a bigint, b bigint"), scratch, "s")
+    assert {tuple(r) for r in found.collect()} == {*stars, (0, 0), (1, 1), (2, 2), (100, 100)}
+    assert scratch.count == 2
+    keys, connected = [], jaccard.connected
+    monkeypatch.setattr(jaccard, "connected", lambda links, scratch, key: keys.append(key) or connected(links, scratch, key))
+    rows = [(i, " ".join(f"w{i // 4}-{n}" for n in range(40 + i % 4))) for i in range(60)]
+    groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
+    assert keys == ["family"]
