@@ -99,7 +99,8 @@ def matrix_cells(rows: DataFrame, matrix: str = "matrix", *, key: str = "company
 
 def overlay_maps(base: Column, later: Column) -> Column:
     """Union of two maps; the later one wins on equal keys."""
-    kept = F.map_filter(base, lambda k, _: ~F.map_contains_key(later, k))
+    names = F.map_keys(later)
+    kept = F.map_filter(base, lambda k, _: ~F.exists(names, lambda name: name == k))
     return F.when(base.isNull(), later).when(later.isNull(), base).otherwise(F.map_concat(kept, later))
 
 
@@ -193,12 +194,15 @@ def _known(value: Column) -> Column:
 
 def normalised_series(value: Column, header: str) -> Column:
     """A chart series with its header row and readable [year, value] rows behind it, as a document value."""
+    head = F.array(F.lit(V.CHART_YEAR).cast("variant"), F.lit(header).cast("variant"))
+
     def rows(series: Column) -> Column:
         pairs = F.transform(series, lambda r: F.array(r["year"].cast("variant"), r["value"].cast("variant")))
-        head = F.array(F.lit(V.CHART_YEAR).cast("variant"), F.lit(header).cast("variant"))
         return F.to_variant_object(F.concat(F.array(head), pairs))
 
-    return let(clean_series(F.coalesce(F.try_variant_get(value, "$", "array<array<string>>"), F.array().cast("array<array<string>>"))), rows)
+    # fewer than two rows are none to clean_series
+    return let(F.try_variant_get(value, "$", "array<array<string>>"),
+               lambda given: F.when(F.size(given) >= 2, let(clean_series(given), rows)).otherwise(F.to_variant_object(F.array(head))))
 
 
 def _patched(base: Column, patch: Column, policy: str | dict, name: str = "") -> Column:
@@ -208,22 +212,26 @@ def _patched(base: Column, patch: Column, policy: str | dict, name: str = "") ->
                 F.struct(F.lit(field).alias("key"), _patched(
                     _known(F.try_element_at(old, F.lit(field))), _known(F.try_element_at(new, F.lit(field))), below, field).alias("value"))
                 for field, below in policy.items()]), lambda e: e["value"].isNotNull()))
-            rest = F.map_filter(old, lambda k, _: ~k.isin(*policy))
+            # inside a lambda, isin and map_contains_key leave their loops by an exception for every key they find
+            rest = F.map_filter(old, lambda k, _: reduce(Column.__and__, [k != field for field in policy]))
             return F.to_variant_object(F.map_concat(rest, made))
 
         both = let(F.struct(_entries(base).alias("b"), _entries(patch).alias("p")), lambda e: merged(e["b"], e["p"]))
         return F.when(base.isNotNull() | patch.isNotNull(), both)
 
-    def chosen(sizes: Column) -> Column:
-        overlaid = F.to_variant_object(overlay_maps(_entries(base), _entries(patch))) if policy == OVERLAY else None
-        value = _chosen(policy, base, patch, sizes["b"], sizes["p"], overlaid)
+    if policy == REPLACE:
+        return _chosen(policy, base, patch, None, None, None)
+    kind = "map<string,variant>" if policy == OVERLAY else "array<variant>"
+    sized = lambda v: F.greatest(F.size(F.try_variant_get(v, "$", kind)), F.lit(0))
+
+    def chosen(e: Column) -> Column:
+        overlaid = let(F.struct(_entries(e["b"]).alias("b"), _entries(e["p"]).alias("p")),
+                       lambda m: F.to_variant_object(overlay_maps(m["b"], m["p"]))) if policy == OVERLAY else None
+        # sizes are counted only where they decide
+        value = F.when(e["p"].isNull(), e["b"]).otherwise(_chosen(policy, e["b"], e["p"], sized(e["b"]), sized(e["p"]), overlaid))
         return normalised_series(value, V.CHART_SERIES.get(name, name)) if policy == SERIES else value
 
-    kind = "map<string,variant>" if policy == OVERLAY else "array<variant>"
-    count = (lambda v: F.size(F.map_keys(F.try_variant_get(v, "$", kind)))) if policy == OVERLAY else (
-        lambda v: F.size(F.try_variant_get(v, "$", kind)))
-    sized = lambda v: F.coalesce(F.greatest(count(v), F.lit(0)), F.lit(0))
-    return let(F.struct(sized(base).alias("b"), sized(patch).alias("p")), chosen)
+    return let(F.struct(base.alias("b"), patch.alias("p")), chosen)
 
 
 def patch_documents(base: DataFrame, patch: DataFrame, policies: dict | None = None, *, key: str = "t", doc: str = "doc") -> DataFrame:

@@ -495,18 +495,23 @@ def patch_documents(t):
         F.struct(F.when(k % 2 == 1, F.concat(F.lit("k"), k.cast("string"))).alias("Valuation_Logic_Detail")).alias(
             "Valuation_and_Judgment")))).alias("doc"))
     done = R.patch_documents(base, patch)
-    get = lambda path, kind: F.try_variant_get("doc", f"$.{path}", kind)
-    stats = "Growth_Potential.Export_and_Contract_Stats"
+    pairs = "array<array<string>>"
+    read = F.try_variant_get("doc", "$", f"""struct<
+        Financial_Status: struct<Investment_History: array<string>>,
+        Growth_Potential: struct<Target_Market_Trends: array<string>, Other: string,
+            Export_and_Contract_Stats: struct<Sales_Graph_Data: {pairs}, Contract_Count_Graph_Data: {pairs}>>,
+        Key_Personnel: struct<CEO_Reference: struct<Name: string, Management_Philosophy: string>>,
+        Valuation_and_Judgment: struct<Valuation_Logic_Detail: string>>""")
+    growth, ceo = F.col("_read.Growth_Potential"), F.col("_read.Key_Personnel.CEO_Reference")
 
     def rows(name):
-        return F.array_join(F.transform(get(f"{stats}.{name}", "array<array<string>>"), lambda r: F.array_join(r, "=")), ",")
-
-    return done.select(
-        "t", F.size(get("Financial_Status.Investment_History", "array<string>")).cast("bigint").alias("n_history"),
-        get("Growth_Potential.Target_Market_Trends[0]", "string").alias("trend"), rows("Sales_Graph_Data").alias("sales"),
-        rows("Contract_Count_Graph_Data").alias("contracts"), get("Key_Personnel.CEO_Reference.Name", "string").alias("ceo"),
-        get("Key_Personnel.CEO_Reference.Management_Philosophy", "string").alias("philosophy"),
-        get("Valuation_and_Judgment.Valuation_Logic_Detail", "string").alias("logic"), get("Growth_Potential.Other", "string").alias("other"))
+        return F.array_join(F.transform(growth["Export_and_Contract_Stats"][name], lambda r: F.array_join(r, "=")), ",")
+
+    return done.select("t", read.alias("_read")).select(
+        "t", F.size("_read.Financial_Status.Investment_History").cast("bigint").alias("n_history"),
+        F.get(growth["Target_Market_Trends"], F.lit(0)).alias("trend"), rows("Sales_Graph_Data").alias("sales"),
+        rows("Contract_Count_Graph_Data").alias("contracts"), ceo["Name"].alias("ceo"), ceo["Management_Philosophy"].alias("philosophy"),
+        F.col("_read.Valuation_and_Judgment.Valuation_Logic_Detail").alias("logic"), growth["Other"].alias("other"))
 
 
 SECTIONS = {"finance": R.FINANCE_FIELDS, "market": R.MARKET_FIELDS, "tech": R.TECH_FIELDS, "personnel": R.PERSONNEL_FIELDS,

@@ -305,3 +305,33 @@ def test_patch_of_nested_documents(spark):
     assert done[2]["Other"] == 2 and done[2]["Financial_Status"] == {"Investment_History": ["only"]}
     assert done[2]["Key_Personnel"] == {"Team_Capability": {"n": 1}}
     assert "Financial_Status" not in done[3] or not done[3]["Financial_Status"]
+
+
+
+def test_patch_documents_reads_no_value_twice(spark):
+    docs = spark.createDataFrame([(1, '{"a": {"x": 1, "y": 2}}')], "t int, j string").select("t", F.parse_json("j").alias("doc"))
+    plan = lambda policies: R.patch_documents(docs, docs, policies)._jdf.queryExecution().optimizedPlan().toString()
+    reads = lambda made, kind: made.count(kind)
+    assert reads(plan({"a": R.OVERLAY}), "MapType(StringType,VariantType,true), false") == 5  # both documents, the patch's size, both sides
+    assert reads(plan({"a": R.SERIES}), "ArrayType(ArrayType(StringType,true),true), false") == 1
+    assert "ArrayType(VariantType,true)" not in plan({"a": R.REPLACE})
+
+
+def test_patch_documents_keeps_odd_values(spark):
+    fields = {"longer": R.LONGER, "empty": R.IF_EMPTY, "series": R.SERIES, "over": R.OVERLAY, "put": R.REPLACE}
+    cases = [  # base, patch, what it becomes; a series is always given with its header
+        ({"longer": "text", "empty": {"a": 1}, "put": None}, {"longer": ["p"], "empty": [1], "put": 2},
+         {"longer": ["p"], "empty": [1], "put": 2}),
+        ({"longer": ["b"], "empty": [0], "over": {"a": None, "b": 1}}, {"longer": "text", "empty": [1], "over": {"a": 2, "c": None}},
+         {"longer": ["b"], "empty": [0], "over": {"a": 2, "b": 1, "c": None}}),
+        ({"over": [1], "series": ["x", "y"]}, {"over": {}, "series": [["2020", "1"]]}, {"over": [1]}),
+        ({"over": [1], "rest": None}, {"over": {"a": 1}, "rest": 1}, {"over": {"a": 1}, "rest": None}),
+        ({"longer": [], "put": [1]}, None, {"longer": [], "put": [1]}),
+    ]
+    rows = [(i, json.dumps({"in": b}), None if p is None else json.dumps({"in": p})) for i, (b, p, _) in enumerate(cases)]
+    made = spark.createDataFrame(rows, "t int, b string, p string")
+    base, patch = made.select("t", F.parse_json("b").alias("doc")), made.select("t", F.parse_json("p").alias("doc"))
+    done = {r.t: json.loads(r.j)["in"] for r in R.patch_documents(base, patch, {"in": fields}).select("t", F.to_json("doc").alias("j")).collect()}
+    for i, (_, _, want) in enumerate(cases):
+        assert done[i].pop("series") == [["Year", "series"]]
+        assert done[i] == want
