@@ -389,6 +389,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
     Rows that repeat id and text are one document.
     """
     kept = similarity_groups(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").withColumn("_text_key", F.xxhash64("text"))
-    same = Window.partitionBy("doc_id", "_text_key").orderBy("doc_id")
+    # in a struct a null equals a null, and rows dealt by it for the join lie together for the window: texts are shuffled once
+    left = docs.withColumn("_at", F.struct("doc_id")).join(kept.select(F.struct("_kept").alias("_kept_at")), F.col("_at") == F.col("_kept_at"), "left_semi")
+    left = left.withColumn("_text_key", F.xxhash64("text"))
+    same = Window.partitionBy("_at", "_text_key").orderBy("_at")
     return left.withColumn("_place", F.row_number().over(same)).where("_place = 1").select(*docs.columns)

@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,17 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
+@contextlib.contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session with a setting that is afterwards what it was."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 class Scratch:
     """Tables of one run.  ``cut`` writes and rereads a table, ``drop`` deletes those that nothing needs any more.
 
@@ -50,10 +62,15 @@ class Scratch:
         atexit.register(self._end)
 
     def cut(self, frame: DataFrame, key: str | None = None) -> DataFrame:
-        """Write the table and read it back; an older table of the same key is deleted afterwards."""
+        """Write the table and read it back; an older table of the same key is deleted afterwards.
+
+        Shuffle files of the write go as soon as it ends, and not when the driver happens to collect its garbage: by then a large
+        table's steps would have left several of them.
+        """
         self.count += 1
         path = f"{self.path}/{self.count}"
-        frame.write.parquet(path)
+        with _setting(self.spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+            frame.write.parquet(path)
         if key is not None:
             self.drop(key)
             self.written[key] = path

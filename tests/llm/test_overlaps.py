@@ -116,3 +116,39 @@ def test_groups_that_are_stars_already_are_not_walked_again(spark, monkeypatch):
     groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
     assert keys == ["family"]
+
+
+def _local_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(files.mkString("\n").split("\n"))
+
+
+def test_shuffle_files_of_a_written_table_go_with_the_write(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = _local_files(spark), spark.conf.get(name)
+    made = Scratch(spark, "t").cut(spark.range(5000).selectExpr("id % 700 as k", "id").groupBy("k").agg(F.collect_list("id").alias("ids")))
+    left = lambda: {f for f in _local_files(spark) - before if "shuffle_" in f}
+    until = time.monotonic() + 20
+    while left() and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left() and spark.conf.get(name) == setting
+    assert made.count() == 700
+
+
+def test_kept_documents_are_shuffled_once(spark):
+    """Null ids and rows that repeat id and text: one row each, and one exchange holds the texts."""
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words of the same id"), (2, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"),
+            (None, None), (3, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).withColumn("more", F.lit("m"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        kept = jaccard.keep_first(docs)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    finally:
+        spark.conf.set(threshold, before)
+    assert kept.columns == docs.columns
+    assert got == Counter([(1, "a b c d e f"), (1, "other words of the same id"), (None, "g h i j k l"), (None, None), (3, None), (4, "")])
+    assert "Exchange" not in plan[plan.index("Window"):plan.index("SortMergeJoin")]
