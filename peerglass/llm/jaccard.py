@@ -1,18 +1,20 @@
 """Similarity join of shingle sets over prefix trees, and the groups that its links make.
 
 A document's set holds the hashes of its five-word runs.  Equal sets are one class, so copies are never compared.  The
-sets are put in a global order and stored in trees; a set's first shingle names its tree's root branch, and only sets of
-one branch meet.  Two sets of similarity J have the same first shingle with probability J under a random order, so the
-join repeats over ``ORDERS`` independent orders.  Sets that link share their first shingle in ``AGREE`` orders at least,
-but for a probability of 3e-12 at the threshold of 0.75 (five or fewer hits of 32), so a set that has not as many crowded
-branches is left out.
+sets are put in a global order and stored in trees; a set's first shingle, and its first one in a second order, name its branch
+of the tree, and only sets of one branch meet.  Two sets of similarity J have the same first shingles with probability J * J under
+random orders, so the join repeats over ``ORDERS`` trees of two independent orders each.  Sets that link meet in one branch at least,
+but for a probability of 3e-12 at the threshold of 0.75 (no hit of 32), so a set alone in all its branches is left out.  By one
+shingle alone, sets that have just a common run of words would meet, which in a larger table is nearly every set; by two they
+seldom do.
 
 Inside a branch, a tree is walked once for all sets together: the overlaps with the path so far are shared by
 everything below, and a set leaves a subtree as soon as what remains of either cannot reach the threshold.  Sets that
 are linked already are not compared again, so a branch of near copies costs about as much as one walk of one of them.
 
 Spark deals the work out.  Sets that hang together by branches are a family; one of at most ``BLOCK`` sets is one tree, and each set is
-shipped once.  The branches of larger families are walked one by one, those with sets of different groups only.  A branch
+shipped once.  What is shipped more often goes in turns, each of about ``SHIPPED`` times the shingles of all sets, so the disk that it
+takes follows the sets and not the number of meetings.  The branches of larger families are walked one by one, those with sets of different groups only.  A branch
 beyond ``BLOCK`` sets is dealt out in blocks at first, which all share some sets.  Later the sets that hang together by such branches
 are a pool: two of them meet once in it and not in every branch they share.  A pool is dealt into blocks by size, of ``BLOCK`` sets or
 less where they are long, and only blocks meet whose sizes allow a link.  That is exact, and a walk's memory is bounded; the number
@@ -26,6 +28,8 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +41,9 @@ from pyspark.sql import types as T
 from peerglass.llm import wordhash
 from peerglass.llm.scratch import Scratch
 
-SHINGLE, ORDERS, AGREE, BLOCK, SHARED = 5, 32, 6, 1500, 24
+SHINGLE, ORDERS, BLOCK, SHARED = 5, 32, 1500, 24
+#: How many times the shingles of all sets travel in one turn.
+SHIPPED = 2
 #: A set of so many shingles counts as one more set of its block.
 LONG = 1000
 #: Sets of long texts are large, so few of them travel in one Arrow batch.
@@ -79,12 +85,12 @@ _SEEDS = wordhash.scramble(np.arange(5000, 5000 + 64))
 
 
 def with_sets(docs: DataFrame, ids: list[str], column: str = "text", full: bool = False) -> DataFrame:
-    """(ids, n, cls, roots) of each row: the set's size, its digest, and its first shingle in every order.
+    """(ids, n, cls, roots) of each row: the set's size, its digest, and the name of its branch in every tree.
 
-    With ``full`` it is (ids, cls, grams) instead, the set as sorted 64-bit numbers.
+    With ``full`` it is (ids, n, cls, grams) instead, the set as sorted 64-bit numbers.
     """
     long, fields = T.LongType(), docs.select(*ids).schema.fields
-    made = {"cls": long, "grams": T.BinaryType()} if full else {"n": long, "cls": long, "roots": T.ArrayType(long)}
+    made = {"n": long, "cls": long, **({"grams": T.BinaryType()} if full else {"roots": T.ArrayType(long)})}
     schema = T.StructType([*fields, *[T.StructField(name, kind) for name, kind in made.items()]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,11 +107,13 @@ def with_sets(docs: DataFrame, ids: list[str], column: str = "text", full: bool
                     with np.errstate(over="ignore"):
                         digest[filled] = wordhash.scramble(np.add.reduceat(wordhash.scramble(flat ^ np.uint64(77)), cuts)
                                                            + sizes[filled].astype(np.uint64))
-                    for order in range(0 if full else ORDERS):
-                        roots[filled, order] = np.minimum.reduceat(_reordered(flat, order), cuts)
+                    for tree in range(0 if full else ORDERS):
+                        first_of = [np.minimum.reduceat(_reordered(flat, order), cuts) for order in (tree, ORDERS + tree)]
+                        with np.errstate(over="ignore"):
+                            roots[filled, tree] = wordhash.scramble(wordhash.scramble(first_of[0]) + first_of[1])
                 digest = pa.array(digest.view(np.int64))
                 if full:
-                    columns = [digest, pa.array([s.tobytes() for s in sets], pa.binary())]
+                    columns = [pa.array(sizes), digest, pa.array([s.tobytes() for s in sets], pa.binary())]
                 else:
                     lists = pa.ListArray.from_arrays(np.arange(0, ORDERS * (len(sets) + 1), ORDERS, dtype=np.int32),
                                                      pa.array(roots.view(np.int64).ravel()))
@@ -265,21 +273,20 @@ def similarity_groups(docs: DataFrame, doc_id: str = "doc_id", column: str = "te
 def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "jaccard")
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(column).alias("_text"))
-    marked = scratch.cut(with_sets(rows, ["_id"], "_text"))
-    classes = marked.where("n > 0").groupBy("cls").agg(F.min("n").alias("n"), F.first("roots").alias("roots"))
+    marked = scratch.cut(with_sets(rows, ["_id"], "_text"), "marked")
+    classes = marked.where("n > 0").groupBy("cls").agg(F.first("roots").alias("roots"))
     members = classes.select("cls", F.posexplode("roots").alias("tree", "root"))
     crowded = members.groupBy("tree", "root").agg(F.count("*").alias("many")).where("many > 1").drop("many")
-    members = scratch.cut(members.join(crowded, ["tree", "root"]))
-    wanted = scratch.cut(members.groupBy("cls").agg(F.count("*").alias("trees")).where(F.col("trees") >= AGREE).select("cls"))
+    members = scratch.cut(members.join(crowded, ["tree", "root"]), "members")
+    wanted = scratch.cut(members.select("cls").distinct(), "wanted")
 
     # The sets of classes that may link, read again from one text of each class.
     one = marked.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min("_id").alias("_pick")) \
         .withColumnRenamed("cls", "_want")
     texts = rows.join(one, F.col("_id").eqNullSafe(F.col("_pick"))).select("_want", "_text")
     sets = with_sets(texts, ["_want"], "_text", full=True).where("cls = _want").drop("_want")
-    sets = scratch.cut(sets)  # an id that repeats may give a set twice; that changes no link
+    sets = scratch.cut(sets, "sets")  # an id that repeats may give a set twice; that changes no link
 
-    members = scratch.cut(members.join(wanted, "cls", "left_semi"), "members")
     groups = None
     # Families first: whatever hangs together by branches and is small is joined at once.  What is larger is joined by some trees,
     # and what they leave by all trees.
@@ -294,13 +301,13 @@ def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float)
             placed = members.select("cls", "grp").distinct().join(families.where("many <= " + str(BLOCK)), "cls") \
                 .select("cls", "grp", F.lit(0).alias("tree"), F.col("family").alias("root"), F.lit(0).alias("block"), F.lit(0).alias("side"))
             members = members.join(families.where("many > " + str(BLOCK)).select("cls"), "cls", "left_semi")
-        else:
-            part = members.where((F.col("tree") >= trees[0]) & (F.col("tree") < trees[1]))
-            placed = _opening(part) if step == 1 else _placed(part, sets, scratch, share)
-        found = scratch.cut(_linked(placed, sets, share))
-        if step == 0:  # a family is one walk, so what it found are stars already
+            found = scratch.cut(_linked(placed, sets, share), "found")
+            # a family is one walk, so what it found are stars already
             groups = found.toDF("cls", "grp").union(found.select("b", "b").distinct())
         else:
+            part = members.where((F.col("tree") >= trees[0]) & (F.col("tree") < trees[1]))
+            placed = scratch.cut(_opening(part) if step == 1 else _placed(part, sets, scratch, share), "placed")
+            found = _linked_in_turns(placed, sets, scratch, share)
             groups = connected(groups.where("cls <> grp").toDF("a", "b").union(found), scratch, f"groups-{step}")
         members = members.drop("grp")
 
@@ -308,22 +315,22 @@ def _similarity_groups(docs: DataFrame, doc_id: str, column: str, share: float)
         groups = wanted.select("cls", F.col("cls").alias("grp"))
     ids = marked.join(groups.withColumnRenamed("cls", "g_cls"), (F.col("cls") == F.col("g_cls")) & (F.col("n") > 0), "left") \
         .select("_id", "n", F.when(F.col("n") > 0, F.coalesce("grp", "cls")).alias("grp"))
-    ids = scratch.cut(ids)
+    ids = scratch.cut(ids, "ids")
+    # the result reads the ids alone, for as long as it is used
+    scratch.drop(*[key for key in scratch.written if key != "ids"])
     least = ids.where("grp is not null").groupBy("grp").agg(F.min("_id").alias("component_id")).withColumnRenamed("grp", "c_grp")
     return ids.join(least, F.col("grp") == F.col("c_grp"), "left").select(
         F.col("_id").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_id").alias("component_id"))
 
 
 def _unsettled(members: DataFrame, groups: DataFrame | None) -> DataFrame:
-    """Members with their groups, of branches with more than one group; sets that link meet in AGREE of these at least."""
+    """Members with their groups, of branches with more than one group."""
     if groups is None:
         members = members.withColumn("grp", F.col("cls"))
     else:
         members = members.join(groups, "cls", "left").withColumn("grp", F.coalesce("grp", "cls"))
     mixed = members.groupBy("tree", "root").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low <> high")
-    members = members.join(mixed.select("tree", "root"), ["tree", "root"])
-    met = members.groupBy("cls").agg(F.count("*").alias("trees")).where(F.col("trees") >= AGREE)
-    return members.join(met.select("cls"), "cls", "left_semi")
+    return members.join(mixed.select("tree", "root"), ["tree", "root"])
 
 
 def _families(members: DataFrame, scratch: Scratch) -> DataFrame:
@@ -359,7 +366,7 @@ def _placed(members: DataFrame, sets: DataFrame, scratch: Scratch, share: float)
 def _pools(crowd: DataFrame, sets: DataFrame, scratch: Scratch, share: float) -> DataFrame:
     """Members of crowded branches with the meetings of their pool's blocks; in a meeting of two blocks each is a side."""
     pooled = _families(crowd, scratch).join(crowd.select("cls", "grp").distinct(), "cls") \
-        .join(sets.select("cls", (F.length("grams") / 8).cast("long").alias("n")).distinct(), "cls") \
+        .join(sets.select("cls", "n").distinct(), "cls") \
         .select("cls", "grp", "family", "n")
     # blocks in order of size, without sorting sets: a set's place follows from how many are of which size
     sizes = pooled.groupBy("family", "n").agg(F.count("*").alias("many")).withColumn("weight", 1 + F.col("n") / LONG)
@@ -380,7 +387,18 @@ def _pools(crowd: DataFrame, sets: DataFrame, scratch: Scratch, share: float) ->
 def _linked(placed: DataFrame, sets: DataFrame, share: float) -> DataFrame:
     """Links (a, b) between different groups, found by one walk for each branch and block."""
     keys = ["tree", "root", "block"]
-    return placed.join(sets, "cls").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_branch_links(share), "a bigint, b bigint")
+    return placed.join(sets.drop("n"), "cls").repartition(*keys).sortWithinPartitions(*keys) \
+        .mapInArrow(_branch_links(share), "a bigint, b bigint")
+
+
+def _linked_in_turns(placed: DataFrame, sets: DataFrame, scratch: Scratch, share: float) -> DataFrame:
+    """Links of all branches and blocks, walked in as many turns as keep what one of them ships near ``SHIPPED`` times the sets."""
+    total = sets.agg(F.sum("n")).first()[0] or 1
+    shipped = placed.join(sets.select("cls", "n"), "cls").agg(F.sum("n")).first()[0] or 0
+    turns = max(1, math.ceil(shipped / (SHIPPED * total)))
+    turn = F.pmod(F.xxhash64("tree", "root", "block", F.lit("turn")), F.lit(turns))
+    found = [scratch.cut(_linked(placed.where(turn == n), sets, share), f"found-{n}") for n in range(turns)]
+    return functools.reduce(DataFrame.union, found)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import time
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
 
 from peerglass.llm import decontaminate, jaccard, licenses, mixing, pii, secrets  # noqa: E402
+from peerglass.llm import scratch as scratch_module  # noqa: E402
 from peerglass.llm.scratch import Scratch  # noqa: E402
 
 
@@ -118,6 +120,39 @@ def test_groups_that_are_stars_already_are_not_walked_again(spark, monkeypatch):
     assert keys == ["family"]
 
 
+def _spied(monkeypatch, seen):
+    linked = jaccard._linked
+    monkeypatch.setattr(jaccard, "_linked", lambda placed, sets, share: seen.append((placed.count(), sets.count())) or linked(placed, sets, share))
+
+
+def test_sets_with_common_runs_of_words_only_are_not_shipped(spark, monkeypatch):
+    """Every set shares most of its shingles with some others, but few with any one of them: no walk needs it."""
+    rng = np.random.default_rng(6)
+    phrases = [" ".join(f"p{n}-{k}" for k in range(10)) for n in range(2000)]
+    texts = [" ".join(phrases[n] for n in rng.integers(0, 2000, 30)) for _ in range(200)]
+    rows = list(enumerate([*texts, *[f"{text} one more" for text in texts[:10]]]))
+    shipped = []
+    _spied(monkeypatch, shipped)
+    groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
+    assert shipped and all(20 <= sets <= 100 for _, sets in shipped[:1])
+
+
+def test_walks_go_in_turns(spark, monkeypatch):
+    """What is shipped at once follows the sets, and many turns give the groups of one."""
+    monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "SHARED", 2)
+    monkeypatch.setattr(jaccard, "SHIPPED", 0.5)
+    rng = np.random.default_rng(3)
+    base = [f"w{n}" for n in range(120)]
+    rows = [(i, " ".join(base[:60 + int(rng.integers(0, 60))] + [f"x{i}-{n}" for n in range(rng.integers(0, 40))])) for i in range(80)]
+    shipped = []
+    _spied(monkeypatch, shipped)
+    groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
+    assert len(shipped) >= 6 and max(n for n, _ in shipped) <= 1.5 * len(rows)
+
+
 def _local_files(spark):
     files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return set(files.mkString("\n").split("\n"))
@@ -135,6 +170,15 @@ def test_shuffle_files_of_a_written_table_go_with_the_write(spark):
     assert made.count() == 700
 
 
+def test_groups_leave_one_table(spark, monkeypatch, tmp_path):
+    """What a later step reads is the ids and groups; sets and branches are no longer on disk."""
+    monkeypatch.setattr(scratch_module, "shared_folder", lambda spark: f"file://{tmp_path}")
+    rows = [(i, " ".join(f"w{i // 4}-{n}" for n in range(40 + i % 4))) for i in range(60)]
+    groups = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert len(list(tmp_path.glob("jaccard-*/*"))) == 1
+    assert Counter(tuple(r) for r in groups.collect()) == Counter(brute.groups(rows))
+
+
 def test_kept_documents_are_shuffled_once(spark):
     """Null ids and rows that repeat id and text: one row each, and one exchange holds the texts."""
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "other words of the same id"), (2, "a b c d e f"), (None, "g h i j k l"), (None, "g h i j k l"),
