@@ -5,8 +5,7 @@ sets are put in a global order and stored in trees; a set's first shingle, and i
 of the tree, and only sets of one branch meet.  Two sets of similarity J have the same first shingles with probability J * J under
 random orders, so the join repeats over ``ORDERS`` trees of two independent orders each.  Sets that link meet in one branch at least,
 but for a probability of 3e-12 at the threshold of 0.75 (no hit of 32), so a set alone in all its branches is left out.  By one
-shingle alone, sets that have just a common run of words would meet, which in a larger table is nearly every set; by two they
-seldom do.
+shingle alone, sets that have just common runs of words would meet, the more of them the larger the table; by two they seldom do.
 
 Inside a branch, a tree is walked once for all sets together: the overlaps with the path so far are shared by
 everything below, and a set leaves a subtree as soon as what remains of either cannot reach the threshold.  Sets that
